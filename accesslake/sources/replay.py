@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import spread
+
 # --- fixed values of the replay ---------------------------------------------
 METHOD_BY_TYPE = {"click": "GET", "view": "HEAD", "error": "GET", "signup": "POST", "purchase": "PUT"}
 STATUS_BY_TYPE = {"click": 200, "view": 304, "error": 500, "signup": 302, "purchase": 201}
@@ -63,10 +65,8 @@ def page_targets(pages: DataFrame) -> DataFrame:
 def event_requests(events: DataFrame, pages: DataFrame) -> DataFrame:
     """One request per event with every field a line needs (typed)."""
     n_pages = pages.select(F.count(F.lit(1))).scalar()
-    ev = events.select(
-        "event_id", "ts", "user_id", "event_type", "value",
-        F.pmod(F.col("event_id"), n_pages).alias("_page_key"),
-    )
+    ev = spread(events.select("event_id", "ts", "user_id", "event_type", "value"), "event_id")
+    ev = ev.withColumn("_page_key", F.pmod(F.col("event_id"), n_pages))
     t = page_targets(pages)
     j = ev.join(t, ev["_page_key"] == t["page_id"], "left")
     uid, eid = F.col("user_id"), F.col("event_id")
