@@ -223,6 +223,7 @@ def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
         ).alias("_raw_tags"),
     )
 
+
     b = _barrier(b)
 
     # ---- stage C: query map, path arrays, tags, route, identity --------------
