@@ -124,7 +124,7 @@ dt AS (
   SELECT rq.*, p.p_name,
          CASE WHEN node = 'en' THEN '{replay.SEARCH_PATH}?q=' || replace(coalesce(p.p_name, 'unknown'), ' ',
                                      CASE WHEN event_id % 2 = 0 THEN '+' ELSE '%20' END)
-              WHEN event_type = 'purchase' THEN '/archive/urn:nasa:pds:' || replace(coalesce(p.p_name, 'unknown'), ' ', '_') || '::1.0'
+              WHEN event_type = 'purchase' THEN '/archive/urn:esa:psa:' || replace(coalesce(p.p_name, 'unknown'), ' ', '_') || '::1.0'
               ELSE target END AS target9,
          CASE WHEN event_type = 'error' THEN '-'
               WHEN event_type = 'signup' AND user_id % 5 = 0 THEN CAST(bytes AS VARCHAR) || ' ' || CAST(bytes AS VARCHAR)

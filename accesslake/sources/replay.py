@@ -215,7 +215,7 @@ def detail_lines(events: DataFrame, pages: DataFrame, part: DataFrame) -> DataFr
 
     Request target: node ``en`` → keyword search for the event's part name
     (spaces as ``+`` for even event ids, ``%20`` for odd); ``purchase`` events
-    elsewhere → ``/archive/urn:nasa:pds:<part_name>::1.0``; others → the page
+    elsewhere → ``/archive/urn:esa:psa:<part_name>::1.0``; others → the page
     target.  Part = ``part[p_partkey = event_id mod count(part)]``.  Size is
     ``-`` for ``error`` events and two tokens for ``signup`` events of users
     with ``user_id mod 5 = 0``.
@@ -230,7 +230,7 @@ def detail_lines(events: DataFrame, pages: DataFrame, part: DataFrame) -> DataFr
     sep = F.when(F.pmod(r("event_id"), F.lit(2)) == 0, F.lit("+")).otherwise(F.lit("%20"))
     target = (F.when(r("node") == "en", F.concat(F.lit(SEARCH_PATH + "?q="), F.replace(pname, F.lit(" "), sep)))
                .when(r("event_type") == "purchase",
-                     F.concat(F.lit("/archive/urn:nasa:pds:"), F.replace(pname, F.lit(" "), F.lit("_")), F.lit("::1.0")))
+                     F.concat(F.lit("/archive/urn:esa:psa:"), F.replace(pname, F.lit(" "), F.lit("_")), F.lit("::1.0")))
                .otherwise(r("target")))
     user = F.when(F.pmod(r("user_id"), F.lit(4)) == 0, F.concat(F.lit("user"), r("user_id").cast("string"))).otherwise(F.lit("-"))
     size = (F.when(r("event_type") == "error", F.lit("-"))
