@@ -30,13 +30,22 @@ def decode(c: Column) -> Column:
     return F.coalesce(F.try_url_decode(c), c)
 
 
-def split_url(url: Column) -> Column:
-    """struct(scheme, username, address, port, path, query, fragment, parsed).
+def url_parts(url: Column) -> Column:
+    """U1 regex pass: the seven URL pieces as an array (one regex per row).
 
-    ``parsed`` is false when the text is neither absolute (``scheme://``) nor a
-    ``/``-rooted path; U2 then keeps the whole text as the path.
+    Materialise this as a column (``select``) and read fields with
+    ``url_fields``: inside a conditional struct Spark does not share the
+    sub-expression, so building the struct straight from the regex would run
+    it once per field.
     """
-    parts = F.split(F.regexp_replace(F.translate(url, _SEP, ""), _URL_RX, _URL_REPL), _SEP)
+    return F.split(F.regexp_replace(F.translate(url, _SEP, ""), _URL_RX, _URL_REPL), _SEP)
+
+
+def url_fields(parts: Column, url: Column) -> Column:
+    """U1/U2 from ``url_parts``: struct(scheme, username, address, port, path,
+    query, fragment, parsed).  ``parsed`` is false when the text is neither
+    absolute (``scheme://``) nor a ``/``-rooted path; the whole text is then
+    the path."""
     fields = {n: F.nullif(parts[i], F.lit("")) for i, n in enumerate(_URL_FIELDS)}
     parsed = fields["scheme"].isNotNull() | F.coalesce(url.startswith("/"), F.lit(False))
     cols = [F.when(parsed, fields[n]).alias(n) for n in _URL_FIELDS if n != "path"]
@@ -44,6 +53,12 @@ def split_url(url: Column) -> Column:
     return F.when(url.isNotNull(), F.struct(*cols, path, parsed.alias("parsed")))
 
 
+def split_url(url: Column) -> Column:
+    """Single-expression form of ``url_fields(url_parts(url), url)`` for
+    one-off use; prefer the two-step form on large inputs."""
+    return url_fields(url_parts(url), url)
+
+
 def sanitize_key(k: Column) -> Column:
     """U8: ``.``/``[``/``]`` → ``_``, runs of ``_`` collapsed, edge ``_`` trimmed."""
     k = F.regexp_replace(k, r"[.\[\]]", "_")

@@ -236,7 +236,9 @@ def parse_lines(df: DataFrame, value_col: str = "value", layouts: CompiledLayout
     line = F.translate(F.col(value_col), SEP, "")
     parts = F.split(F.regexp_replace(line, layouts.regex, layouts.replacement), SEP)
     tmp = "__caps"
-    staged = df.select("*", one_row_barrier(F.when(F.size(parts) == layouts.n_groups, parts)).alias(tmp))
+    raw = df.select("*", one_row_barrier(parts).alias("__raw"))
+    staged = raw.select(*[F.col(c) for c in df.columns],
+                        F.when(F.size("__raw") == layouts.n_groups, F.col("__raw")).alias(tmp))
 
     def grp(i: int) -> Column:
         return F.nullif(F.col(tmp)[i - 1], F.lit(""))

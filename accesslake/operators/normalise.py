@@ -136,7 +136,7 @@ def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
                F.coalesce(c("status_text").try_cast("int"), F.lit(0))).alias("status_code"),
         F.coalesce(c("url_original").rlike(ESCAPED_CONTROL_RX), F.lit(False)).alias("_ctl"),
         url_original.alias("url_original"),
-        F.when(c("url_original").isNotNull(), urls.split_url(url_original)).alias("_url"),
+        F.when(c("url_original").isNotNull(), urls.url_parts(url_original)).alias("_url_parts"),
         F.nullif(c("source_address"), F.lit("")).alias("source_address"),
         F.nullif(c("user_ident"), F.lit("-")).alias("user_ident"),
         F.nullif(c("user_name"), F.lit("-")).alias("user_name"),
@@ -164,6 +164,7 @@ def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
     a = _barrier(a)
 
     # ---- stage B: URL pieces, drops, outcome, errors -------------------------
+    a = a.withColumn("_url", urls.url_fields(c("_url_parts"), c("url_original"))).drop("_url_parts")
     lq = c("_layout_query")
     query = F.coalesce(c("_url.query"), F.when(lq.contains("#"), F.substring_index(lq, "#", 1)).otherwise(lq))
     fragment = F.coalesce(c("_url.fragment"), F.when(lq.contains("#"), F.substring_index(lq, "#", -1)))
@@ -243,9 +244,9 @@ def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
         F.sha2(c("message"), 256).alias("event_hash"),
         F.date_format(c("event_start"), "yyyy-MM").alias("event_month"),
     )
-    # Plan barrier: later filters (drop, route, window) stop here instead of
-    # being rewritten into the parse expressions.
-    return final.select(F.inline(F.array(F.struct(*[c(x) for x in final.columns]))))
+    # Stage C stays an ordinary projection: columns a query does not use (query
+    # maps, path arrays, hash) are pruned; filters stop at the stage-B barrier.
+    return final
 
 
 def keep_events(events: DataFrame) -> DataFrame:

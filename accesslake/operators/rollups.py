@@ -166,3 +166,9 @@ def yearly_yoy(df: DataFrame, ts_col: str, bytes_col: str) -> DataFrame:
 def count_by_month(events: DataFrame) -> DataFrame:
     """Stored events per month."""
     return events.groupBy("event_month").agg(F.count(F.lit(1)).alias("events"))
+
+
+def count_by_key(events: DataFrame, fragment: str, key_col: str = "file_path") -> DataFrame:
+    """Stored events whose object key contains ``fragment``, per month."""
+    return (events.where(F.col(key_col).contains(fragment))
+                  .groupBy("event_month").agg(F.count(F.lit(1)).alias("events")))

@@ -147,3 +147,31 @@ def mission_downloads(detail: DataFrame, bundle_rules: list, mission_rules: list
     d = d.withColumn("date", bracket_day_text(F.col("datetime"))) \
          .withColumn("user_type", R.bot_human_unknown(F.col("user_agent")))
     return R.classify_distinct(d, "url_bundle", mission_rules, "mission", "other")
+
+
+def union_summaries(*summaries: DataFrame) -> DataFrame:
+    """Per-node summary tables stacked by column name (when kept separately)."""
+    out = summaries[0]
+    for s in summaries[1:]:
+        out = out.unionByName(s)
+    return out
+
+
+def ordered_summary(summary: DataFrame) -> DataFrame:
+    """O1: a summary read back in day order (sort at read time, not before writing)."""
+    return summary.orderBy("date")
+
+
+def ordered_rollup(rollup: DataFrame) -> DataFrame:
+    """O3: the roll-up in node, date, user type, request type, status order."""
+    return rollup.orderBy("node", "date", "user_type", "request_type", "status")
+
+
+def ordered_detail(view: DataFrame) -> DataFrame:
+    """O2: detail rows ordered by the parsed day expression."""
+    return view.orderBy(bracket_day(F.col("datetime")))
+
+
+def write_summary(summary: DataFrame, path: str) -> None:
+    """K4 for the chain: the summary as a table partitioned by node."""
+    summary.write.mode("overwrite").partitionBy("node").parquet(path)

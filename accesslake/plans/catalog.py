@@ -56,7 +56,7 @@ def combined_events(spark: SparkSession, sf: str) -> DataFrame:
 def enriched_events(spark: SparkSession, sf: str) -> DataFrame:
     cust = _t(spark, sf, "customer")
     d = Dimensions(dns=D.dns_from_customer(cust), public_suffix=D.public_suffix(spark))
-    return enrich_events(combined_events(spark, sf), d)
+    return enrich_events(combined_events(spark, sf), d, url_domains=False)
 
 
 def noisy_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -184,7 +184,8 @@ def q_cdn_json_parse(spark, sf):
 
 def _pages_urls(spark, sf):
     pg = _t(spark, sf, "pages").select("page_id", "url")
-    return pg.select("page_id", urls.split_url(F.col("url")).alias("u"))
+    pg = pg.select("page_id", "url", urls.url_parts(F.col("url")).alias("_p"))
+    return pg.select("page_id", urls.url_fields(F.col("_p"), F.col("url")).alias("u"))
 
 
 def q_url_split(spark, sf):
