@@ -168,7 +168,10 @@ def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
     lq = c("_layout_query")
     query = F.coalesce(c("_url.query"), F.when(lq.contains("#"), F.substring_index(lq, "#", 1)).otherwise(lq))
     fragment = F.coalesce(c("_url.fragment"), F.when(lq.contains("#"), F.substring_index(lq, "#", -1)))
-    domain = F.coalesce(c("_layout_domain"), c("_url.address"))
+    src_domain = c("src_url_domain") if "src_url_domain" in parsed.columns else F.lit(None).cast("string")
+    src_scheme = c("src_url_scheme") if "src_url_scheme" in parsed.columns else F.lit(None).cast("string")
+    # host header / URL host first, the source descriptor's domain as default
+    domain = F.coalesce(c("_layout_domain"), c("_url.address"), src_domain)
     domain = F.when(~net.is_ipv4(domain) & (domain != F.coalesce(c("source_address"), F.lit(""))), domain)
     method = c("http_method")
     bad_method = F.coalesce(method.isin(*KNOWN_BAD_METHODS) | ~method.isin(*VALID_METHODS), F.lit(False))
@@ -202,7 +205,7 @@ def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
         url_path.alias("url_path_final"),
         F.nullif(query, F.lit("")).alias("url_query_final"),
         fragment.alias("url_fragment"),
-        F.coalesce(c("_layout_scheme"), c("_url.scheme")).alias("url_scheme"),
+        F.coalesce(c("_layout_scheme"), c("_url.scheme"), src_scheme).alias("url_scheme"),
         c("_url.username").alias("url_username"),
         c("_url.port").alias("url_port"),
         domain.alias("url_domain"),

@@ -47,6 +47,22 @@ def write_store(batch: DataFrame, store_path: str) -> None:
         .partitionBy("event_month").parquet(store_path))
 
 
+def materialize(df: DataFrame, name: str, partition_by: str | None = "event_month") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (an executor lost later re-reads files instead of
+    re-parsing raw text), lets later plans prune columns and ``event_month``
+    partitions, and lets several branches of one report share one parse.
+    """
+    from ..session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    w = df.write.mode("overwrite").option("compression", "zstd")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def quarantine_lines(events: DataFrame) -> DataFrame:
     """K2: quarantined rows as formatted text lines with their month."""
     q = events.where(is_quarantined(F.col("tags")))
@@ -77,3 +93,82 @@ def materialise(df: DataFrame, name: str, as_table: bool = False) -> DataFrame:
         return df.sparkSession.table(name)
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
+
+
+# --- fixed values: constants carried by every event (N1) ------------------
+EVENT_KIND = "event"
+EVENT_CATEGORY = ("web", "network")
+EVENT_TYPE = ("access", "info")
+EVENT_DATASET = "web.analytics"
+EVENT_MODULE = "web"
+EVENT_SEQUENCE = 0
+# ---------------------------------------------------------------------------
+
+
+def _opt(df: DataFrame, name: str, dtype: str = "string") -> F.Column:
+    return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
+
+
+def to_ecs(events: DataFrame, provider: str = "web-archive") -> DataFrame:
+    """N1 + the nested document shape, built once at the sink.
+
+    Work inside the library stays on flat columns; this projection nests them
+    under ``event``, ``source``, ``http``, ``url``, ``user_agent``, ``error``
+    and ``ftp`` and adds the per-event constants.  FTP retrievals are filed
+    under the ``file``/``network`` categories.
+    """
+    e = events
+    ftp = F.col("event_action").isin("RETR", "BOTZETR")
+    category = F.when(ftp, F.array(F.lit("file"), F.lit("network"))).otherwise(
+        F.array(*[F.lit(x) for x in EVENT_CATEGORY]))
+    return e.select(
+        F.struct(
+            F.lit(EVENT_KIND).alias("kind"), category.alias("category"),
+            F.array(*[F.lit(x) for x in EVENT_TYPE]).alias("type"),
+            F.coalesce(_opt(e, "src_dataset"), F.lit(EVENT_DATASET)).alias("dataset"),
+            F.lit(EVENT_MODULE).alias("module"), F.lit(provider).alias("provider"),
+            F.col("event_action").alias("action"), F.col("event_outcome").alias("outcome"),
+            F.col("event_start").alias("start"), _opt(e, "ingested_at", "timestamp").alias("ingested"),
+            F.col("event_hash").alias("hash"), F.lit(EVENT_SEQUENCE).alias("sequence"),
+            F.col("duration").alias("duration"),
+        ).alias("event"),
+        F.struct(
+            F.col("source_address").alias("address"), _opt(e, "source_domain").alias("domain"),
+            _opt(e, "source_registered_domain").alias("registered_domain"),
+            _opt(e, "source_top_level_domain").alias("top_level_domain"),
+            _opt(e, "source_sub_domain").alias("subdomain"),
+            F.struct(_opt(e, "geo_country").alias("country_iso_code"), _opt(e, "geo_region").alias("region_name"),
+                     _opt(e, "geo_city").alias("city_name"), _opt(e, "geo_lat", "double").alias("lat"),
+                     _opt(e, "geo_lon", "double").alias("lon")).alias("geo"),
+        ).alias("source"),
+        F.struct(
+            F.struct(F.col("http_method").alias("method"), F.col("referrer").alias("referrer"),
+                     F.struct(F.col("request_bytes").alias("bytes"),
+                              F.col("request_body").alias("content")).alias("body")).alias("request"),
+            F.struct(F.col("status_code").alias("status_code"),
+                     F.struct(F.col("response_bytes").alias("bytes")).alias("body")).alias("response"),
+            F.col("http_version").alias("version"),
+        ).alias("http"),
+        F.struct(
+            F.col("url_original").alias("original"), F.col("url_path").alias("path"),
+            F.col("url_query").alias("query"), F.col("url_fragment").alias("fragment"),
+            F.col("url_scheme").alias("scheme"), F.col("url_domain").alias("domain"),
+            F.col("url_port").alias("port"), F.col("url_username").alias("username"),
+            F.col("url_query_params").alias("query_params"), F.col("url_query_parts").alias("query_parts"),
+            F.col("url_path_parts").alias("path_parts"), F.col("url_path_depth").alias("path_depth"),
+        ).alias("url"),
+        F.struct(F.col("user_agent").alias("original"), _opt(e, "ua_name").alias("name"),
+                 _opt(e, "ua_version").alias("version"), F.struct(_opt(e, "ua_os").alias("name")).alias("os"),
+                 F.struct(_opt(e, "ua_device").alias("name")).alias("device")).alias("user_agent"),
+        F.struct(F.col("error_type").alias("type"), F.col("error_message").alias("message"),
+                 F.col("error_code").alias("code")).alias("error"),
+        F.struct(F.col("ftp_command").alias("command"), F.col("ftp_flags").alias("flags")).alias("ftp"),
+        F.struct(F.col("network_bytes").alias("bytes"), F.col("network_protocol").alias("protocol")).alias("network"),
+        F.struct(F.col("server_ip").alias("ip"), F.col("server_port").alias("port"),
+                 F.col("server_site").alias("site"), F.col("server_domain").alias("domain")).alias("server"),
+        F.struct(F.col("user_name").alias("name"), F.col("user_ident").alias("ident"),
+                 F.col("user_id").alias("id")).alias("user"),
+        F.struct(_opt(e, "src_organization").alias("name")).alias("organization"),
+        F.struct(_opt(e, "file_path").alias("path")).alias("file"),
+        F.col("tags"), F.col("message"), F.col("event_month"),
+    )

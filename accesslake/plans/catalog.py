@@ -53,10 +53,16 @@ def combined_events(spark: SparkSession, sf: str) -> DataFrame:
     return keep_events(to_events(parse_lines(replay.lines(ev, pg, "apache_combined"))))
 
 
-def enriched_events(spark: SparkSession, sf: str) -> DataFrame:
+def enriched_events(spark: SparkSession, sf: str, windowed: bool = False) -> DataFrame:
+    """Parsed events written once to a month-partitioned store, read back,
+    (optionally) cut to the report window, then enriched: the window's month
+    predicate prunes partitions and only the window's hosts are resolved."""
     cust = _t(spark, sf, "customer")
     d = Dimensions(dns=D.dns_from_customer(cust), public_suffix=D.public_suffix(spark))
-    return enrich_events(combined_events(spark, sf), d, url_domains=False)
+    stored = sinks.materialize(combined_events(spark, sf), "events")
+    if windowed:
+        stored = rollups.trailing_window(stored, AS_OF, WINDOW_HOURS)
+    return enrich_events(stored, d, url_domains=False)
 
 
 def noisy_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -320,24 +326,24 @@ def q_mission_downloads(spark, sf):
 # ---- egress report and metrics -----------------------------------------------------
 
 def q_egress_total(spark, sf):
-    w = rollups.trailing_window(enriched_events(spark, sf), AS_OF, WINDOW_HOURS)
+    w = rollups.trailing_window(enriched_events(spark, sf, windowed=True), AS_OF, WINDOW_HOURS)
     return rollups.egress_total(w).select("bytes", F.col("requests").cast("bigint").alias("requests"))
 
 
 def q_top_domains(spark, sf):
-    w = rollups.trailing_window(enriched_events(spark, sf), AS_OF, WINDOW_HOURS)
+    w = rollups.trailing_window(enriched_events(spark, sf, windowed=True), AS_OF, WINDOW_HOURS)
     return rollups.top_by_bytes(w, "source_registered_domain", TOP_K).select(
         "key", "bytes", F.col("requests").cast("bigint").alias("requests"))
 
 
 def q_top_users(spark, sf):
-    w = rollups.trailing_window(enriched_events(spark, sf), AS_OF, WINDOW_HOURS)
+    w = rollups.trailing_window(enriched_events(spark, sf, windowed=True), AS_OF, WINDOW_HOURS)
     return rollups.top_by_bytes(w, "source_domain", TOP_K).select(
         "key", "bytes", F.col("requests").cast("bigint").alias("requests"))
 
 
 def q_egress_report(spark, sf):
-    r = rollups.egress_report(enriched_events(spark, sf), AS_OF, WINDOW_HOURS, TOP_K)
+    r = rollups.egress_report(enriched_events(spark, sf, windowed=True), AS_OF, WINDOW_HOURS, TOP_K)
     return r.select("section", F.col("rank").cast("int").alias("rank"), "key", "bytes",
                     F.col("requests").cast("bigint").alias("requests"), "gb")
 

@@ -36,6 +36,8 @@ def parse_any(lines: DataFrame, value_col: str = "value") -> DataFrame:
 def transform(lines: DataFrame, dims: Dimensions | None = None, value_col: str = "value",
               keep_dropped: bool = False) -> DataFrame:
     """Raw lines → typed, tagged, routed (and optionally enriched) events."""
+    if "ingested_at" not in lines.columns:
+        lines = lines.withColumn("ingested_at", F.current_timestamp())
     ev = to_events(parse_any(lines, value_col), message_col=value_col)
     if not keep_dropped:
         ev = keep_events(ev)

@@ -71,3 +71,17 @@ def test_egress_report_sections(spark):
     assert sections.count("total") == 1 and sections.count("domain") == 1 and sections.count("user") == 3
     total = [x for x in r if x.section == "total"][0]
     assert total.bytes == sum(x.bytes for x in r if x.section == "domain")
+
+
+def test_ecs_shape_and_source_defaults(spark):
+    from accesslake.sources.text import attach_source
+    lines = spark.createDataFrame([("s3://b/logs/web/a.log", HTTPS[1][0])], "file_path string, value string")
+    src = spark.createDataFrame([("logs/", "Org", "www.example.org", "https", "web.http", "text")],
+                                "prefix string, organization string, url_domain string, url_scheme string, "
+                                "dataset string, cdn_format string")
+    ev = transform(attach_source(lines, src))
+    doc = sinks.to_ecs(ev).first()
+    assert doc.event.kind == "event" and doc.event.dataset == "web.http" and doc.event.category == ["web", "network"]
+    assert doc.url.domain == "www.example.org" and doc.url.scheme == "https"
+    assert doc.http.response.status_code == 200 and doc.organization.name == "Org"
+    assert doc.event.ingested is not None
