@@ -115,7 +115,9 @@ def classify_distinct(df: DataFrame, value_col: str, rules: list[Rule], out_col:
     """
     labelled = (df.select(F.col(value_col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
                 .withColumn("__label", classify_expr(F.col("__v"), rules, default)))
-    j = df.join(labelled, df[value_col].eqNullSafe(labelled["__v"]), "left")
+    # plain equality: null values never meet the labelled set (they would all
+    # hash to one shuffle partition); they take the default below
+    j = df.join(labelled, df[value_col] == labelled["__v"], "left")
     return j.withColumn(out_col, F.coalesce(F.col("__label"), F.lit(default).cast("string"))).drop("__v", "__label")
 
 

@@ -53,9 +53,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = os.path.join(os.environ.get("ACCESSLAKE_LOCAL_SCRATCH", "/tmp"), "accesslake-ckpt")
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -85,3 +85,16 @@ def test_ecs_shape_and_source_defaults(spark):
     assert doc.url.domain == "www.example.org" and doc.url.scheme == "https"
     assert doc.http.response.status_code == 200 and doc.organization.name == "Org"
     assert doc.event.ingested is not None
+
+
+def test_stream_dedupe_within_watermark(spark):
+    from accesslake.sources.text import stream_lines
+    from accesslake.streaming.ingest import ingest_stream
+    src = scratch_path(spark, "test-stream-wm")
+    doubled = [(line,) for line, _, _ in HTTPS[:3]] * 2
+    spark.createDataFrame(doubled, "value string").coalesce(1).write.text(src)
+    ev = ingest_stream(stream_lines(spark, src), dedupe_watermark="10 minutes")
+    q = (ev.writeStream.format("memory").queryName("wm_dedupe").trigger(availableNow=True)
+           .option("checkpointLocation", scratch_path(spark, "ck-wm")).start())
+    q.awaitTermination()
+    assert spark.table("wm_dedupe").count() == 3
