@@ -412,7 +412,7 @@ ORACLE_SQL["geo_range_join"] = f"""
 WITH {REQ}
 SELECT rq.event_id, rq.client AS source_address, n.n_name AS geo_country, r.r_name AS geo_region,
        CASE WHEN c.c_custkey IS NULL THEN NULL ELSE 'city-' || CAST(rq.user_id % 10 AS VARCHAR) END AS geo_city,
-       n.n_nationkey * 3.5 - 40.0 AS geo_lat, n.n_regionkey * 30.0 - 60.0 AS geo_lon
+       CAST(n.n_nationkey * 3.5 - 40.0 AS DOUBLE) AS geo_lat, CAST(n.n_regionkey * 30.0 - 60.0 AS DOUBLE) AS geo_lon
 FROM rq LEFT JOIN customer c ON c.c_custkey = rq.user_id
         LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
         LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
