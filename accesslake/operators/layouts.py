@@ -228,6 +228,18 @@ def compile_layouts(layouts=LAYOUTS) -> CompiledLayouts:
 COMPILED = compile_layouts()
 
 
+def _field_sql(layouts: CompiledLayouts) -> list[str]:
+    """SQL text of the field extraction (one py4j call for all fields)."""
+    def grp(i: int) -> str:
+        return f"nullif(__caps[{i - 1}], '')"
+    fmt = " ".join(f"WHEN {grp(g)} IS NOT NULL THEN '{name}'" for name, g in layouts.marker.items())
+    out = [f"CASE {fmt} END AS log_format"]
+    for field, idxs in layouts.fields.items():
+        expr = f"coalesce({', '.join(grp(i) for i in idxs)})" if idxs else "CAST(NULL AS STRING)"
+        out.append(f"{expr} AS {field}")
+    return out
+
+
 def parse_lines(df: DataFrame, value_col: str = "value", layouts: CompiledLayouts = COMPILED) -> DataFrame:
     """Add ``log_format`` and every capture field (text) to ``df``.
 
@@ -235,22 +247,14 @@ def parse_lines(df: DataFrame, value_col: str = "value", layouts: CompiledLayout
     """
     line = F.translate(F.col(value_col), SEP, "")
     parts = F.split(F.regexp_replace(line, layouts.regex, layouts.replacement), SEP)
-    tmp = "__caps"
     raw = df.select("*", one_row_barrier(parts).alias("__raw"))
-    staged = raw.select(*[F.col(c) for c in df.columns],
-                        F.when(F.size("__raw") == layouts.n_groups, F.col("__raw")).alias(tmp))
-
-    def grp(i: int) -> Column:
-        return F.nullif(F.col(tmp)[i - 1], F.lit(""))
-
-    fmt = None
-    for name, gi in layouts.marker.items():
-        cond = grp(gi).isNotNull()
-        fmt = F.when(cond, F.lit(name)) if fmt is None else fmt.when(cond, F.lit(name))
-    cols = [fmt.alias("log_format")]
-    for field, idxs in layouts.fields.items():
-        cols.append((F.coalesce(*[grp(i) for i in idxs]) if idxs else F.lit(None).cast("string")).alias(field))
-    out = staged.select(*[F.col(c) for c in df.columns], *cols)
+    staged = raw.selectExpr("*", f"CASE WHEN size(__raw) = {layouts.n_groups} THEN __raw END AS __caps")
+    out = staged.selectExpr("*", *_field_sql(layouts)).drop("__raw", "__caps")
     # second barrier: field extraction keeps its own generated method (the
     # JVM caps one method at 64 KB; fused with the next stage it overflows)
-    return out.select(F.inline(F.array(F.struct(*[F.col(c) for c in out.columns]))))
+    return barrier(out)
+
+
+def barrier(df: DataFrame) -> DataFrame:
+    """Re-emit every column through a one-row ``Generate`` (see ``one_row_barrier``)."""
+    return df.selectExpr("inline(array(struct(*)))")

@@ -14,6 +14,8 @@ counts can report what was dropped and why.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,7 +81,7 @@ def _barrier(df: DataFrame) -> DataFrame:
     method at 64 KB) and stops the optimizer from inlining a stage's
     expressions into the next one or into pushed-down filters.
     """
-    return df.select(F.inline(F.array(F.struct(*[F.col(x) for x in df.columns]))))
+    return df.selectExpr("inline(array(struct(*)))")
 
 
 def _tag(cond: Column, tag: str) -> Column:
@@ -102,19 +104,23 @@ def is_quarantined(tags: Column) -> Column:
 
 _DAY_PREFIX = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*\s+"
 
+# Internal columns of stage A that stage B consumes and drops.
+_STAGE_A_INTERNAL = ("_ts_text", "_agent", "_layout_path", "_layout_query", "_layout_domain",
+                     "_layout_scheme", "_ftp_action", "_ctl", "_url_parts")
 
-def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
-    """Typed, tagged, routed events from parse captures (one row per line).
 
-    Columns other than the capture fields pass through unchanged (file path,
-    node, source descriptor, replay ids …).
+@functools.lru_cache(maxsize=32)
+def _stage_exprs(app_id: str, message_col: str, has_json: bool, has_src_domain: bool,
+                 has_src_scheme: bool) -> tuple:
+    """Column expressions of the three stages, built once per session.
+
+    Building a Column is a JVM round-trip; the stages need ~1,000 of them, so
+    they are built once and reused by every plan (they refer to columns by
+    name only).
     """
     c = F.col
-    from .layouts import CAPTURE_FIELDS
-    passthrough = [x for x in parsed.columns
-                   if x not in CAPTURE_FIELDS and x not in ("log_format", message_col, "_json_line")]
     msg = c(message_col)
-    json_line = c("_json_line") if "_json_line" in parsed.columns else F.lit(False)
+    json_line = c("_json_line") if has_json else F.lit(False)
 
     # ---- stage A: time, method, status, URL split ----------------------------
     ts_text = F.translate(c("ts_text"), "\t", " ")
@@ -126,8 +132,8 @@ def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
     method_up = F.upper(F.nullif(c("http_method"), F.lit("")))
     is_ftp_verb = F.coalesce(method_up.isin(*FTP_VERBS), F.lit(False))
     url_original = F.regexp_replace(urls.decode(c("url_original")), r"[^\x20-\x7E]", "")
-    a = parsed.select(
-        *passthrough, msg.alias("message"), c("log_format"), json_line.alias("_json"),
+    stage_a = [
+        msg.alias("message"), c("log_format"), json_line.alias("_json"),
         event_start.alias("event_start"),
         ts_text.alias("_ts_text"),
         F.when(~is_ftp_verb, method_up).alias("http_method"),
@@ -160,18 +166,17 @@ def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
         c("ftp_uid_text").try_cast("int").alias("user_id"),
         c("ftp_action").alias("_ftp_action"),
         c("body_content").alias("request_body"),
-    )
-    a = _barrier(a)
+    ]
 
     # ---- stage B: URL pieces, drops, outcome, errors -------------------------
-    a = a.withColumn("_url", urls.url_fields(c("_url_parts"), c("url_original"))).drop("_url_parts")
+    url = urls.url_fields(c("_url_parts"), c("url_original"))
     lq = c("_layout_query")
-    query = F.coalesce(c("_url.query"), F.when(lq.contains("#"), F.substring_index(lq, "#", 1)).otherwise(lq))
-    fragment = F.coalesce(c("_url.fragment"), F.when(lq.contains("#"), F.substring_index(lq, "#", -1)))
-    src_domain = c("src_url_domain") if "src_url_domain" in parsed.columns else F.lit(None).cast("string")
-    src_scheme = c("src_url_scheme") if "src_url_scheme" in parsed.columns else F.lit(None).cast("string")
+    query = F.coalesce(url["query"], F.when(lq.contains("#"), F.substring_index(lq, "#", 1)).otherwise(lq))
+    fragment = F.coalesce(url["fragment"], F.when(lq.contains("#"), F.substring_index(lq, "#", -1)))
+    src_domain = c("src_url_domain") if has_src_domain else F.lit(None).cast("string")
+    src_scheme = c("src_url_scheme") if has_src_scheme else F.lit(None).cast("string")
     # host header / URL host first, the source descriptor's domain as default
-    domain = F.coalesce(c("_layout_domain"), c("_url.address"), src_domain)
+    domain = F.coalesce(c("_layout_domain"), url["address"], src_domain)
     domain = F.when(~net.is_ipv4(domain) & (domain != F.coalesce(c("source_address"), F.lit(""))), domain)
     method = c("http_method")
     bad_method = F.coalesce(method.isin(*KNOWN_BAD_METHODS) | ~method.isin(*VALID_METHODS), F.lit(False))
@@ -184,7 +189,7 @@ def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
         F.when(c("message").startswith("#"), F.lit("comment"))
         .when(c("_ctl"), F.lit("escaped_control"))
         .when(F.coalesce(c("source_address").isin(*LOOPBACK), F.lit(False)), F.lit("loopback"))
-        .when(F.coalesce(c("_agent").rlike(DUMMY_AGENT_RX), F.lit(False)), F.lit("dummy_connection"))
+        .when(F.coalesce(c("_agent").contains(DUMMY_AGENT_RX), F.lit(False)), F.lit("dummy_connection"))
         .when(bad_method, F.lit("invalid_method"))
         .when(c("ftp_command").isNotNull() & ~retrieval, F.lit("ftp_non_retrieval"))
     )
@@ -198,16 +203,14 @@ def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
         F.when(date_fail, F.concat(F.lit("Failed to parse datetime from "), F.coalesce(c("_ts_text"), F.lit("-"))))
         .when(no_source, F.lit("Missing source address in log message"))
         .when(status >= 400, F.concat(F.lit("HTTP "), status.cast("string"))))
-    url_path = F.coalesce(c("_url.path"), F.when(c("_layout_path") != "-", c("_layout_path")))
-    b = a.select(
-        *[c(x) for x in a.columns if not x.startswith("_") or x in ("_json",)],
+    stage_b = [
         drop_reason.alias("drop_reason"),
-        url_path.alias("url_path_final"),
-        F.nullif(query, F.lit("")).alias("url_query_final"),
+        F.coalesce(url["path"], F.when(c("_layout_path") != "-", c("_layout_path"))).alias("url_path"),
+        F.nullif(query, F.lit("")).alias("url_query"),
         fragment.alias("url_fragment"),
-        F.coalesce(c("_layout_scheme"), c("_url.scheme"), src_scheme).alias("url_scheme"),
-        c("_url.username").alias("url_username"),
-        c("_url.port").alias("url_port"),
+        F.coalesce(c("_layout_scheme"), url["scheme"], src_scheme).alias("url_scheme"),
+        url["username"].alias("url_username"),
+        url["port"].alias("url_port"),
         domain.alias("url_domain"),
         F.when(empty_agent, F.lit("Unknown")).otherwise(c("_agent")).alias("user_agent"),
         F.coalesce(F.when(retrieval, c("ftp_command")), c("_ftp_action"), F.lit("access")).alias("event_action"),
@@ -222,34 +225,45 @@ def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
             _tag(bad_method, TAG_BAD_METHOD),
             _tag(c("_layout_path") == "-", TAG_NO_PATH),
             _tag(empty_agent, TAG_EMPTY_AGENT),
-            _tag(c("_url").isNotNull() & ~c("_url.parsed"), TAG_URL_SKIP),
-            _tag(query.rlike(SUSPICIOUS_QUERY_RX), TAG_SUSPICIOUS),
+            _tag(c("_url_parts").isNotNull() & ~url["parsed"], TAG_URL_SKIP),
+            _tag(query.contains("allow_url_include") | query.contains("auto_prepend_file"), TAG_SUSPICIOUS),
         ).alias("_raw_tags"),
-    )
-
-
-    b = _barrier(b)
+    ]
 
     # ---- stage C: query map, path arrays, tags, route, identity --------------
-    tags = F.array_distinct(F.filter(c("_raw_tags"), lambda t: t.isNotNull()))
-    parts = urls.path_parts(c("url_path"))
-    params = urls.query_multimap(c("url_query"))
-    out = (b.withColumnRenamed("url_path_final", "url_path")
-            .withColumnRenamed("url_query_final", "url_query")
-            .select("*", tags.alias("tags"), parts.alias("url_path_parts"),
-                    params.alias("url_query_params"))
-            .drop("_raw_tags", "_json"))
-    final = out.select(
-        "*",
+    stage_c1 = [
+        F.array_distinct(F.filter(c("_raw_tags"), lambda t: t.isNotNull())).alias("tags"),
+        urls.path_parts(c("url_path")).alias("url_path_parts"),
+        urls.query_multimap(c("url_query")).alias("url_query_params"),
+    ]
+    stage_c2 = [
         urls.path_depth(c("url_path_parts")).alias("url_path_depth"),
         urls.query_parts(c("url_query_params")).alias("url_query_parts"),
         F.when(c("drop_reason").isNotNull(), F.lit("dropped")).otherwise(route_of(c("tags"))).alias("route"),
         F.sha2(c("message"), 256).alias("event_hash"),
         F.date_format(c("event_start"), "yyyy-MM").alias("event_month"),
-    )
+    ]
+    return stage_a, stage_b, stage_c1, stage_c2
+
+
+def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
+    """Typed, tagged, routed events from parse captures (one row per line).
+
+    Columns other than the capture fields pass through unchanged (file path,
+    node, source descriptor, replay ids …).
+    """
+    from .layouts import CAPTURE_FIELDS
+    cols = parsed.columns
+    passthrough = [x for x in cols if x not in CAPTURE_FIELDS and x not in ("log_format", message_col, "_json_line")]
+    stage_a, stage_b, stage_c1, stage_c2 = _stage_exprs(
+        parsed.sparkSession.sparkContext.applicationId, message_col, "_json_line" in cols,
+        "src_url_domain" in cols, "src_url_scheme" in cols)
+    a = _barrier(parsed.select(*passthrough, *stage_a))
+    b = _barrier(a.select("*", *stage_b).drop(*_STAGE_A_INTERNAL))
     # Stage C stays an ordinary projection: columns a query does not use (query
     # maps, path arrays, hash) are pruned; filters stop at the stage-B barrier.
-    return final
+    cee = b.select("*", *stage_c1).drop("_raw_tags", "_json")
+    return cee.select("*", *stage_c2)
 
 
 def keep_events(events: DataFrame) -> DataFrame:
