@@ -68,8 +68,52 @@ def rule_expr(rule: Rule, value: Column) -> Column:
     return e if e is not None else F.lit(True)
 
 
-def classify_expr(value: Column, rules: list[Rule], default: str | None = None) -> Column:
-    """First matching rule's label, else ``default``."""
+def sql_string(s: str) -> str:
+    """A Spark SQL string literal (backslash escapes are processed by the parser)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def cond_sql(c: Cond, v: str) -> str:
+    """One condition as Spark SQL text over the column reference ``v``."""
+    p = sql_string(c.pattern)
+    if c.op == "regex":
+        return f"({v} RLIKE {p})"
+    if c.op == "like":
+        return f"({v} LIKE {p})"
+    if c.op == "ilike":
+        return f"(lower({v}) LIKE {p})"
+    if c.op == "contains":
+        return f"contains({v}, {p})"
+    if c.op in ("segment", "segment_like"):
+        seg = f"try_element_at(split({v}, '/'), {int(c.arg)})"
+        return f"({seg} = {p})" if c.op == "segment" else f"({seg} LIKE {p})"
+    raise ValueError(f"unknown rule operator {c.op!r}")
+
+
+def rule_sql(rule: Rule, v: str) -> str:
+    return " AND ".join(f"coalesce({cond_sql(c, v)}, false)" for c in rule.conds) or "true"
+
+
+def _chunks_sql(name: str, rules: list[Rule], then) -> list[Column]:
+    v = f"`{name}`"
+    ordered = sorted(rules, key=lambda r: r.priority)
+    out = []
+    for i in range(0, len(ordered), CHUNK):
+        whens = " ".join(f"WHEN {rule_sql(r, v)} THEN {then(r)}" for r in ordered[i:i + CHUNK])
+        out.append(F.expr(f"CASE {whens} END"))
+    return out
+
+
+def classify_expr(value: Column | str, rules: list[Rule], default: str | None = None) -> Column:
+    """First matching rule's label, else ``default``.
+
+    Given a column **name**, each chunk is one SQL ``CASE`` text parsed in the
+    JVM (one call however many rules); given a Column, it is built with the
+    Column API.
+    """
+    if isinstance(value, str):
+        chunks = _chunks_sql(value, rules, lambda r: sql_string(r.label))
+        return F.coalesce(*chunks, F.lit(default).cast("string"))
     ordered = sorted(rules, key=lambda r: r.priority)
     chunks = []
     for i in range(0, len(ordered), CHUNK):
@@ -81,8 +125,10 @@ def classify_expr(value: Column, rules: list[Rule], default: str | None = None)
     return F.coalesce(*chunks, F.lit(default).cast("string"))
 
 
-def first_match_index(value: Column, rules: list[Rule]) -> Column:
+def first_match_index(value: Column | str, rules: list[Rule]) -> Column:
     """Priority of the winning rule (null when none matches)."""
+    if isinstance(value, str):
+        return F.coalesce(*_chunks_sql(value, rules, lambda r: str(int(r.priority))))
     ordered = sorted(rules, key=lambda r: r.priority)
     chunks = []
     for i in range(0, len(ordered), CHUNK):
@@ -94,14 +140,19 @@ def first_match_index(value: Column, rules: list[Rule]) -> Column:
     return F.coalesce(*chunks)
 
 
-def all_matches(value: Column, rules: list[Rule]) -> Column:
+def all_matches(value: Column | str, rules: list[Rule]) -> Column:
     """Priorities of every rule that matches (for C7 lint)."""
+    if isinstance(value, str):
+        v = f"`{value}`"
+        items = ", ".join(f"CASE WHEN {rule_sql(r, v)} THEN {int(r.priority)} END"
+                          for r in sorted(rules, key=lambda r: r.priority))
+        return F.expr(f"filter(array({items}), x -> x IS NOT NULL)")
     arr = F.array(*[F.when(rule_expr(r, value), F.lit(r.priority)) for r in sorted(rules, key=lambda r: r.priority)])
     return F.filter(arr, lambda x: x.isNotNull())
 
 
 def classify(df: DataFrame, value_col: str, rules: list[Rule], out_col: str, default: str | None = None) -> DataFrame:
-    return df.withColumn(out_col, classify_expr(F.col(value_col), rules, default))
+    return df.withColumn(out_col, classify_expr(value_col, rules, default))
 
 
 def classify_distinct(df: DataFrame, value_col: str, rules: list[Rule], out_col: str,
@@ -114,7 +165,7 @@ def classify_distinct(df: DataFrame, value_col: str, rules: list[Rule], out_col:
     Null values get the default without entering the join.
     """
     labelled = (df.select(F.col(value_col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
-                .withColumn("__label", classify_expr(F.col("__v"), rules, default)))
+                .withColumn("__label", classify_expr("__v", rules, default)))
     # plain equality: null values never meet the labelled set (they would all
     # hash to one shuffle partition); they take the default below
     j = df.join(labelled, df[value_col] == labelled["__v"], "left")
@@ -130,8 +181,8 @@ def rule_lint(df: DataFrame, value_col: str, rules: list[Rule]) -> DataFrame:
     counted = df.groupBy(F.col(value_col).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
     scored = counted.select(
         "__n",
-        first_match_index(F.col("__v"), rules).alias("__first"),
-        all_matches(F.col("__v"), rules).alias("__all"),
+        first_match_index("__v", rules).alias("__first"),
+        all_matches("__v", rules).alias("__all"),
     )
     firsts = scored.groupBy(F.col("__first").alias("priority")).agg(F.sum("__n").alias("first_match_rows"))
     anys = (scored.select("__n", F.explode("__all").alias("priority"))
@@ -278,10 +329,18 @@ def _cond_tuple(op, pattern, arg=None):
     return (op, pattern, arg)
 
 
-def node_request_type(node: Column, request: Column, rule_sets: dict | None = None,
+def node_request_type(node: Column | str, request: Column | str, rule_sets: dict | None = None,
                       default: str = REQUEST_TYPE_DEFAULT) -> Column:
-    """C4: the node's own rule set applied to the request text."""
+    """C4: the node's own rule set applied to the request text (names → one SQL text)."""
     sets = rule_sets or REQUEST_TYPE_RULES
+    if isinstance(node, str) and isinstance(request, str):
+        v = f"`{request}`"
+        branches = []
+        for name, rules in sets.items():
+            whens = " ".join(f"WHEN {rule_sql(r, v)} THEN {sql_string(r.label)}"
+                             for r in sorted(rules, key=lambda r: r.priority))
+            branches.append(f"WHEN `{node}` = {sql_string(name)} THEN CASE {whens} ELSE {sql_string(default)} END")
+        return F.expr(f"CASE {' '.join(branches)} ELSE {sql_string(default)} END")
     e = None
     for name, rules in sets.items():
         x = classify_expr(request, rules, default)

@@ -77,7 +77,7 @@ def node_summary(detail: DataFrame, rule_sets: dict | None = None) -> DataFrame:
         summary_method(F.col("client_request")).alias("http_method"),
         F.col("status"),
         R.robot_or_human(F.col("user_agent")).alias("user_type"),
-        R.node_request_type(F.col("node"), F.col("client_request"), rule_sets).alias("request_type"),
+        R.node_request_type("node", "client_request", rule_sets).alias("request_type"),
         "client_request", "user_agent", "client_ip",
         summary_bytes(F.col("size")).alias("__bytes"),
     )

@@ -269,7 +269,7 @@ def _part_text(spark, sf):
 
 def q_request_type_rules(spark, sf):
     t = _part_text(spark, sf)
-    return t.select("p_partkey", R.classify_expr(F.col("text"), D.PART_RULES, "other").alias("label"))
+    return t.select("p_partkey", R.classify_expr("text", D.PART_RULES, "other").alias("label"))
 
 
 def q_bundle_then_mission(spark, sf):

@@ -60,3 +60,20 @@ def test_rules_from_table(spark):
                               "rule_set string, priority int, field string, op string, arg int, pattern string, label string")
     sets = R.rules_from_df(t)
     assert [r.label for r in sets["s"]] == ["has x", "q first"] and len(sets["s"][0].conds) == 2
+
+
+def test_sql_and_column_compilers_agree(spark):
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    t = part.select(F.concat_ws("/", "p_type", "p_name", "p_brand").alias("text"))
+    for rules in (D.PART_RULES, D.bundle_rules(), D.bundle_rules(268)):
+        a = t.select(R.classify_expr("text", rules, "other").alias("a"),
+                     R.classify_expr(F.col("text"), rules, "other").alias("b"),
+                     R.first_match_index("text", rules).alias("i"),
+                     R.first_match_index(F.col("text"), rules).alias("j"))
+        assert a.where("a <> b OR NOT (i <=> j)").count() == 0
+    reqs = spark.createDataFrame([("img", "GET /search/x"), ("naif", "GET /pub/naif/misc/a"), ("sbn", "X /wiki/y"),
+                                  ("geo", "GET /speclib/q'uote\\\\")], "node string, req string")
+    got = reqs.select(R.node_request_type("node", "req").alias("a"),
+                      R.node_request_type(F.col("node"), F.col("req")).alias("b"))
+    assert got.where("a <> b").count() == 0
+    assert [r.a for r in got.collect()] == ["Planetary Image Atlas III", "Misc", "Wiki", "Spectral Library"]
