@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import net
+from .partitioning import salted_join_back
 from .normalise import is_quarantined
 
 
@@ -111,8 +112,8 @@ def registered_domain(df: DataFrame, suffixes: DataFrame, host_col: str, prefix:
     res = resolve_domains(df.select(F.col(host_col).alias("host")), suffixes)
     res = res.select(F.col("host").alias("__h"), *[F.col(c).alias(prefix + c) for c in
                      ("registered_domain", "top_level_domain", "second_level_domain", "sub_domain")])
-    j = df.join(res, F.lower(df[host_col]) == res["__h"], "left")
-    return j.drop("__h")
+    j = salted_join_back(df.withColumn("__lh", F.lower(F.col(host_col))), res, "__lh", "__h")
+    return j.drop("__h", "__lh")
 
 
 # ---------------------------------------------------------------------------
@@ -190,5 +191,5 @@ def parse_agents(df: DataFrame, agent_rules: DataFrame, agent_col: str = "user_a
     schema = "__agent string, " + ", ".join(f"{c} string" for c in AGENT_FIELDS)
     distinct_agents = df.select(F.col(agent_col).alias("__agent")).where(F.col("__agent").isNotNull()).distinct()
     labelled = distinct_agents.mapInPandas(classify_batches, schema)
-    j = df.join(labelled, df[agent_col] == labelled["__agent"], "left")
+    j = salted_join_back(df, labelled, agent_col, "__agent")
     return j.drop("__agent")

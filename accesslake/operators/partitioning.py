@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, *keys: str, target: int | None = None) -> DataFrame:
@@ -18,3 +19,27 @@ def spread(df: DataFrame, *keys: str, target: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
+
+
+JOIN_BACK_SALT_BUCKETS = 8
+
+
+def salted_join_back(big: DataFrame, labels: DataFrame, big_key: str, label_key: str,
+                     buckets: int = JOIN_BACK_SALT_BUCKETS) -> DataFrame:
+    """Left-join a per-distinct-value label table back onto the rows.
+
+    One value may carry a third of all rows (a bot's agent, a hot URL, one
+    host).  The label table holds one row per distinct value, so it is cheap
+    to replicate over ``buckets`` salts; each row takes salt
+    ``monotonically_increasing_id() mod buckets`` and the hot value's rows
+    spread over ``buckets`` reducers instead of one.  The result does not
+    depend on which salt a row gets (every salt holds a full copy of the
+    labels), so task retries stay correct.  When AQE broadcasts the label
+    table the salt is simply part of the hash key.
+    """
+    if buckets <= 1:
+        return big.join(labels, big[big_key] == labels[label_key], "left")
+    lab = labels.withColumn("__salt_l", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    b = big.withColumn("__salt_b", F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
+    j = b.join(lab, (b[big_key] == lab[label_key]) & (b["__salt_b"] == lab["__salt_l"]), "left")
+    return j.drop("__salt_b", "__salt_l")

@@ -28,6 +28,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .partitioning import salted_join_back
+
 CHUNK = 50
 
 
@@ -166,9 +168,9 @@ def classify_distinct(df: DataFrame, value_col: str, rules: list[Rule], out_col:
     """
     labelled = (df.select(F.col(value_col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
                 .withColumn("__label", classify_expr("__v", rules, default)))
-    # plain equality: null values never meet the labelled set (they would all
-    # hash to one shuffle partition); they take the default below
-    j = df.join(labelled, df[value_col] == labelled["__v"], "left")
+    # plain equality: null values never meet the labelled set; they take the
+    # default below.  Hot values are spread by salting the join back.
+    j = salted_join_back(df, labelled, value_col, "__v")
     return j.withColumn(out_col, F.coalesce(F.col("__label"), F.lit(default).cast("string"))).drop("__v", "__label")
 
 

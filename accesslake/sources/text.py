@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import salted_join_back
+
 SOURCE_COLUMNS = ("prefix", "organization", "url_domain", "url_scheme", "dataset", "cdn_format")
 
 
@@ -71,7 +73,7 @@ def attach_source(lines: DataFrame, sources: DataFrame, path_col: str = "file_pa
     best = m.groupBy("__path").agg(F.max_by(F.struct(*[F.col(f"src_{c}") for c in SOURCE_COLUMNS]),
                                             F.col("__depth")).alias("__src"))
     resolved = best.select("__path", *[F.col(f"__src.src_{c}").alias(f"src_{c}") for c in SOURCE_COLUMNS])
-    return lines.join(resolved, lines[path_col] == resolved["__path"], "left").drop("__path")
+    return salted_join_back(lines, resolved, path_col, "__path").drop("__path")
 
 
 def register_node_table(spark: SparkSession, name: str, location: str, fmt: str = "text") -> DataFrame:

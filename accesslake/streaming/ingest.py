@@ -26,16 +26,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import sinks
 from ..operators.normalise import is_quarantined
-from ..plans.ingest import Dimensions, transform
+from ..plans.ingest import Dimensions, enrich_events, transform
 from ..session import scratch_path
 from ..sources.text import stream_lines
 
 
-def micro_batch_writer(store_path: str, quarantine_path: str | None):
+def micro_batch_writer(store_path: str, quarantine_path: str | None, dims: Dimensions | None = None):
+    """T3/T7 writer.  Dimension joins that first take distinct values of the
+    batch (registered domains, agents) run here, on the micro-batch as an
+    ordinary DataFrame; on the stream itself they would be stream-stream joins."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()
         try:
             kept = batch.where(F.col("drop_reason").isNull())
+            if dims is not None:
+                kept = enrich_events(kept, dims)
             sinks.write_store(kept.where(~is_quarantined(F.col("tags"))), store_path)
             if quarantine_path:
                 sinks.write_quarantine(kept, quarantine_path)
@@ -46,8 +51,11 @@ def micro_batch_writer(store_path: str, quarantine_path: str | None):
 
 def ingest_stream(lines: DataFrame, dims: Dimensions | None = None,
                   dedupe_watermark: str | None = None) -> DataFrame:
-    """T2 (+T4): streaming lines → events, same transform as batch."""
-    ev = transform(lines.withColumn("ingested_at", F.current_timestamp()), dims, keep_dropped=True)
+    """T2 (+T4): streaming lines → events, same transform as batch.
+
+    Only the stateless per-row part runs on the stream; ``dims`` are applied
+    per micro-batch by ``micro_batch_writer``."""
+    ev = transform(lines.withColumn("ingested_at", F.current_timestamp()), None, keep_dropped=True)
     if dedupe_watermark:
         ev = ev.withWatermark("ingested_at", dedupe_watermark).dropDuplicatesWithinWatermark(["event_hash"])
     return ev
@@ -60,8 +68,8 @@ def start_ingest(spark: SparkSession, source_path: str, store_path: str,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental ingest query."""
     lines = stream_lines(spark, source_path, max_files_per_trigger=max_files_per_trigger)
-    ev = ingest_stream(lines, dims, dedupe_watermark)
-    w = (ev.writeStream.foreachBatch(micro_batch_writer(store_path, quarantine_path))
+    ev = ingest_stream(lines, None, dedupe_watermark)
+    w = (ev.writeStream.foreachBatch(micro_batch_writer(store_path, quarantine_path, dims))
            .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-checkpoint")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()

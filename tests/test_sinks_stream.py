@@ -98,3 +98,17 @@ def test_stream_dedupe_within_watermark(spark):
            .option("checkpointLocation", scratch_path(spark, "ck-wm")).start())
     q.awaitTermination()
     assert spark.table("wm_dedupe").count() == 3
+
+
+def test_stream_with_dimensions(spark):
+    from accesslake.plans.ingest import Dimensions
+    from accesslake.plans import dims as D
+    src = scratch_path(spark, "test-stream-dims")
+    lines_df(spark).coalesce(1).write.text(src)
+    dns = spark.createDataFrame([("192.0.2.10", "web-1.example.org")], "address string, name string")
+    store = scratch_path(spark, "test-stream-dims-store")
+    q = start_ingest(spark, src, store, checkpoint=scratch_path(spark, "ck-dims"),
+                     dims=Dimensions(dns=dns, public_suffix=D.public_suffix(spark)))
+    q.awaitTermination()
+    got = spark.read.parquet(store).where("source_address = '192.0.2.10'").first()
+    assert got.source_domain == "web-1.example.org" and got.source_registered_domain == "web-1.example.org"
