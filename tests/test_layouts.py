@@ -130,3 +130,32 @@ def test_transform_keeps_only_events(spark):
     ev = transform(df)
     assert ev.where(F.col("drop_reason").isNotNull()).count() == 0
     assert ev.count() == sum(1 for _, route, _ in HTTPS if route != "dropped")
+
+
+EXTRA = [
+    ('192.0.2.60 - - [10/Oct/2023:13:55:36 +0000] "GET /min/path HTTP/1.1"', "apache_minimal"),
+    ("2023-10-10 13:55:36 192.0.2.1 GET /p.htm q=1 443 - 198.51.100.11 Mozilla/5.0 200 0 0 100 20 7", "iis"),
+    ('192.0.2.61 - John Smith [10/Oct/2023:13:55:36 +0000] "GET /a?x=1 HTTP/1.1" 200 10 "-" "ua/1"', "apache_bad_user"),
+    ('192.0.2.62 - - [10/Oct/2023:13:55:36 +0000] "GET /café\u0001 HTTP/1.1" 200 10 "-" "ua/1"', "apache_combined"),
+]
+
+
+def test_more_layouts_and_cleanup(spark):
+    got = run(spark, [(line, None, None) for line, _ in EXTRA])
+    for i, (_, fmt) in enumerate(EXTRA):
+        assert got[i].log_format == fmt, (i, got[i].log_format)
+    minimal = got[0]
+    assert minimal.url_path == "/min/path" and minimal.status_code is None and minimal.event_outcome is None
+    iis = got[1]
+    assert (iis.url_path, iis.url_query, iis.server_ip, iis.source_address) == ("/p.htm", "q=1", "192.0.2.1", "198.51.100.11")
+    bad_user = got[2]
+    assert bad_user.user_name == "John Smith" and bad_user.url_path is None and bad_user.request_body == "/a?x=1"
+    assert got[3].url_original == "/caf" and got[3].url_path == "/caf"   # N3: non-printable removed
+
+
+def test_domain_equal_to_client_is_dropped(spark):
+    df = spark.createDataFrame([(
+        "2026-06-25\t00:01:02\tSEA73-P1\t1\t192.0.2.70\tGET\td1.cdn.example\t/a\t200\t-\tua\t-\t-\tHit\tr\t"
+        "192.0.2.70\thttps\t1\t0.1\t-",)], "value string")
+    r = to_events(parse_lines(df)).first()
+    assert r.log_format == "cdn_w3c" and r.url_domain is None
