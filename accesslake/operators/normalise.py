@@ -255,8 +255,12 @@ def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
     from .layouts import CAPTURE_FIELDS
     cols = parsed.columns
     passthrough = [x for x in cols if x not in CAPTURE_FIELDS and x not in ("log_format", message_col, "_json_line")]
+    try:
+        app_id = parsed.sparkSession.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext handle
+        app_id = "session"
     stage_a, stage_b, stage_c1, stage_c2 = _stage_exprs(
-        parsed.sparkSession.sparkContext.applicationId, message_col, "_json_line" in cols,
+        app_id, message_col, "_json_line" in cols,
         "src_url_domain" in cols, "src_url_scheme" in cols)
     a = _barrier(parsed.select(*passthrough, *stage_a))
     b = _barrier(a.select("*", *stage_b).drop(*_STAGE_A_INTERNAL))

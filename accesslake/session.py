@@ -50,15 +50,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     there).  Only when it is unset, as in local tests, a folder is chosen.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext handle
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = os.path.join(os.environ.get("ACCESSLAKE_LOCAL_SCRATCH", "/tmp"), "accesslake-ckpt")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
