@@ -13,11 +13,15 @@ IPV6 = (r"(?<![0-9A-Fa-f:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
         r"|(?:(?:[0-9A-Fa-f]{1,4}:){1,7}|:):(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)"
         r"(?:%[0-9A-Za-z]+)?(?![0-9A-Fa-f:])")
 IP = f"(?:{IPV6}|{IPV4})"
-HOSTNAME = (r"\b(?:[0-9A-Za-z][0-9A-Za-z-]{0,62})(?:\.(?:[0-9A-Za-z][0-9A-Za-z-]{0,62}))*"
-            r"(?:\.?|\b)")
+# Atomic groups below never change what matches: every use of these tokens is
+# followed by a separator the token cannot contain (space, tab, "@"), so a
+# shorter match could never succeed; they only stop useless backtracking in
+# branches that are going to fail anyway.
+HOSTNAME = (r"(?>\b(?:[0-9A-Za-z][0-9A-Za-z-]{0,62})(?:\.(?:[0-9A-Za-z][0-9A-Za-z-]{0,62}))*"
+            r"(?:\.?|\b))")
 IPORHOST = f"(?:{IP}|{HOSTNAME})"
-USERNAME = r"[a-zA-Z0-9._-]+"
-EMAIL = r"[a-zA-Z0-9._%+-]+@" + HOSTNAME
+USERNAME = r"(?>[a-zA-Z0-9._-]+)"
+EMAIL = r"(?>[a-zA-Z0-9._%+-]+)@" + HOSTNAME
 HTTPDUSER = f"(?:{EMAIL}|{USERNAME})"
 MONTH = (r"\b(?:[Jj]an(?:uary)?|[Ff]eb(?:ruary)?|[Mm]ar(?:ch)?|[Aa]pr(?:il)?|[Mm]ay"
          r"|[Jj]un(?:e)?|[Jj]ul(?:y)?|[Aa]ug(?:ust)?|[Ss]ep(?:t|tember)?|[Oo]ct(?:ober)?"
