@@ -77,8 +77,15 @@ def quarantine_lines(events: DataFrame) -> DataFrame:
     return q.select(month.alias("quarantine_month"), line.alias("value"))
 
 
-def write_quarantine(events: DataFrame, path: str) -> None:
-    quarantine_lines(events).write.mode("append").partitionBy("quarantine_month").text(path)
+def write_quarantine(events: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """K2/T7 writer.  With ``batch_id`` (a streaming epoch) the lines go to their
+    own ``batch=<id>`` folder in overwrite mode, so a replayed epoch replaces
+    its output instead of appending it twice."""
+    lines = quarantine_lines(events).write.partitionBy("quarantine_month")
+    if batch_id is None:
+        lines.mode("append").text(path)
+    else:
+        lines.mode("overwrite").text(f"{path.rstrip('/')}/batch={int(batch_id)}")
 
 
 def write_routed(events: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -43,7 +43,7 @@ def micro_batch_writer(store_path: str, quarantine_path: str | None, dims: Dimen
                 kept = enrich_events(kept, dims)
             sinks.write_store(kept.where(~is_quarantined(F.col("tags"))), store_path)
             if quarantine_path:
-                sinks.write_quarantine(kept, quarantine_path)
+                sinks.write_quarantine(kept, quarantine_path, batch_id=epoch_id)
         finally:
             batch.unpersist()
     return write
