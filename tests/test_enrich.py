@@ -51,3 +51,17 @@ def test_parse_agents(spark):
     assert (got["curl/8.4.0"].ua_name, got["curl/8.4.0"].ua_version) == ("curl", "8.4.0")
     assert (got["python-requests/2.31.0"].ua_name, got["python-requests/2.31.0"].ua_version) == ("Python Requests", "2.31")
     assert got["something"].ua_name == "Other" and got[None].ua_name is None
+
+
+def test_url_host_domain_and_ip_hosts(spark):
+    from accesslake.plans.ingest import Dimensions, enrich_events, transform
+    lines = spark.createDataFrame([
+        ('192.0.2.80 - - [10/Oct/2023:13:55:36 +0000] "GET http://files.data.example.org:8080/a/b?x=1 HTTP/1.1" 200 5 "-" "ua"',),
+        ('192.0.2.81 - - [10/Oct/2023:13:55:36 +0000] "GET http://198.51.100.9:8080/a HTTP/1.1" 200 5 "-" "ua"',),
+    ], "value string")
+    ev = enrich_events(transform(lines), Dimensions(public_suffix=D.public_suffix(spark)))
+    got = {r.source_address: r for r in ev.collect()}
+    a = got["192.0.2.80"]
+    assert (a.url_domain, a.url_port, a.url_path, a.url_query) == ("files.data.example.org", "8080", "/a/b", "x=1")
+    assert a.url_registered_domain == "data.example.org" and a.url_sub_domain == "files"
+    assert got["192.0.2.81"].url_domain is None and got["192.0.2.81"].url_registered_domain is None
