@@ -33,3 +33,16 @@ def test_node_partitioned_table(spark):
     df = register_node_table(spark, "raw_lines_test", root)
     assert {r.node: r.n for r in df.groupBy("node").agg(F.count("*").alias("n")).collect()} == {"atm": 2, "sbn": 1}
     assert spark.sql("SELECT count(*) AS n FROM raw_lines_test WHERE node = 'atm'").first().n == 2
+
+
+def test_gzip_lines(spark):
+    import gzip
+    root = scratch_path(spark, "gz-src")
+    if root.startswith("file:"):
+        root = root[5:]
+    os.makedirs(f"{root}/logs/sbn", exist_ok=True)
+    with gzip.open(f"{root}/logs/sbn/access.log.gz", "wt") as fh:
+        fh.write("x\ny\nz\n")
+    df = read_lines(spark, root, glob="*.gz", repartition=4)
+    assert sorted(r.value for r in df.collect()) == ["x", "y", "z"]
+    assert df.rdd.getNumPartitions() == 4

@@ -42,3 +42,15 @@ def test_summary_and_rollup(spark):
 def test_search_terms(spark):
     t = sqlchain.search_terms(detail(spark)).collect()
     assert [x.query_text for x in t] == ["red rover x"]
+
+
+def test_ordering_helpers(spark):
+    s = sqlchain.node_summary(detail(spark))
+    dates = [r.date for r in sqlchain.ordered_summary(s).collect()]
+    assert dates == sorted(dates, key=lambda d: (d is not None, d))
+    r = sqlchain.ordered_rollup(sqlchain.all_node_rollup(s)).collect()
+    assert [x.node for x in r] == sorted(x.node for x in r)
+    v = sqlchain.ordered_detail(sqlchain.detail_view(detail(spark))).collect()
+    assert len(v) == 4
+    u = sqlchain.union_summaries(s, s)
+    assert u.count() == 2 * s.count()
