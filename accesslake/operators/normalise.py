@@ -35,9 +35,9 @@ FTP_VERBS = (
 KNOWN_BAD_METHODS = ("SSTP_DUPLEX_POST", "SSTP_DUPLEX_GET")
 FTP_RETRIEVAL = ("RETR", "BOTZETR")
 LOOPBACK = ("::1", "127.0.0.1")
-DUMMY_AGENT_RX = "internal dummy connection"
+DUMMY_AGENT_TEXT = "internal dummy connection"
 ESCAPED_CONTROL_RX = r"\\u00[0-9a-fA-F]{2}"
-SUSPICIOUS_QUERY_RX = "allow_url_include|auto_prepend_file"
+SUSPICIOUS_QUERY_KEYS = ("allow_url_include", "auto_prepend_file")
 
 TAG_PARSE_FAILURE = "_grok_filter_initial_parse_failure"
 TAG_JSON_FAILURE = "_cf_json_parse_failure"
@@ -189,7 +189,7 @@ def _stage_exprs(app_id: str, message_col: str, has_json: bool, has_src_domain:
         F.when(c("message").startswith("#"), F.lit("comment"))
         .when(c("_ctl"), F.lit("escaped_control"))
         .when(F.coalesce(c("source_address").isin(*LOOPBACK), F.lit(False)), F.lit("loopback"))
-        .when(F.coalesce(c("_agent").contains(DUMMY_AGENT_RX), F.lit(False)), F.lit("dummy_connection"))
+        .when(F.coalesce(c("_agent").contains(DUMMY_AGENT_TEXT), F.lit(False)), F.lit("dummy_connection"))
         .when(bad_method, F.lit("invalid_method"))
         .when(c("ftp_command").isNotNull() & ~retrieval, F.lit("ftp_non_retrieval"))
     )
@@ -226,7 +226,8 @@ def _stage_exprs(app_id: str, message_col: str, has_json: bool, has_src_domain:
             _tag(c("_layout_path") == "-", TAG_NO_PATH),
             _tag(empty_agent, TAG_EMPTY_AGENT),
             _tag(c("_url_parts").isNotNull() & ~url["parsed"], TAG_URL_SKIP),
-            _tag(query.contains("allow_url_include") | query.contains("auto_prepend_file"), TAG_SUSPICIOUS),
+            _tag(functools.reduce(lambda x, y: x | y, [query.contains(k) for k in SUSPICIOUS_QUERY_KEYS]),
+                 TAG_SUSPICIOUS),
         ).alias("_raw_tags"),
     ]
 

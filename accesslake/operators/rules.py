@@ -327,10 +327,6 @@ REQUEST_TYPE_DEFAULT = "archive"
 # ---------------------------------------------------------------------------
 
 
-def _cond_tuple(op, pattern, arg=None):
-    return (op, pattern, arg)
-
-
 def node_request_type(node: Column | str, request: Column | str, rule_sets: dict | None = None,
                       default: str = REQUEST_TYPE_DEFAULT) -> Column:
     """C4: the node's own rule set applied to the request text (names → one SQL text)."""

@@ -8,6 +8,8 @@ small compiler of their own (``rules_sql``).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from ..operators import rules as R
 from ..operators import sqlchain
 from ..sources import replay
@@ -84,8 +86,6 @@ rq AS (
   FROM req)
 """
 
-TS = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
-
 DNS = f"""
 dns AS (
   SELECT '10.' || CAST(c_custkey // 250 AS VARCHAR) || '.' || CAST(c_custkey % 250 AS VARCHAR) || '.'
@@ -111,8 +111,9 @@ evd AS (
   FROM ev LEFT JOIN dom ON dom.host = lower(ev.source_domain))
 """
 
-WINDOW = (f"ts_s BETWEEN TIMESTAMP '{(AS_OF.replace() - __import__('datetime').timedelta(hours=WINDOW_HOURS)).strftime('%Y-%m-%d %H:%M:%S')}'"
-          f" AND TIMESTAMP '{AS_OF.strftime('%Y-%m-%d %H:%M:%S')}'")
+_WINDOW_START = AS_OF - dt.timedelta(hours=WINDOW_HOURS)
+WINDOW = (f"ts_s BETWEEN TIMESTAMP '{_WINDOW_START:%Y-%m-%d %H:%M:%S}'"
+          f" AND TIMESTAMP '{AS_OF:%Y-%m-%d %H:%M:%S}'")
 
 NOISE = """
 nz AS (SELECT *, event_id % 12 AS k FROM rq)
@@ -233,10 +234,6 @@ kept AS (
 """
 
 
-def _ftp_bytes_or_null() -> str:
-    return ""
-
-
 ORACLE_SQL: dict[str, str] = {}
 
 ORACLE_SQL["parse_combined_roundtrip"] = f"""
