@@ -97,8 +97,9 @@ def route_of(tags: Column) -> Column:
     return expr.otherwise(F.lit(DEFAULT_ROUTE))
 
 
-def is_quarantined(tags: Column) -> Column:
+def is_quarantined(tags: Column | str) -> Column:
     """K2 predicate: the row carries one of the quarantine tags."""
+    tags = F.col(tags) if isinstance(tags, str) else tags
     return F.coalesce(F.arrays_overlap(tags, F.array(*[F.lit(t) for t in QUARANTINE_TAGS])), F.lit(False))
 
 
