@@ -305,6 +305,12 @@ def q_detail_view(spark, sf):
                     "client_request", "status", "user_agent", "user_type", "bytes")
 
 
+def q_search_terms(spark, sf):
+    t = sqlchain.search_terms(detail(spark, sf))
+    return t.select(F.col("date").cast("string").alias("date"), "query_text", "client_request", "client_ip",
+                    "datetime", "status", "bytes", "referer", "user_agent")
+
+
 def q_search_terms_daily(spark, sf):
     t = sqlchain.search_terms(detail(spark, sf))
     return sqlchain.search_terms_daily(t).select(F.col("date").cast("string").alias("date"), "query_text",
@@ -429,6 +435,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "node_summary": q_node_summary,
     "all_node_rollup": q_all_node_rollup,
     "detail_view": q_detail_view,
+    "search_terms": q_search_terms,
     "search_terms_daily": q_search_terms_daily,
     "top_search_terms": q_top_search_terms,
     "mission_downloads": q_mission_downloads,

@@ -510,6 +510,14 @@ FROM det WHERE len(string_split(size, ' ')) = 1
 
 _SEARCH = "node = 'en' AND method = 'GET'"
 
+ORACLE_SQL["search_terms"] = f"""
+WITH {REQ}, {DETAIL.strip()}
+SELECT date, lower(coalesce(p_name, 'unknown')) AS query_text, client_request, client_ip, datetime, status,
+       TRY_CAST(replace(size, '-', '0') AS BIGINT) AS bytes, referer, user_agent
+FROM det JOIN (SELECT event_id, method FROM rq) USING (event_id)
+WHERE {_SEARCH}
+"""
+
 ORACLE_SQL["search_terms_daily"] = f"""
 WITH {REQ}, {DETAIL.strip()}
 SELECT date, lower(coalesce(p_name, 'unknown')) AS query_text, CAST(count(*) AS BIGINT) AS searches
