@@ -112,3 +112,16 @@ def test_stream_with_dimensions(spark):
     q.awaitTermination()
     got = spark.read.parquet(store).where("source_address = '192.0.2.10'").first()
     assert got.source_domain == "web-1.example.org" and got.source_registered_domain == "web-1.example.org"
+
+
+def test_ftp_egress_option_and_key_counts(spark):
+    from .fixtures import FTP
+    df = spark.createDataFrame([("s3://b/logs/ftp/x.log", line) for line, _, _ in FTP], "file_path string, value string")
+    ev = transform(df)
+    base = rollups.egress_total(ev).first()
+    with_ftp = rollups.egress_total(ev, include_ftp=True).first()
+    # response bytes: IIS FTP RETR 1024, Apache-format RETR 10, BOTZETR 0; xferlog rows only network bytes
+    assert base.bytes == 1024 + 10 + 0
+    assert with_ftp.bytes == base.bytes + 1048576 + 999999999999
+    by_key = rollups.count_by_key(ev, "/logs/ftp/").collect()
+    assert sum(r.events for r in by_key) == ev.count()
