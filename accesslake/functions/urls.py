@@ -60,10 +60,14 @@ def split_url(url: Column) -> Column:
 
 
 def sanitize_key(k: Column) -> Column:
-    """U8: ``.``/``[``/``]`` → ``_``, runs of ``_`` collapsed, edge ``_`` trimmed."""
-    k = F.regexp_replace(k, r"[.\[\]]", "_")
-    k = F.regexp_replace(k, "_+", "_")
-    return F.regexp_replace(k, "^_|_$", "")
+    """U8: ``.``/``[``/``]`` → ``_``, runs of ``_`` collapsed, edge ``_`` trimmed.
+
+    Keys without any of ``. [ ] _`` are already clean and skip the three
+    replacements (one scan instead of three regex passes)."""
+    s = F.regexp_replace(k, r"[.\[\]]", "_")
+    s = F.regexp_replace(s, "_+", "_")
+    s = F.regexp_replace(s, "^_|_$", "")
+    return F.when(k.rlike(r"[.\[\]_]"), s).otherwise(k)
 
 
 def query_multimap(query: Column) -> Column:
