@@ -1,4 +1,5 @@
 import __spark_entry__ as E
+from accesslake.plans import catalog, oracle
 
 
 def test_entry_runs(spark):
@@ -9,7 +10,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracle.ORACLE_SQL)
+    assert set(catalog.QUERIES) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_small_queries_run(spark):
