@@ -23,9 +23,9 @@ from .common import text_of, tuned
 from .words import MARKS, shingles, word_hashes
 
 BITS = 18
-TRAIN_ROWS = 12_000
-EPOCHS = 2
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
+TRAIN_ROWS = 16_000
+EPOCHS = 4
+ALPHA, BETA, L1, L2 = 8.0, 1.0, 0.001, 0.0
 THRESHOLD = 0.3
 
 
