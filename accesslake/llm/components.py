@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import free, stored
@@ -48,30 +48,36 @@ def bucketed(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], name: s
     """(node, root) of the keys that confirmed links join, from ``rows`` (bucket, key): buckets with two keys or more.
 
     In each round every open bucket compares its members of other components
-    with one hub, which then leaves.  A bucket closes when all its members are
-    connected, so every pair that could join two components is tested; the
-    rows shrink by one hub a bucket and round, and all pairs are never listed.
-    ``confirm`` gets distinct pairs (a, b) and returns those that link.
+    with its hubs, which then leave.  A bucket closes when all its members are
+    connected, so every pair that could join two components is tested, and
+    pairs inside a component are never listed.  The first round has one hub a
+    bucket; each later one eight times as many, so that a bucket of members
+    that are not alike closes after a few rounds too.  ``confirm`` gets
+    distinct pairs (a, b) and returns those that link.
     """
-    members, edges, roots, turn = rows, None, None, 0
+    members, edges, roots, hubs = rows, None, None, 1
     while True:
         now = members.select("bucket", "key", F.col("key").alias("root")) if roots is None else members.join(
             roots.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
-        # first the smallest key, the same one for all buckets of a group; later another one in each bucket
-        order = F.col("key") if not turn else F.xxhash64("key", "bucket", F.lit(turn))
-        hubs = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                         F.min(F.struct(order.alias("o"), "key", "root")).alias("h")).where("lo <> hi")
-        hubs = hubs.select("bucket", F.col("h.key").alias("hub"), F.col("h.root").alias("hub_root"))
-        left = stored(now.join(hubs, "bucket").where("key <> hub"), f"{name}-open")
-        pairs = left.where("root <> hub_root").select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
-        found = stored(confirm(pairs), f"{name}-links")
-        if turn:
-            free(members)
+        ends = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("key").alias("hub"),
+                                         F.min(F.struct("key", "root")).getField("root").alias("hub_root")).where("lo <> hi")
+        if hubs == 1:
+            left = now.join(ends.drop("lo", "hi"), "bucket").where("key <> hub")
+            left = stored(left, f"{name}-open")
+            pairs = left.where("root <> hub_root").select("key", "hub")
+            rest = left
+        else:
+            turn = F.row_number().over(Window.partitionBy("bucket").orderBy("key"))
+            left = stored(now.join(ends.select("bucket"), "bucket").withColumn("turn", turn), f"{name}-open")
+            chosen = left.where(F.col("turn") <= hubs).select("bucket", F.col("key").alias("hub"), F.col("root").alias("hub_root"),
+                                                              F.col("turn").alias("hub_turn"))
+            pairs = left.join(chosen, "bucket").where("turn > hub_turn and root <> hub_root").select("key", "hub")
+            rest = left.where(F.col("turn") > hubs)
+        found = stored(confirm(pairs.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()), f"{name}-links")
         edges = found if edges is None else stored(edges.union(found), f"{name}-links")
         if roots is None or not found.isEmpty():
             free(roots)
             roots = stored(components(edges, f"{name}-roots"), f"{name}-roots")
-        if left.isEmpty():
+        if rest.isEmpty():
             return roots
-        members, turn = left.select("bucket", "key"), turn + 1
-        members._scratch = left._scratch
+        members, hubs = rest.select("bucket", "key"), hubs * 8

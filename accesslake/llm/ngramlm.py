@@ -63,12 +63,12 @@ class EliasFano:
             np.bitwise_or.at(bits, (at[over] >> 6) + 1, v[over] >> (U(64) - sh[over]))
         rank = np.zeros(len(words) + 1, np.int64)
         np.cumsum(np.bitwise_count(words), out=rank[1:])
-        return {"head": np.array([n, low], np.int64), "high": words, "low": bits, "rank": rank}
+        return {"head": np.array([n, low], np.int64), "high": words, "low": bits, "rank": rank,
+                "zeros": np.arange(len(rank), dtype=np.int64) * 64 - rank}
 
-    def __init__(self, head, high, low, rank):
+    def __init__(self, head, high, low, rank, zeros):
         self.n, self.l = int(head[0]), int(head[1])
-        self.high, self.low, self.rank = high, low, rank
-        self.zeros = np.arange(len(rank), dtype=np.int64) * 64 - rank
+        self.high, self.low, self.rank, self.zeros = high, low, rank, zeros
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.l:
@@ -96,27 +96,32 @@ class EliasFano:
         one = w * 64 + self._select(self.high[w], i - self.rank[w])
         return ((one - i).astype(np.uint64) << U(self.l)) | self._low(i)
 
+    def _after_zero(self, k: np.ndarray) -> np.ndarray:
+        """Elements before the k-th zero of the high bits (from 1; 0: none), that is, in the high buckets below k."""
+        j = np.maximum(k - 1, 0)
+        w = np.searchsorted(self.zeros, j, "right") - 1
+        return np.where(k > 0, w * 64 + self._select(~self.high[w], j - self.zeros[w]) - j, 0)
+
     def find(self, x: np.ndarray) -> np.ndarray:
-        """Index of each x, or -1: search from the first element of x's high bucket for its successor."""
+        """Index of each x, or -1: search for its successor among the elements with x's high bits."""
         out = np.full(len(x), -1, np.int64)
         if not self.n or not len(x):
             return out
-        b = (x >> U(self.l)).astype(np.int64)
-        live = np.flatnonzero(b <= int(self.zeros[-1]))
-        b = b[live]
-        # bucket b begins after the b-th zero (b = 0: at position 0)
-        w = np.searchsorted(self.zeros, np.maximum(b - 1, 0), "right") - 1
-        pos = w * 64 + self._select(~self.high[np.minimum(w, len(self.high) - 1)], np.maximum(b - 1, 0) - self.zeros[w]) + 1
-        pos[b == 0] = 0
-        i, want = pos - b, x[live] & U((1 << self.l) - 1)
-        while len(live):
-            bit = (self.high[np.minimum(pos >> 6, len(self.high) - 1)] >> (pos & 63).astype(np.uint64)) & U(1)
-            on = (bit == 1) & (i < self.n)
-            live, pos, i, want = live[on], pos[on], i[on], want[on]
-            got = self._low(i)
-            out[live[got == want]] = i[got == want]
-            on = got < want
-            live, pos, i, want = live[on], pos[on] + 1, i[on] + 1, want[on]
+        high = (x >> U(self.l)).astype(np.int64)
+        live = np.flatnonzero(high < int(self.zeros[-1]))
+        want = x[live] & U((1 << self.l) - 1)
+        lo, hi = self._after_zero(high[live]), self._after_zero(high[live] + 1)
+        end = hi.copy()
+        todo = np.flatnonzero(lo < hi)
+        while len(todo):
+            mid = (lo[todo] + hi[todo]) >> 1
+            below = self._low(mid) < want[todo]
+            lo[todo] = np.where(below, mid + 1, lo[todo])
+            hi[todo] = np.where(below, hi[todo], mid)
+            todo = todo[lo[todo] < hi[todo]]
+        some = np.flatnonzero(lo < end)
+        some = some[self._low(lo[some]) == want[some]]
+        out[live[some]] = lo[some]
         return out
 
 
@@ -230,7 +235,7 @@ class Shard:
         self.discount, self.bits = head["discount"], head["bits"]
         self.counts, self.levels = get("counts"), get("levels")
         self.words, self.pointers, self.successors = (
-            EliasFano(*(get(f"{k}.{f}") for f in ("head", "high", "low", "rank"))) for k in ("words", "pointers", "successors"))
+            EliasFano(*(get(f"{k}.{f}") for f in ("head", "high", "low", "rank", "zeros"))) for k in ("words", "pointers", "successors"))
 
     def share(self, ctx: np.ndarray, successor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(discounted share, weight of the unigram) for context ranks and successor hashes."""
