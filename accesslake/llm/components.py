@@ -51,23 +51,28 @@ def bucketed(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], name: s
     with its hubs, which then leave.  A bucket closes when all its members are
     connected, so every pair that could join two components is tested, and
     pairs inside a component are never listed.  The first round has one hub a
-    bucket; each later one eight times as many, so that a bucket of members
-    that are not alike closes after a few rounds too.  ``confirm`` gets
-    distinct pairs (a, b) and returns those that link.
+    bucket; each later one four times as many, so that a bucket of members
+    that are not alike closes after a few rounds too.  Hubs are the members
+    that meet the most others over all their buckets: the centre of a group of
+    copies, and the same one in each bucket.  ``confirm`` gets distinct pairs
+    (a, b) and returns those that link.
     """
-    members, edges, roots, hubs = rows, None, None, 1
+    met = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    weight = rows.join(met, "bucket").groupBy("key").agg((-F.sum("n")).alias("w"))
+    members, edges, roots, hubs = stored(rows.join(weight, "key").select("bucket", "key", "w"), f"{name}-members"), None, None, 1
     while True:
-        now = members.select("bucket", "key", F.col("key").alias("root")) if roots is None else members.join(
-            roots.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
-        ends = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("key").alias("hub"),
-                                         F.min(F.struct("key", "root")).getField("root").alias("hub_root")).where("lo <> hi")
+        now = members.select("bucket", "key", "w", F.col("key").alias("root")) if roots is None else members.join(
+            roots.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", "w", F.coalesce("root", "key").alias("root"))
+        first = F.min(F.struct("w", "key", "root"))
+        ends = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), first.getField("key").alias("hub"),
+                                         first.getField("root").alias("hub_root")).where("lo <> hi")
         if hubs == 1:
             left = now.join(ends.drop("lo", "hi"), "bucket").where("key <> hub")
             left = stored(left, f"{name}-open")
             pairs = left.where("root <> hub_root").select("key", "hub")
             rest = left
         else:
-            turn = F.row_number().over(Window.partitionBy("bucket").orderBy("key"))
+            turn = F.row_number().over(Window.partitionBy("bucket").orderBy("w", "key"))
             left = stored(now.join(ends.select("bucket"), "bucket").withColumn("turn", turn), f"{name}-open")
             chosen = left.where(F.col("turn") <= hubs).select("bucket", F.col("key").alias("hub"), F.col("root").alias("hub_root"),
                                                               F.col("turn").alias("hub_turn"))
@@ -80,4 +85,4 @@ def bucketed(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], name: s
             roots = stored(components(edges, f"{name}-roots"), f"{name}-roots")
         if rest.isEmpty():
             return roots
-        members, hubs = rest.select("bucket", "key"), hubs * 8
+        members, hubs = rest.select("bucket", "key", "w"), hubs * 4

@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 from .common import partitions, stored, text_of, tuned
 from .tokens import encoder
 
-BLOCK = 1 << 19
-LANES, LANE_MIN = 4096, 64
+BLOCK = 1 << 20
+LANES, LANE_MIN = 8192, 64
 REFRESH = 4  # steps between order-0 updates
-MIX_BITS, GAIN = 11, 3
+MIX_BITS, GAIN = 11, 1
 ORDER2 = 1 << 17
 MAGIC = b"CMR1"
 HEAD = struct.Struct("<4sIIIIIQ")  # magic, ids, lanes, vocabulary, pieces, crc32, words
@@ -97,9 +97,8 @@ def _layout(n: int, lanes: int) -> np.ndarray:
 
 def _narrow(low, span, m, emit):
     """Renormalise the first m lanes; ``emit(idx)`` handles one 16-bit word of each lane in idx."""
-    idx = np.arange(m)
+    idx, lo, sp = np.arange(m), low[:m], span[:m]
     while len(idx):
-        lo, sp = low[idx], span[idx]
         settled = (lo ^ (lo + sp)) < _TOP
         small = sp < _BOT
         need = settled | small
@@ -110,7 +109,8 @@ def _narrow(low, span, m, emit):
         if cut.any():
             sp = np.where(cut, (U(0) - lo) & (_BOT - U(1)), sp)
         emit(idx, lo)
-        low[idx], span[idx] = lo << U(16), sp << U(16)
+        lo, sp = lo << U(16), sp << U(16)
+        low[idx], span[idx] = lo, sp
 
 
 def _code(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:

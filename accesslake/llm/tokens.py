@@ -14,7 +14,7 @@ from array import array
 
 import numpy as np
 
-MEMO = 600_000
+MEMO = 1_000_000
 _WS = "\t-\r \x85\xa0  -     　"
 #: What a byte-level vocabulary takes as one run: a word with the blank before it, or white space.
 _PIECE = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
