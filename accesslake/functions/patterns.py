@@ -46,8 +46,8 @@ GREEDY = r".*"
 HTTPDATE = f"{MONTHDAY}/{MONTH}/{YEAR}:{TIME} {INT}"
 ISO_TZ = f"(?:Z|[+-]{HOUR}(?::?{MINUTE}))"
 TIMESTAMP_ISO8601 = f"{YEAR}-{MONTHNUM}-{MONTHDAY}[T ]{HOUR}:?{MINUTE}(?::?{SECOND})?{ISO_TZ}?"
-URIPATH = r"(?:/[A-Za-z0-9$.+!*'(){},~:;=@#%&_\-]*)+"
+URIPATH = r"/[A-Za-z0-9$.+!*'(){},~:;=@#%&_\-/]*"  # one class: no recursion on long paths
 URIPARAM = r"\?[A-Za-z0-9$.+!*'|(){},~@#%&/=:;_?\-\[\]<>]*"
 URIPATHPARAM = f"{URIPATH}(?:{URIPARAM})?"
-QUOTED_BODY = r'(?:[^"\\]|\\.)*'
+QUOTED_BODY = r'[^"\\]*+(?:\\.[^"\\]*+)*+'  # possessive: no recursion on long fields
 # ---------------------------------------------------------------------------

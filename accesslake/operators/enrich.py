@@ -44,6 +44,10 @@ def geo_lookup(df: DataFrame, ranges: DataFrame, addr_col: str = "source_address
     Each range is replicated once per ``/prefix_bits`` block it touches, so a
     row meets only the ranges of its own block.  ``prefer_col`` (for example
     a CDN-supplied country) wins over the looked-up country.
+
+    Every row comes out once: of overlapping ranges the narrowest wins (ties:
+    the lowest start, then the smallest names), found once for each distinct
+    address, so a hot address or block meets its ranges once.
     """
     shift = 32 - prefix_bits
     ip = net.ipv4_to_long(_eligible_address(df, addr_col))
@@ -54,8 +58,14 @@ def geo_lookup(df: DataFrame, ranges: DataFrame, addr_col: str = "source_address
         F.col("city").alias("__city"), F.col("lat").alias("__lat"), F.col("lon").alias("__lon"),
         F.explode(F.sequence(F.shiftright("ip_start", shift), F.shiftright("ip_end", shift))).alias("__rblk"),
     )
-    cond = (left["__blk"] == r["__rblk"]) & left["__ip"].between(r["__s"], r["__e"])
-    j = left.join(r, cond, "left")
+    # the winning range of each distinct address, then one equi-join back
+    cond = (F.col("__ip") == F.col("__aip"))
+    asked = left.where("__ip is not null").select(F.col("__ip").alias("__aip"), F.col("__blk").alias("__ablk")).distinct()
+    met = asked.join(r, (asked["__ablk"] == r["__rblk"]) & asked["__aip"].between(r["__s"], r["__e"]))
+    best = met.groupBy("__aip").agg(F.min(F.struct((F.col("__e") - F.col("__s")).alias("w"), "__s", "__country", "__region", "__city",
+                                                   "__lat", "__lon")).alias("__g"))
+    best = best.select("__aip", *(F.col("__g").getField(k).alias(k) for k in ("__country", "__region", "__city", "__lat", "__lon")))
+    j = left.join(best, cond, "left")
     country = F.col("__country")
     if prefer_col:
         country = F.coalesce(F.col(prefer_col), country)
@@ -64,12 +74,13 @@ def geo_lookup(df: DataFrame, ranges: DataFrame, addr_col: str = "source_address
              .withColumn("geo_city", F.col("__city"))
              .withColumn("geo_lat", F.col("__lat"))
              .withColumn("geo_lon", F.col("__lon"))
-             .drop("__ip", "__blk", "__s", "__e", "__country", "__region", "__city", "__lat", "__lon", "__rblk"))
+             .drop("__ip", "__blk", "__aip", "__country", "__region", "__city", "__lat", "__lon"))
 
 
 def dns_lookup(df: DataFrame, dns: DataFrame, addr_col: str = "source_address") -> DataFrame:
     """E3 + E6: ``source_domain`` = looked-up name, else the address itself."""
-    d = dns.select(F.col("address").alias("__addr"), F.col("name").alias("__name"))
+    # one name an address (the smallest), so no row comes out twice
+    d = dns.where("address is not null").groupBy(F.col("address").alias("__addr")).agg(F.min("name").alias("__name"))
     left = df.withColumn("__key", _eligible_address(df, addr_col))
     j = left.join(d, left["__key"] == d["__addr"], "left")
     return (j.withColumn("source_domain", F.when(F.col("__key").isNotNull(),

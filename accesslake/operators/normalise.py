@@ -132,7 +132,7 @@ def _stage_exprs(app_id: str, message_col: str, has_json: bool, has_src_domain:
                    .otherwise(F.try_to_timestamp(whole_line, F.lit("MMM d HH:mm:ss yyyy"))))
     method_up = F.upper(F.nullif(c("http_method"), F.lit("")))
     is_ftp_verb = F.coalesce(method_up.isin(*FTP_VERBS), F.lit(False))
-    url_original = F.regexp_replace(urls.decode(c("url_original")), r"[^\x20-\x7E]", "")
+    url_original = urls.decode(F.regexp_replace(c("url_original"), r"[^\x20-\x7E]", ""))
     stage_a = [
         msg.alias("message"), c("log_format"), json_line.alias("_json"),
         event_start.alias("event_start"),

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
 from .normalise import is_quarantined
 
@@ -26,10 +26,14 @@ def dedupe_by_hash(events: DataFrame) -> DataFrame:
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """Keys of the stored rows; None only when the store does not exist yet."""
     try:
-        return spark.read.parquet(path).select(*STORE_KEYS)
-    except AnalysisException:
-        return None
+        found = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return found.select(F.col("event_month").cast("string").alias("_month"), F.col("event_hash").alias("_hash"))
 
 
 def new_rows(batch: DataFrame, store_path: str) -> DataFrame:
@@ -37,7 +41,12 @@ def new_rows(batch: DataFrame, store_path: str) -> DataFrame:
     fresh = dedupe_by_hash(batch)
     existing = _existing(batch.sparkSession, store_path)
     if existing is not None:
-        fresh = fresh.join(existing, list(STORE_KEYS), "left_anti")
+        # the batch's few months, as literals: only their folders of the store are read
+        months = [r[0] for r in fresh.select(F.col("event_month").cast("string")).distinct().collect()]
+        known = F.col("_month").isin([m for m in months if m is not None])
+        existing = existing.where(F.coalesce(known, F.lit(False)) | F.col("_month").isNull() if None in months else known)
+        same = fresh["event_month"].cast("string").eqNullSafe(existing["_month"]) & (fresh["event_hash"] == existing["_hash"])
+        fresh = fresh.join(existing, same, "left_anti")
     return fresh
 
 

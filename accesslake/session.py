@@ -60,7 +60,6 @@ def checkpoint_root(spark: SparkSession) -> str:
         if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = os.path.join(os.environ.get("ACCESSLAKE_LOCAL_SCRATCH", "/tmp"), "accesslake-ckpt")
-        spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")

@@ -11,9 +11,8 @@ from accesslake.session import get_spark  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
+    os.environ.setdefault("ACCESSLAKE_LOCAL_SCRATCH", tempfile.mkdtemp(prefix="accesslake-tests-"))
     s = get_spark("tests", cpus="*", shuffle_partitions=8)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="accesslake-tests-"))
     yield s
 
 
