@@ -98,14 +98,14 @@ FROM d LEFT JOIN known ON known.digest = {canonical('d.text')} LEFT JOIN hit ON
 ORACLE_SQL = {
     "op5_license_digests": _license_sql(),
     "op7_benchmark_containment": """
-WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w FROM documents),
-b AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w FROM benchmark),
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM benchmark),
 item AS (SELECT DISTINCT item_id, least(len(w), 5) AS size, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
-           i -> array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS s FROM b WHERE len(w) > 0),
+           lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS s FROM b WHERE len(w) > 0),
 total AS (SELECT item_id, count(*) AS n FROM item GROUP BY item_id),
 size AS (SELECT DISTINCT size FROM item),
 shingle AS (SELECT DISTINCT doc_id, size, unnest(list_transform(range(1, len(w) - size + 2),
-              i -> array_to_string(w[i:i + size - 1], ' '))) AS s FROM d, size WHERE len(w) >= size)
+              lambda i: array_to_string(w[i:i + size - 1], ' '))) AS s FROM d, size WHERE len(w) >= size)
 SELECT doc_id, item_id, CAST(any_value(n) AS INTEGER) AS n_shingles, CAST(count(*) AS INTEGER) AS n_found
 FROM shingle JOIN item USING (size, s) JOIN total USING (item_id)
 GROUP BY doc_id, item_id HAVING count(*) * 100 >= any_value(n) * 80""",
