@@ -304,6 +304,33 @@ def brute_lines(rows):
     return gone
 
 
+def test_line_signatures(spark):
+    """Bands against plain Python arcs, and recall of pairs at the threshold."""
+    rng = np.random.default_rng(3)
+    made = ["short", "é日本 ü", "x" * 40] + ["".join(rng.choice(list("abcdefgh "), n)) for n in (9, 30, 300, 3000)]
+    got = {r.line: r for r in lines.signatures(spark.createDataFrame([(l,) for l in made + made[:2]], "line string")).join(
+        spark.createDataFrame([(l,) for l in made], "line string").select("line", lines._key("line")), "key").collect()}
+    assert {l: r.times for l, r in got.items()} == {l: 2 if l in made[:2] else 1 for l in made}
+    h = {s: x for s, x in spark.createDataFrame([(s,) for l in made for s in char_set(l)], "s string").distinct().select(
+        "s", F.shiftrightunsigned(F.xxhash64(lines._wide("s")), 32)).collect()}
+    assert all(len(r.bands) == lines.BANDS for r in got.values())
+    arcs, circles = lines.BANDS * lines.ROWS, {}
+    for l in made:
+        values = sorted(h[s] for s in char_set(l))
+        circles[l] = [next((x for x in values if x * arcs >> 32 >= k), values[0]) for k in range(arcs)]
+    flat = [(l, b, [circles[l][b + r * lines.BANDS] for r in range(lines.ROWS)]) for l in made for b in range(lines.BANDS)]
+    want = spark.createDataFrame(flat, "l string, b int, c array<long>").selectExpr(
+        "l", "b", "xxhash64(b, " + ", ".join(f"c[{r}]" for r in range(lines.ROWS)) + ") as k").collect()
+    assert {(r.l, r.b): r.k for r in want} == {(l, b): k for l, r in got.items() for b, k in enumerate(r.bands)}
+    base = ["".join(rng.choice(list("abcdefghijklmnop "), 200)) for _ in range(200)]
+    near = [t[:k] + "#" + t[k + 1:] for t in base for k in [int(rng.integers(20, 180))]]
+    near = [t[:k] + "#" + t[k + 1:] for t in near for k in [int(rng.integers(20, 180))]]
+    sig = {bytes(r.key): set(r.bands) for r in lines.signatures(spark.createDataFrame([(t,) for t in base + near], "line string")).collect()}
+    import hashlib
+    hit = [bool(sig[hashlib.md5(a.encode()).digest()] & sig[hashlib.md5(b.encode()).digest()]) for a, b in zip(base, near)]
+    assert sum(hit) >= 0.97 * len(hit)
+
+
 def test_op6(spark):
     rows = sorted(texts(spark).items())[:60]
     a = "this line of prose is long enough to be compared by its shingles, and it is the one that stays here"
