@@ -312,14 +312,14 @@ def test_line_signatures(spark):
         spark.createDataFrame([(l,) for l in made], "line string").select("line", lines._key("line")), "key").collect()}
     assert {l: r.times for l, r in got.items()} == {l: 2 if l in made[:2] else 1 for l in made}
     h = {s: x for s, x in spark.createDataFrame([(s,) for l in made for s in char_set(l)], "s string").distinct().select(
-        "s", F.shiftrightunsigned(F.xxhash64(lines._wide("s")), 32)).collect()}
+        "s", F.hash(lines._wide("s")).cast("long") + 2**31).collect()}
     assert all(len(r.bands) == lines.BANDS for r in got.values())
     arcs, circles = lines.BANDS * lines.ROWS, {}
     for l in made:
         values = sorted(h[s] for s in char_set(l))
-        circles[l] = [next((x for x in values if x * arcs >> 32 >= k), values[0]) for k in range(arcs)]
+        circles[l] = [next((x for x in values if x * arcs >> 32 >= k), values[0]) - 2**31 for k in range(arcs)]
     flat = [(l, b, [circles[l][b + r * lines.BANDS] for r in range(lines.ROWS)]) for l in made for b in range(lines.BANDS)]
-    want = spark.createDataFrame(flat, "l string, b int, c array<long>").selectExpr(
+    want = spark.createDataFrame(flat, "l string, b int, c array<int>").selectExpr(
         "l", "b", "xxhash64(b, " + ", ".join(f"c[{r}]" for r in range(lines.ROWS)) + ") as k").collect()
     assert {(r.l, r.b): r.k for r in want} == {(l, b): k for l, r in got.items() for b, k in enumerate(r.bands)}
     base = ["".join(rng.choice(list("abcdefghijklmnop "), 200)) for _ in range(200)]
