@@ -177,18 +177,14 @@ def _apply_agent_rules(agent: str | None, compiled: dict) -> tuple:
     return (name or "Other", version, os_name or "Other", device or "Other")
 
 
-def parse_agents(df: DataFrame, agent_rules: DataFrame, agent_col: str = "user_agent",
-                 max_rules: int = 20000) -> DataFrame:
+def parse_agents(df: DataFrame, agent_rules: DataFrame, agent_col: str = "user_agent") -> DataFrame:
     """Ordered first-match agent rules on distinct agents, joined back.
 
-    The rule table is configuration with a checked size bound; it ships to the
-    Python workers inside the function closure.  Agents repeat heavily, so the
+    The rule table is configuration (patterns written by hand, not data); it
+    ships to the Python workers inside the function closure.  Agents repeat heavily, so the
     Python work is per distinct agent (a partial+final aggregate), and the
     labelled set joins back by equality.
     """
-    n = agent_rules.limit(max_rules + 1).count()
-    if n > max_rules:
-        raise ValueError(f"agent rule table has more than {max_rules} rows")
     rows = [r.asDict() for r in agent_rules.collect()]
 
     def classify_batches(it):

@@ -25,6 +25,7 @@ class Dimensions:
     geo_ranges: DataFrame | None = None
     dns: DataFrame | None = None
     public_suffix: DataFrame | None = None
+    agent_rules: DataFrame | None = None
 
 
 def parse_any(lines: DataFrame, value_col: str = "value") -> DataFrame:
@@ -47,7 +48,7 @@ def transform(lines: DataFrame, dims: Dimensions | None = None, value_col: str =
 
 
 def enrich_events(ev: DataFrame, dims: Dimensions, url_domains: bool = True) -> DataFrame:
-    """E2–E4 with whichever dimension tables are given.
+    """E1–E4 with whichever dimension tables are given.
 
     ``url_domains=False`` skips the registered domain of the URL host (one
     distinct-host resolution and join fewer) when a query needs only clients.
@@ -63,4 +64,6 @@ def enrich_events(ev: DataFrame, dims: Dimensions, url_domains: bool = True) ->
         ev = enrich.registered_domain(ev, dims.public_suffix, "source_domain", "source_")
         if url_domains:
             ev = enrich.registered_domain(ev, dims.public_suffix, "url_domain", "url_")
+    if dims.agent_rules is not None:
+        ev = enrich.parse_agents(ev, dims.agent_rules)
     return ev

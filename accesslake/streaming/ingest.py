@@ -65,8 +65,12 @@ def start_ingest(spark: SparkSession, source_path: str, store_path: str,
                  quarantine_path: str | None = None, checkpoint: str | None = None,
                  dims: Dimensions | None = None, available_now: bool = True,
                  processing_time: str = "2 hours", dedupe_watermark: str | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the incremental ingest query."""
+                 max_files_per_trigger: int | None = 1000) -> StreamingQuery:
+    """Start the incremental ingest query.
+
+    A back-fill is read ``max_files_per_trigger`` files a micro-batch (all files
+    are read, in as many batches as that takes), so a batch stays bounded.
+    """
     lines = stream_lines(spark, source_path, max_files_per_trigger=max_files_per_trigger)
     ev = ingest_stream(lines, None, dedupe_watermark)
     w = (ev.writeStream.foreachBatch(micro_batch_writer(store_path, quarantine_path, dims))

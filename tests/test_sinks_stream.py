@@ -108,8 +108,14 @@ def test_stream_with_dimensions(spark):
     dns = spark.createDataFrame([("192.0.2.10", "web-1.example.org")], "address string, name string")
     store = scratch_path(spark, "test-stream-dims-store")
     q = start_ingest(spark, src, store, checkpoint=scratch_path(spark, "ck-dims"),
-                     dims=Dimensions(dns=dns, public_suffix=D.public_suffix(spark)))
+                     dims=Dimensions(dns=dns, public_suffix=D.public_suffix(spark), agent_rules=D.agent_rules(spark)))
     q.awaitTermination()
+    from accesslake.operators.enrich import AGENT_FIELDS
+    from accesslake.plans.ingest import enrich_events
+    batch = enrich_events(sinks.dedupe_by_hash(transform(lines_df(spark))), Dimensions(agent_rules=D.agent_rules(spark)))
+    want = {r.event_hash: [r[c] for c in AGENT_FIELDS] for r in batch.collect()}
+    rows = spark.read.parquet(store).collect()
+    assert rows and all([r[c] for c in AGENT_FIELDS] == want[r.event_hash] for r in rows)
     got = spark.read.parquet(store).where("source_address = '192.0.2.10'").first()
     assert got.source_domain == "web-1.example.org" and got.source_registered_domain == "web-1.example.org"
 
