@@ -44,7 +44,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         free(old)
 
 
-def bucketed(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+def bucketed(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], name: str, info: DataFrame | None = None,
+             near: str = "true") -> DataFrame:
     """(node, root) of the keys that confirmed links join, from ``rows`` (bucket, key): buckets with two keys or more.
 
     In each round every open bucket compares its members of other components
@@ -54,29 +55,33 @@ def bucketed(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], name: s
     bucket; each later one four times as many, so that a bucket of members
     that are not alike closes after a few rounds too.  Hubs are the members
     that meet the most others over all their buckets: the centre of a group of
-    copies, and the same one in each bucket.  ``confirm`` gets distinct pairs
-    (a, b) and returns those that link.
+    copies, and the same one in each bucket.  ``info`` (key, info) is what
+    ``near``, a condition on ``info`` and ``hub_info``, needs to leave out
+    pairs that cannot link; it is part of the join, so they are never written.
+    ``confirm`` gets distinct pairs (a, b) and returns those that link.
     """
     met = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     weight = rows.join(met, "bucket").groupBy("key").agg((-F.sum("n")).alias("w"))
-    members, edges, roots, hubs = stored(rows.join(weight, "key").select("bucket", "key", "w"), f"{name}-members"), None, None, 1
+    weight = weight.withColumn("info", F.lit(0)) if info is None else weight.join(info, "key")
+    columns = ["bucket", "key", "w", "info"]
+    members, edges, roots, hubs = stored(rows.join(weight, "key").select(*columns), f"{name}-members"), None, None, 1
     while True:
-        now = members.select("bucket", "key", "w", F.col("key").alias("root")) if roots is None else members.join(
-            roots.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", "w", F.coalesce("root", "key").alias("root"))
-        first = F.min(F.struct("w", "key", "root"))
-        ends = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), first.getField("key").alias("hub"),
-                                         first.getField("root").alias("hub_root")).where("lo <> hi")
+        now = members.select(*columns, F.col("key").alias("root")) if roots is None else members.join(
+            roots.withColumnRenamed("node", "key"), "key", "left").select(*columns, F.coalesce("root", "key").alias("root"))
+        first = F.min(F.struct("w", "key", "root", "info"))
+        ends = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), first.alias("first")).where("lo <> hi")
         if hubs == 1:
-            left = now.join(ends.drop("lo", "hi"), "bucket").where("key <> hub")
-            left = stored(left, f"{name}-open")
-            pairs = left.where("root <> hub_root").select("key", "hub")
+            ends = ends.select("bucket", F.col("first.key").alias("hub"), F.col("first.root").alias("hub_root"),
+                               F.col("first.info").alias("hub_info"))
+            left = stored(now.join(ends, "bucket").where("key <> hub"), f"{name}-open")
+            pairs = left.where("root <> hub_root").where(near).select("key", "hub")
             rest = left
         else:
             turn = F.row_number().over(Window.partitionBy("bucket").orderBy("w", "key"))
             left = stored(now.join(ends.select("bucket"), "bucket").withColumn("turn", turn), f"{name}-open")
             chosen = left.where(F.col("turn") <= hubs).select("bucket", F.col("key").alias("hub"), F.col("root").alias("hub_root"),
-                                                              F.col("turn").alias("hub_turn"))
-            pairs = left.join(chosen, "bucket").where("turn > hub_turn and root <> hub_root").select("key", "hub")
+                                                              F.col("turn").alias("hub_turn"), F.col("info").alias("hub_info"))
+            pairs = left.join(chosen, "bucket").where("turn > hub_turn and root <> hub_root").where(near).select("key", "hub")
             rest = left.where(F.col("turn") > hubs)
         found = stored(confirm(pairs.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()), f"{name}-links")
         edges = found if edges is None else stored(edges.union(found), f"{name}-links")
@@ -85,4 +90,4 @@ def bucketed(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], name: s
             roots = stored(components(edges, f"{name}-roots"), f"{name}-roots")
         if rest.isEmpty():
             return roots
-        members, hubs = rest.select("bucket", "key", "w"), hubs * 4
+        members, hubs = rest.select(*columns), hubs * 4

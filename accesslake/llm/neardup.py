@@ -10,7 +10,8 @@ Texts with equal shingle sets form a class; only one text of a class goes
 through banding.  In a bucket every member is compared with one hub, the hub
 then leaves; buckets whose members are already connected close.  This tests
 every pair of a bucket that could still join two components, without listing
-all pairs.  Links are confirmed on the full sets.
+all pairs.  Pairs whose sizes or signatures rule out a link are left out
+inside that join; links are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -56,6 +57,27 @@ def band_keys(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return h.view(np.int64)
 
 
+def low_bits(sig: np.ndarray) -> np.ndarray:
+    """The two low bits of each coordinate, the lowest ones first, as longs."""
+    bits = np.packbits(np.stack([sig & 1, (sig >> 1) & 1]).astype(np.uint8), axis=1)
+    return np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.int64).ravel()
+
+
+def agreeing(percent: int, coordinates: int = BANDS * ROWS, sigmas: float = 4.5) -> str:
+    """Condition on two classes' (n, bits): sizes and signatures allow a coefficient of ``percent``.
+
+    The sizes' part is exact.  A pair at the threshold agrees in the two low
+    bits of ``a`` of its coordinates, and three in a million such pairs in
+    fewer than ``a`` less 4.5 standard deviations.
+    """
+    a = percent / 100 + (1 - percent / 100) / 4
+    most = int(coordinates * (1 - a) + sigmas * (coordinates * a * (1 - a)) ** 0.5)
+    longs = -(-coordinates // 64)
+    unlike = " + ".join(f"bit_count((info.bits[{i}] ^ hub_info.bits[{i}]) | (info.bits[{i + longs}] ^ hub_info.bits[{i + longs}]))"
+                        for i in range(longs))
+    return f"info.n * 100 >= hub_info.n * {percent} and hub_info.n * 100 >= info.n * {percent} and {unlike} <= {most}"
+
+
 def _sets(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
     starts, h = shingles(*word_hashes(batch.column("text")), size)
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
@@ -67,27 +89,29 @@ def _key(distinct: np.ndarray) -> bytes | None:
 
 
 def sketch(docs: DataFrame, size: int) -> DataFrame:
-    """One row per document: doc_id, text_hash, n_shingles, key (digest of its set, null when empty), bands."""
+    """One row per document: doc_id, text_hash, n_shingles, key (digest of its set, null when empty), bands, bits."""
 
     def run(batches):
         for b in batches:
-            keys, ns, bands, seen = [], [], [], {}
+            keys, ns, bands, bits, seen = [], [], [], [], {}
             for s in _sets(b, size):
                 k = _key(s)
                 if k is not None and k not in seen:
-                    seen[k] = band_keys(signature(s))
+                    sig = signature(s)
+                    seen[k] = band_keys(sig), low_bits(sig)
                 keys.append(k)
                 ns.append(len(s))
-                bands.append(None if k is None else seen[k])
+                bands.append(None if k is None else seen[k][0])
+                bits.append(None if k is None else seen[k][1])
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("text_hash"), pa.array(ns, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "text_hash", "n_shingles", "key", "bands"])
+                 pa.array(bands, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
+                names=["doc_id", "text_hash", "n_shingles", "key", "bands", "bits"])
 
     text = text_of(docs)
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"),
                        F.xxhash64(text).alias("text_hash")).mapInArrow(
-        run, "doc_id long, text_hash long, n_shingles long, key binary, bands array<long>")
+        run, "doc_id long, text_hash long, n_shingles long, key binary, bands array<long>, bits array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -119,11 +143,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(p) + len(q) - both))
             yield pa.RecordBatch.from_arrays([t.column("a"), t.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    near = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
-    sizes = sets.select("key", "n")
-    close = pairs.join(sizes.withColumnRenamed("key", "a"), "a").join(
-        sizes.select(F.col("key").alias("b"), F.col("n").alias("m")), "b").where(near).select("a", "b")
-    full = close.join(sets.select(F.col("key").alias("a"), F.col("members").alias("x")), "a").join(
+    full = pairs.join(sets.select(F.col("key").alias("a"), F.col("members").alias("x")), "a").join(
         sets.select(F.col("key").alias("b"), F.col("members").alias("y")), "b")
     return full.mapInArrow(run, "a binary, b binary")
 
@@ -135,7 +155,8 @@ def link(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFr
     members = stored(rows.join(full, "bucket"), "neardup-buckets")
     involved = classes.join(members.select("key").distinct(), "key", "left_semi")
     sets = stored(full_sets(docs, stored(involved.select("doc_id", "text_hash"), "neardup-wanted"), size), "neardup-sets")
-    return bucketed(members, lambda pairs: confirm(pairs, sets, percent), "neardup")
+    info = involved.select("key", F.struct("n", "bits").alias("info"))
+    return bucketed(members, lambda pairs: confirm(pairs, sets, percent), "neardup", info, agreeing(percent))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -151,8 +172,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     tuned(docs.sparkSession)
     rows = stored(sketch(docs, size), "neardup-sketch")
     classes = rows.where("key is not null").groupBy("key").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("r"), F.min("doc_id").alias("least"), F.first("bands").alias("bands"))
-    classes = stored(classes.select("key", "r.doc_id", "r.text_hash", "least", "bands"), "neardup-classes")
+        F.min(F.struct("doc_id", "text_hash")).alias("r"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"),
+        F.first("bands").alias("bands"), F.first("bits").alias("bits"))
+    classes = stored(classes.select("key", "r.doc_id", "r.text_hash", "least", "n", "bands", "bits"), "neardup-classes")
     roots = link(docs, classes, size, percent)
     placed = classes.select("key", "least").join(roots.withColumnRenamed("node", "key"), "key")
     component = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("key", "component_id")
