@@ -52,8 +52,10 @@ def bucketed(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], name: s
     with its hubs, which then leave.  A bucket closes when all its members are
     connected, so every pair that could join two components is tested, and
     pairs inside a component are never listed.  The first round has one hub a
-    bucket; each later one four times as many, so that a bucket of members
-    that are not alike closes after a few rounds too.  Hubs are the members
+    bucket; each later one eight times as many, so that a bucket of members
+    that are not alike closes after a few rounds too.  Few new links (under
+    one in a hundred open members) are kept for a later join of components:
+    until then some pairs of one component are tested in vain.  Hubs are the members
     that meet the most others over all their buckets: the centre of a group of
     copies, and the same one in each bucket.  ``info`` (key, info) is what
     ``near``, a condition on ``info`` and ``hub_info``, needs to leave out
@@ -65,6 +67,7 @@ def bucketed(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], name: s
     weight = weight.withColumn("info", F.lit(0)) if info is None else weight.join(info, "key")
     columns = ["bucket", "key", "w", "info"]
     members, edges, roots, hubs = stored(rows.join(weight, "key").select(*columns), f"{name}-members"), None, None, 1
+    waiting = 0
     while True:
         now = members.select(*columns, F.col("key").alias("root")) if roots is None else members.join(
             roots.withColumnRenamed("node", "key"), "key", "left").select(*columns, F.coalesce("root", "key").alias("root"))
@@ -85,9 +88,10 @@ def bucketed(rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], name: s
             rest = left.where(F.col("turn") > hubs)
         found = stored(confirm(pairs.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()), f"{name}-links")
         edges = found if edges is None else stored(edges.union(found), f"{name}-links")
-        if roots is None or not found.isEmpty():
+        waiting, still = waiting + found.count(), rest.count()
+        if roots is None or waiting * 100 > still:
             free(roots)
-            roots = stored(components(edges, f"{name}-roots"), f"{name}-roots")
-        if rest.isEmpty():
+            roots, waiting = stored(components(edges, f"{name}-roots"), f"{name}-roots"), 0
+        if not still:
             return roots
-        members, hubs = rest.select(*columns), hubs * 4
+        members, hubs = rest.select(*columns), hubs * 8
