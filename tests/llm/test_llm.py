@@ -264,6 +264,26 @@ def test_op4_planted(spark):
     assert all(abs(found[k].start_word - 80) <= 2 and found[k].n_words >= 56 for k in range(0, 30, 3))
 
 
+def test_op4_two_passages(spark):
+    """Two passages in one order with other text and stray common phrases between them are both found."""
+    rng = np.random.default_rng(12)
+    rows, want = [], {}
+    for k in range(0, 40, 2):
+        p, q, stray = prose(rng, 60), prose(rng, 60), prose(rng, 7)
+        edited = q[:30] + ["changed"] + q[31:]
+        gap = 30 + 2 * k
+        for side, last in ((k, q), (k + 1, edited)):
+            a, b = prose(rng, gap // 2), prose(rng, gap - gap // 2)
+            rows.append((side, " ".join(prose(rng, 40) + p + a + stray + b + last + prose(rng, 40))))
+            want[side] = (40, 40 + 60 + gap + 7)
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for side, starts in want.items():
+        mine = [r for r in got if r.doc_id == side]
+        assert all(r.class_id == side // 2 * 2 for r in mine)
+        for s in starts:
+            assert any(r.start_word <= s + 12 and r.start_word + r.n_words >= s + 48 and r.n_words <= 80 for r in mine), (side, s, mine)
+
+
 def test_op4_odd(spark):
     got = passages.repeated_passages(odd(spark)).collect()
     assert all(r.doc_id == 5 for r in got)
