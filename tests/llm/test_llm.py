@@ -284,6 +284,36 @@ def test_op4_two_passages(spark):
             assert any(r.start_word <= s + 12 and r.start_word + r.n_words >= s + 48 and r.n_words <= 80 for r in mine), (side, s, mine)
 
 
+def test_op4_common_lines(spark):
+    """A passage of lines that many other texts hold alone is found, also by the texts between."""
+    rng = np.random.default_rng(14)
+    rows, want = [], set()
+    for g in range(0, 3000, 100):
+        p = [prose(rng, 20) for _ in range(3)]
+        rows += [(g + k, " ".join(prose(rng, 40) + p[k % 3] + prose(rng, 40))) for k in range(1, 31)]
+        rows += [(k, " ".join(prose(rng, 40) + sum(p, []) + prose(rng, 40))) for k in (g, g + 31)]
+        want |= {g, g + 31}
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(1).sortWithinPartitions("doc_id")
+    got = passages.repeated_passages(d).collect()
+    assert {r.doc_id for r in got} == want
+    assert all(r.class_id == r.doc_id // 100 * 100 and abs(r.start_word - 40) <= 2 and abs(r.n_words - 60) <= 4 for r in got)
+
+
+def test_exact_runs():
+    """Any LEAST equal tokens have a run in common, wherever they stand."""
+    rng = np.random.default_rng(15)
+    r = lambda n: rng.integers(0, 2**63, n).astype(np.uint64)
+    for _ in range(300):
+        p, texts = r(passages.LEAST), []
+        for side in range(2):
+            texts += [r(int(rng.integers(0, 60))), np.concatenate([r(int(rng.integers(0, 60))), p, r(int(rng.integers(0, 60)))])]
+        starts = np.append(0, np.cumsum([len(t) for t in texts]))
+        value, place = passages.exact_runs(np.concatenate(texts), starts)
+        of = np.searchsorted(starts, place, "right") - 1
+        assert set(value[of == 1].tolist()) & set(value[of == 3].tolist())
+        assert ((place + passages.EXACT <= starts[of + 1]) & (place >= starts[of])).all()
+
+
 def test_op4_odd(spark):
     got = passages.repeated_passages(odd(spark)).collect()
     assert all(r.doc_id == 5 for r in got)
