@@ -314,6 +314,20 @@ def test_exact_runs():
         assert ((place + passages.EXACT <= starts[of + 1]) & (place >= starts[of])).all()
 
 
+def test_op4_copies(spark):
+    """Texts that occur several times keep their passages beside the row of the whole text."""
+    rng = np.random.default_rng(16)
+    p, q = prose(rng, 60), prose(rng, 80)
+    whole = " ".join(prose(rng, 50) + p + prose(rng, 50))
+    rows = [(1, whole), (2, whole), (3, whole), (4, " ".join(prose(rng, 30) + p + prose(rng, 90))),
+            (5, " ".join(q)), (6, " ".join(q)), (7, " ".join(prose(rng, 60) + q + prose(rng, 60)))]
+    got = {(r.doc_id, r.start_word, r.n_words): (r.n_links, r.class_id) for r in passages.repeated_passages(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: v for k, v in got.items() if k[0] < 5} == {(d, 0, 160): (2, 1) for d in (1, 2, 3)} | {
+        (d, 50, 60): (1, 1) for d in (1, 2, 3)} | {(4, 30, 60): (1, 1)}
+    assert {k: v for k, v in got.items() if k[0] >= 5} == {(d, 0, 80): (2, 5) for d in (5, 6)} | {(7, 60, 80): (1, 5)}
+
+
 def test_op4_odd(spark):
     got = passages.repeated_passages(odd(spark)).collect()
     assert all(r.doc_id == 5 for r in got)
