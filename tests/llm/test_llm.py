@@ -395,6 +395,24 @@ def test_line_signatures(spark):
     assert sum(hit) >= 0.97 * len(hit)
 
 
+def test_line_recall_of_short_lines(spark):
+    """Short lines at the threshold share a bucket: shingles of the smaller line over those of the larger are 0.8 to 0.82."""
+    rng = np.random.default_rng(13)
+    pairs = []
+    for n, more in ((12, 1), (16, 2), (17, 2), (24, 4), (31, 6), (40, 8)) * 300:
+        t = "".join(rng.choice(list("abcdefghijklmnop "), n + more))
+        pairs.append((t[:n], t) if rng.random() < 0.5 else (t[more:], t))
+    # at either side of the bounds between the two kinds of buckets
+    for n in (76, 77, 83, 95, 96, 102, 103, 110) * 20:
+        t = "".join(rng.choice(list("abcdefghijklmnop "), n))
+        pairs.append((t[:7 + -(-(n - 7) * 82 // 100)], t))
+    pairs = [(a, b) for a, b in pairs if a.strip() and len(char_set(a) & char_set(b)) * 100 >= 80 * len(char_set(a) | char_set(b))]
+    assert len(pairs) > 1500
+    rows = [(k, "\n".join(ab)) for k, ab in enumerate(pairs)]
+    gone = {r.doc_id for r in lines.repeated(spark.createDataFrame(rows, "doc_id long, text string")).where("pos = 1").collect()}
+    assert len(gone) >= 0.99 * len(pairs), len(gone) / len(pairs)
+
+
 def test_op6(spark):
     rows = sorted(texts(spark).items())[:60]
     a = "this line of prose is long enough to be compared by its shingles, and it is the one that stays here"
