@@ -8,6 +8,9 @@ digests of known licence texts, made canonical by the same rules.
 
 from __future__ import annotations
 
+import re
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +62,9 @@ Permission to use, copy, modify, and/or distribute this software for any purpose
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
 }
 
+#: Licences whose whole text lies in license_texts.  The others of NAMES (AGPL, EPL, CC BY) are known by their notices only.
+WHOLE = ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "Zlib", "CC0-1.0")
+
 _COPYRIGHT = r"(?m)^[^a-z0-9\n]*(copyright( [0-9(\x{a9}]|:| \(c\))|\(c\) |\x{a9}|all rights reserved)[^\n]*$"
 
 
@@ -71,11 +77,30 @@ def canonical(text: Column) -> Column:
     return F.trim(c)
 
 
+def _forms(text: str) -> set[str]:
+    """A whole text as documents hold it: with and without its title, appendix, numbers of clauses and line breaks."""
+    out = {text, text.strip().split("\n\n", 1)[1]}
+    # instructions after the terms, and the notice they show, which has blanks or a name in its copyright line
+    out |= {re.split(r"(?<=END OF TERMS AND CONDITIONS)\s", t)[0] for t in out}
+    out |= {re.sub(r"(?m)^ *Copyright \[yyyy\].*$", "", t) for t in out}
+    out |= {re.sub(r"(?m)^[0-9]\. ", "", t) for t in out}
+    if "APPENDIX: How to apply" in text:
+        notice = re.split(r"Copyright \[yyyy\].*\n", text)[1]
+        out |= {notice, notice.replace("http://", "https://")}
+    return out | {re.sub(r"[ \t]*\n[ \t]*(?=\S)", " ", t) for t in out}
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(license_id, text) of the licences that have a file, in all their forms; read by the driver."""
+    folder = resources.files(__package__) / "license_texts"
+    return [(k, t) for k in WHOLE for t in sorted(_forms((folder / f"{k}.txt").read_text("utf-8")))]
+
+
 def known(spark: SparkSession) -> DataFrame:
-    """license_id, digest: a fixed table of notices and texts (some 500 rows)."""
+    """license_id, digest: a fixed table of notices and texts (some 600 rows)."""
     rows = [(k, n.format(name)) for k, names in NAMES.items() for name in names for n in NOTICES]
     rows += [(k, t) for k, t in TEXTS.items()] + [(k, t.split("\n\n", 1)[1]) for k, t in TEXTS.items()]
-    d = spark.createDataFrame(rows, "license_id string, text string")
+    d = spark.createDataFrame(rows + whole_texts(), "license_id string, text string")
     return d.select("license_id", F.sha2(canonical(F.col("text")), 256).alias("digest")).groupBy("digest").agg(
         F.min("license_id").alias("license_id"))
 

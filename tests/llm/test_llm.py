@@ -348,6 +348,30 @@ def test_op5(spark):
     assert licenses.scan(odd(spark)).count() == len(ODD) and licenses.scan(empty(spark)).count() == 0
 
 
+def test_op5_whole_texts(spark):
+    """Whole texts are known with a copyright line, other line breaks and cases, and without their title."""
+    from importlib import resources
+    folder, rows, want = resources.files("accesslake.llm") / "license_texts", [], {}
+    for k in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "Zlib", "CC0-1.0"):
+        t = (folder / f"{k}.txt").read_text("utf-8")
+        forms = ["Copyright (c) 2020 Some One\n\n" + t, t.upper().replace(",", " ,")]
+        if k.startswith("BSD") or k == "Zlib":
+            forms += [re.sub(r"\n\n[123]\. ", "\n\n  * ", t), "(c) 2021 X\n" + t.split("\n\n", 1)[1].replace(" and ", "\n  and ")]
+        if k == "Apache-2.0":
+            forms += [t.replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2020 Some One"), t.split("   APPENDIX")[0]]
+            forms += ["Copyright 2020 Some One\n" + t.split("[name of copyright owner]")[1]]
+        if k == "GPL-2.0":
+            forms += [t.split("How to Apply")[0].rstrip()]
+        for f in forms:
+            want[len(rows)] = k
+            rows.append((len(rows), f))
+    n = len(rows)
+    rows += [(n, rows[0][1] + "\nand more"), (n + 1, rows[0][1][:5000])]
+    got = {r.doc_id: r.license_id for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: got[k] for k in want} == want, [(want[k], k) for k in want if got[k] != want[k]]
+    assert got[n] is None and got[n + 1] is None
+
+
 # --- 6 ---------------------------------------------------------------------
 
 def char_set(line):
