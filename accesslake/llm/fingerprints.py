@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import partitions, stored, text_of, tuned
-from .components import components
+from .components import bucketed
 from .words import U, mix
 
 SAMPLES = 256
@@ -184,19 +184,20 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def near_pairs(prints: DataFrame, like: float = LIKE) -> DataFrame:
     """doc_id and class_id of every row of ``prints`` (doc_id, fingerprint): banded samples, verified by Hamming likeness.
 
-    Rows with equal fingerprints are one class from the start.  Every class is
-    compared with the smallest fingerprint in each of its ``BANDS`` buckets;
-    pairs with at least ``like`` equal digits link.  class_id is the smallest
+    Rows with equal fingerprints are one class from the start.  The classes
+    of each of the ``BANDS`` buckets are compared in rounds until every pair
+    that could join two components is tested; pairs with at least ``like``
+    equal digits link.  class_id is the smallest
     doc_id reachable.
     """
     size = SAMPLES // BANDS
     classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     keys = classes.select("fingerprint", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(F.col("fingerprint").substr(k * size + 1, F.lit(size))))).alias("band", "key"))
-    hubs = keys.groupBy("band", "key").agg(F.min("fingerprint").alias("a"), F.max("fingerprint").alias("z")).where("a < z").drop("z")
-    pairs = keys.join(hubs, ["band", "key"]).select("a", F.col("fingerprint").alias("b")).where("a < b").distinct()
+    keys = keys.select(F.xxhash64("band", "key").alias("bucket"), F.col("fingerprint").alias("key"))
+    shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     same = F.size(F.filter(F.sequence(F.lit(1), F.lit(SAMPLES)), lambda k: F.col("a").substr(k, F.lit(1)) == F.col("b").substr(k, F.lit(1))))
-    roots = components(pairs.where(same >= like * SAMPLES), "print-classes")
+    roots = bucketed(stored(keys.join(shared, "bucket"), "print-buckets"), lambda pairs: pairs.where(same >= like * SAMPLES), "prints")
     placed = classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
         "root", F.coalesce("root", "fingerprint"))
     ids = placed.groupBy("root").agg(F.min("least").alias("class_id"))

@@ -513,6 +513,19 @@ def test_op8_pairs(spark):
     assert {r.doc_id: r.class_id for r in fingerprints.near_pairs(p).collect()} == {1: 1, 2: 1, 3: 3, 4: 1}
 
 
+def test_op8_pairs_beside_the_smallest(spark):
+    """Two prints that are alike but unlike the smallest print of the only buckets they share."""
+    size = fingerprints.SAMPLES // fingerprints.BANDS
+    rng = np.random.default_rng(17)
+    text = lambda n: "".join(rng.choice(list("123456789abcdef"), n))
+    shared, rest = text(size), text(fingerprints.SAMPLES - size)
+    # one digit of every other band differs, so the twins meet in the first band alone
+    twin = "".join(c if k % size else "f" if c == "e" else "e" for k, c in enumerate(rest))
+    rows = [(1, shared + "0" * len(rest)), (2, shared + rest), (3, shared + twin)]
+    got = fingerprints.near_pairs(spark.createDataFrame(rows, "doc_id long, fingerprint string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {1: 1, 2: 2, 3: 2}
+
+
 # --- 9 ---------------------------------------------------------------------
 
 def test_elias_fano():
