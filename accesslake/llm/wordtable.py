@@ -2,25 +2,28 @@
 
 Encoding: texts are cut into words in Spark tasks, the way the tokenizer file
 cuts them.  A block of neighbouring texts keeps each of its words once and
-holds its texts as positions in that list.  The distinct words of all blocks
-form one table; every word in it is encoded once, by the ``tokenizers``
-library.  The ids come back to the blocks by an equi-join on the word, and
-inside a block by position.  Texts themselves are never shuffled, only the
-word lists and the positions.
+holds its texts as positions in that list.  The lists, dealt by a hash of the
+word, meet in tasks that each own some hash values: the word table.  There
+every distinct word is encoded once, by the ``tokenizers`` library's merge
+model.  The ids go back to the blocks and are joined to the texts by position.
+Neither texts nor single words are shuffled: a block sends one packed list to
+each hash value and gets one packed list of ids back.
 
 Decoding joins ids to the pieces of the vocabulary by position and joins the
 pieces' bytes.  The vocabulary has a fixed size (``MAX_VOCABULARY``, checked),
 so it is broadcast.
 
-A word meets the join once a block at most, however often it occurs; a block
-holds about ``BLOCK`` characters (or one longer text), so no group grows with
-the data.
+A word comes once from each block at most, however often it occurs; a block
+holds about ``BLOCK`` characters (or one longer text).  A task of the word
+table holds its share of the distinct words, which shrinks as the session's
+shuffle partitions grow.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import zlib
 from array import array
 
 import numpy as np
@@ -30,10 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored, text_of, tuned
+from .common import ARROW_ROWS, partitions, stored, text_of, tuned
 
 BLOCK = 8_000_000
 MAX_VOCABULARY = 1 << 20
+#: Hash values for each shuffle partition, so that the partitions get nearly equal shares.
+SHARES = 4
 _ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 #: One character of each class (letter, number, white space, other), for those beyond the BMP.
 _STAND_IN = {"L": "\xe4", "N": "1", "S": "　", "O": "!"}
@@ -127,23 +132,53 @@ class _Positions(dict):
         return n
 
 
+def _pack(*parts: bytes) -> bytes:
+    """The parts' sizes, then the parts compressed together."""
+    return np.array([len(parts), *map(len, parts)], "<u8").tobytes() + pa.compress(b"".join(parts), "zstd", asbytes=True)
+
+
+def _unpack(data: bytes) -> list[bytes]:
+    n = int(np.frombuffer(data, "<u8", 1)[0])
+    size = np.frombuffer(data, "<u8", n, 8).astype(np.int64)
+    whole = pa.decompress(data[8 + 8 * n:], int(size.sum()), "zstd", asbytes=True)
+    ends = np.cumsum(size).tolist()
+    return [whole[e - k:e] for e, k in zip(ends, size.tolist())]
+
+
+def _cuts(data: bytes, size: bytes) -> list[bytes]:
+    ends = np.cumsum(np.frombuffer(size, "<u4"), dtype=np.int64).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _deal(words: list[str], shares: int) -> tuple[np.ndarray, list[dict]]:
+    """Each word's place when the words are ordered by hash value, and one packed list a hash value."""
+    raw = [w.encode() for w in words]
+    share = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % shares
+    order = np.argsort(share, kind="stable")
+    place = np.empty(len(raw), np.int64)
+    place[order] = np.arange(len(raw))
+    first = np.flatnonzero(np.diff(share[order], prepend=-1))
+    lists = []
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(raw)]):
+        own = [raw[i] for i in order[a:b].tolist()]
+        lists.append({"share": int(share[order[a]]), "base": a,
+                      "packed": _pack(b"".join(own), np.fromiter(map(len, own), "<u4", len(own)).tobytes())})
+    return place, lists
+
+
 def split_blocks(docs: DataFrame, path: str, block_chars: int = BLOCK) -> DataFrame:
-    """block, docs (their doc_ids), sizes (words of each), positions (packed), words: one row a block of texts."""
-    tuned(docs.sparkSession)
+    """One row a block of texts: block, docs (their doc_ids), sizes (words of each), positions (packed), lists of its words by hash value."""
+    shares = SHARES * partitions(tuned(docs.sparkSession))
 
     def run(batches):
         cut, part, n = _once("splitter", path).words, TaskContext.get().partitionId(), 0
         ids, sizes, at, chars, where = [], [], array("I"), 0, _Positions()
 
         def flush():
-            packed = np.frombuffer(at, np.uint32)
-            if len(where) <= 1 << 16:
-                packed = packed.astype(np.uint16)
-            row = pa.RecordBatch.from_arrays(
-                [pa.array([(part << 32) + n], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
-                 pa.array([pa.compress(packed.tobytes(), "zstd", asbytes=True) if len(packed) else b""], pa.binary()),
-                 pa.array([list(where)], pa.list_(pa.string()))], names=["block", "docs", "sizes", "positions", "words"])
-            return row
+            place, lists = _deal(list(where), shares)
+            positions = place[np.frombuffer(at, np.uint32)].astype("<u4" if len(where) > 1 << 16 else "<u2")
+            return pa.RecordBatch.from_pylist(
+                [{"block": (part << 32) + n, "docs": ids, "sizes": sizes, "positions": _pack(positions.tobytes()), "lists": lists}], schema)
 
         for b in batches:
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
@@ -160,8 +195,12 @@ def split_blocks(docs: DataFrame, path: str, block_chars: int = BLOCK) -> DataFr
         if ids:
             yield flush()
 
+    one = pa.struct([("share", pa.int64()), ("base", pa.int64()), ("packed", pa.binary())])
+    schema = pa.schema([("block", pa.int64()), ("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("positions", pa.binary()),
+                        ("lists", pa.list_(one))])
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    return rows.mapInArrow(run, "block long, docs array<long>, sizes array<long>, positions binary, words array<string>")
+    return rows.mapInArrow(run, "block long, docs array<long>, sizes array<long>, positions binary,"
+                                " lists array<struct<share: long, base: long, packed: binary>>")
 
 
 def _alphabet() -> dict[int, str]:
@@ -171,18 +210,37 @@ def _alphabet() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """word, ids of the distinct words of ``words``: each is encoded once, by the library's merge model."""
+class _WordTable(dict):
+    """Word to its ids; a word is encoded when it is first asked for."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.merge, self.letters = tokenizer.model.tokenize, _alphabet()
+        for i, a in tokenizer.get_added_tokens_decoder().items():
+            self[a.content.encode()] = np.array([i], "<u4").tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = array("I", [x.id for x in self.merge(word.decode("latin-1").translate(self.letters))]).tobytes()
+        return ids
+
+
+def encode_words(lists: DataFrame, path: str) -> DataFrame:
+    """block, base, ids (packed) for each row of ``lists`` (block, share, base, packed): the ids of its words, in order.
+
+    All lists of a hash value come to one task, so each distinct word of the
+    table is encoded once.
+    """
     def run(batches):
-        t, letters = _once("tokenizer", path), _alphabet()
-        special = {a.content: i for i, a in t.get_added_tokens_decoder().items()}
-        merge = t.model.tokenize
+        table = _WordTable(_once("tokenizer", path))
         for b in batches:
-            ids = [np.array([special[w]] if w in special else [x.id for x in merge(w.encode().decode("latin-1").translate(letters))],
-                            "<u4").tobytes() for w in b.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("word"), pa.array(ids, pa.binary())], names=["word", "ids"])
+            out = []
+            for packed in b.column("packed").to_pylist():
+                found = [table[w] for w in _cuts(*_unpack(packed))]
+                out.append(_pack(b"".join(found), np.fromiter(map(len, found), "<u4", len(found)).tobytes()))
+            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("base"), pa.array(out, pa.binary())], names=["block", "base", "ids"])
 
-    return words.select("word").distinct().mapInArrow(run, "word string, ids binary")
+    return lists.repartition(partitions(lists.sparkSession), "share").select("block", "base", "packed").mapInArrow(
+        run, "block long, base long, ids binary")
 
 
 def gather(flat: np.ndarray, offsets: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,33 +251,24 @@ def gather(flat: np.ndarray, offsets: np.ndarray, wanted: np.ndarray) -> tuple[n
     return flat[np.repeat(offsets[wanted] - (ends - size), size) + np.arange(total)], ends
 
 
-def _items(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets and bytes of a binary column."""
-    column = column.cast(pa.large_binary())
-    _, off, data = column.buffers()
-    off = np.frombuffer(off, np.int64)[column.offset:column.offset + len(column) + 1]
-    return off, np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
-
-
 def _assemble(batches):
     for b in batches:
         known = b.column("known")
         for i in range(b.num_rows):
-            ids, sizes, packed = b.column("docs")[i].as_py(), np.array(b.column("sizes")[i].as_py(), np.int64), b.column("positions")[i].as_py()
-            n = int(sizes.sum())
-            if n:
-                table = known[i].values.field("ids")
-                kind = np.uint16 if len(table) <= 1 << 16 else np.uint32
-                off, data = _items(table)
-                data = data[off[0]:off[-1]]
-                at = np.frombuffer(pa.decompress(packed, n * kind().itemsize, "zstd", asbytes=True), kind)
-                values, ends = gather(data.view("<u4"), (off - off[0]) // 4, at)
-                ends = np.append(0, ends)[np.append(0, np.cumsum(sizes))]
-            else:
-                values, ends = np.empty(0, "<u4"), np.zeros(len(ids) + 1, np.int64)
-            out = pa.Array.from_buffers(pa.large_binary(), len(ids),
-                                        [None, pa.py_buffer((4 * ends).astype(np.int64).tobytes()), pa.py_buffer(values.tobytes())])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), out.cast(pa.binary())], names=["doc_id", "ids"])
+            docs, sizes, positions = b.column("docs")[i].as_py(), np.array(b.column("sizes")[i].as_py(), np.int64), _unpack(b.column("positions")[i].as_py())[0]
+            values, ends = np.empty(0, "<u4"), np.zeros(len(docs) + 1, np.int64)
+            if len(positions):
+                parts = [_unpack(k["ids"]) for k in known[i].as_py()]  # in the order of base
+                size = np.frombuffer(b"".join(p[1] for p in parts), "<u4").astype(np.int64) // 4
+                offsets = np.append(0, np.cumsum(size))
+                at = np.frombuffer(positions, "<u4" if len(size) > 1 << 16 else "<u2")
+                values, after = gather(np.frombuffer(b"".join(p[0] for p in parts), "<u4"), offsets, at)
+                ends = np.append(0, after)[np.append(0, np.cumsum(sizes))]
+            for a in range(0, len(docs), ARROW_ROWS):
+                cut = ends[a:a + ARROW_ROWS + 1]
+                ids = pa.Array.from_buffers(pa.large_binary(), len(cut) - 1, [None, pa.py_buffer((4 * (cut - cut[0])).tobytes()),
+                                                                              pa.py_buffer(values[cut[0]:cut[-1]].tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(docs[a:a + ARROW_ROWS], pa.int64()), ids.cast(pa.binary())], names=["doc_id", "ids"])
 
 
 def encode(docs: DataFrame, path: str, block_chars: int = BLOCK) -> DataFrame:
@@ -232,10 +281,9 @@ def encode(docs: DataFrame, path: str, block_chars: int = BLOCK) -> DataFrame:
     ids, as in the library.
     """
     blocks = stored(split_blocks(docs, path, block_chars), "word-blocks")
-    words = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    found = words.join(encode_words(words, path), "word").groupBy("block").agg(
-        F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("known"))
-    whole = blocks.drop("words").join(found, "block", "left")
+    lists = blocks.select("block", F.explode("lists").alias("x")).select("block", "x.share", "x.base", "x.packed")
+    found = encode_words(lists, path).groupBy("block").agg(F.sort_array(F.collect_list(F.struct("base", "ids"))).alias("known"))
+    whole = blocks.drop("lists").join(found, "block", "left")
     return whole.select("docs", "sizes", "positions", "known").mapInArrow(_assemble, "doc_id long, ids binary")
 
 
