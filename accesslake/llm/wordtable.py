@@ -13,7 +13,8 @@ Decoding joins ids to the pieces of the vocabulary by position and joins the
 pieces' bytes.  The vocabulary has a fixed size (``MAX_VOCABULARY``, checked),
 so it is broadcast.
 
-A word comes once from each block at most, however often it occurs; a block
+The positions are ranks by count, words that occur once in a block share one
+code: that makes them small.  A word comes once from each block at most, however often it occurs; a block
 holds about ``BLOCK`` characters (or one longer text).  A task of the word
 table holds its share of the distinct words, which shrinks as the session's
 shuffle partitions grow.
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 
 from .common import ARROW_ROWS, partitions, stored, text_of, tuned
 
-BLOCK = 8_000_000
+BLOCK = 16_000_000
 MAX_VOCABULARY = 1 << 20
 #: Hash values for each shuffle partition, so that the partitions get nearly equal shares.
 SHARES = 4
@@ -145,25 +146,51 @@ def _unpack(data: bytes) -> list[bytes]:
     return [whole[e - k:e] for e, k in zip(ends, size.tolist())]
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """All first bytes of the 32-bit values, then all second bytes, and so on: they compress better apart."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _values(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
 def _cuts(data: bytes, size: bytes) -> list[bytes]:
-    ends = np.cumsum(np.frombuffer(size, "<u4"), dtype=np.int64).tolist()
+    ends = np.cumsum(_values(size), dtype=np.int64).tolist()
     return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
+def _ranked(at: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(order, codes)``: words by falling count, those that occur once last, in order of appearance.
+
+    A repeated word's code is its rank from 1 on; a word that occurs once has
+    code 0, its rank follows from the order.
+    """
+    count = np.bincount(at, minlength=n_words)
+    often = np.flatnonzero(count > 1)
+    often = often[np.argsort(-count[often], kind="stable")]
+    code = np.zeros(n_words, np.uint32)
+    code[often] = np.arange(1, len(often) + 1)
+    return np.concatenate([often, np.flatnonzero(count == 1)]), code[at]
+
+
+def _ranks(codes: np.ndarray, n_words: int) -> np.ndarray:
+    """The rank of each position's word, from ``_ranked``'s codes."""
+    once = codes == 0
+    return np.where(once, n_words - int(once.sum()) + np.cumsum(once) - 1, codes.astype(np.int64) - 1)
+
+
 def _deal(words: list[str], shares: int) -> tuple[np.ndarray, list[dict]]:
-    """Each word's place when the words are ordered by hash value, and one packed list a hash value."""
+    """Each word's hash value, and one packed list of words for each value."""
     raw = [w.encode() for w in words]
     share = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % shares
     order = np.argsort(share, kind="stable")
-    place = np.empty(len(raw), np.int64)
-    place[order] = np.arange(len(raw))
     first = np.flatnonzero(np.diff(share[order], prepend=-1))
     lists = []
     for a, b in zip(first.tolist(), [*first[1:].tolist(), len(raw)]):
         own = [raw[i] for i in order[a:b].tolist()]
-        lists.append({"share": int(share[order[a]]), "base": a,
-                      "packed": _pack(b"".join(own), np.fromiter(map(len, own), "<u4", len(own)).tobytes())})
-    return place, lists
+        lists.append({"share": int(share[order[a]]), "base": a, "packed": _pack(b"".join(own), _planes(np.fromiter(map(len, own), "<u4", len(own))))})
+    return share, lists
 
 
 def split_blocks(docs: DataFrame, path: str, block_chars: int = BLOCK) -> DataFrame:
@@ -175,10 +202,12 @@ def split_blocks(docs: DataFrame, path: str, block_chars: int = BLOCK) -> DataFr
         ids, sizes, at, chars, where = [], [], array("I"), 0, _Positions()
 
         def flush():
-            place, lists = _deal(list(where), shares)
-            positions = place[np.frombuffer(at, np.uint32)].astype("<u4" if len(where) > 1 << 16 else "<u2")
+            words = list(where)
+            order, codes = _ranked(np.frombuffer(at, np.uint32), len(words))
+            share, lists = _deal([words[i] for i in order.tolist()], shares)
+            positions = _pack(_planes(codes), _planes(share))
             return pa.RecordBatch.from_pylist(
-                [{"block": (part << 32) + n, "docs": ids, "sizes": sizes, "positions": _pack(positions.tobytes()), "lists": lists}], schema)
+                [{"block": (part << 32) + n, "docs": ids, "sizes": sizes, "positions": positions, "lists": lists}], schema)
 
         for b in batches:
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
@@ -236,7 +265,8 @@ def encode_words(lists: DataFrame, path: str) -> DataFrame:
             out = []
             for packed in b.column("packed").to_pylist():
                 found = [table[w] for w in _cuts(*_unpack(packed))]
-                out.append(_pack(b"".join(found), np.fromiter(map(len, found), "<u4", len(found)).tobytes()))
+                ids = np.frombuffer(b"".join(found), "<u4")
+                out.append(_pack(_planes(ids), _planes(np.fromiter(map(len, found), "<u4", len(found)) // 4)))
             yield pa.RecordBatch.from_arrays([b.column("block"), b.column("base"), pa.array(out, pa.binary())], names=["block", "base", "ids"])
 
     return lists.repartition(partitions(lists.sparkSession), "share").select("block", "base", "packed").mapInArrow(
@@ -255,14 +285,15 @@ def _assemble(batches):
     for b in batches:
         known = b.column("known")
         for i in range(b.num_rows):
-            docs, sizes, positions = b.column("docs")[i].as_py(), np.array(b.column("sizes")[i].as_py(), np.int64), _unpack(b.column("positions")[i].as_py())[0]
+            docs, sizes = b.column("docs")[i].as_py(), np.array(b.column("sizes")[i].as_py(), np.int64)
+            codes, share = map(_values, _unpack(b.column("positions")[i].as_py()))
             values, ends = np.empty(0, "<u4"), np.zeros(len(docs) + 1, np.int64)
-            if len(positions):
-                parts = [_unpack(k["ids"]) for k in known[i].as_py()]  # in the order of base
-                size = np.frombuffer(b"".join(p[1] for p in parts), "<u4").astype(np.int64) // 4
-                offsets = np.append(0, np.cumsum(size))
-                at = np.frombuffer(positions, "<u4" if len(size) > 1 << 16 else "<u2")
-                values, after = gather(np.frombuffer(b"".join(p[0] for p in parts), "<u4"), offsets, at)
+            if len(codes):
+                parts = [[_values(p) for p in _unpack(k["ids"])] for k in known[i].as_py()]  # in the order of base
+                place = np.empty(len(share), np.int64)
+                place[np.argsort(share, kind="stable")] = np.arange(len(share))
+                offsets = np.append(0, np.cumsum(np.concatenate([p[1] for p in parts]), dtype=np.int64))
+                values, after = gather(np.concatenate([p[0] for p in parts]), offsets, place[_ranks(codes, len(share))])
                 ends = np.append(0, after)[np.append(0, np.cumsum(sizes))]
             for a in range(0, len(docs), ARROW_ROWS):
                 cut = ends[a:a + ARROW_ROWS + 1]
