@@ -34,12 +34,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ARROW_ROWS, partitions, stored, text_of, tuned
+from .common import partitions, stored, text_of, tuned
 
-BLOCK = 16_000_000
+BLOCK = 24_000_000
 MAX_VOCABULARY = 1 << 20
 #: Hash values for each shuffle partition, so that the partitions get nearly equal shares.
 SHARES = 4
+#: Between words in a packed list: a byte that UTF-8 does not have.
+BETWEEN = b"\xff"
+_LEVEL = 6
+#: Texts of a block put together at once.
+CHUNK_DOCS = 500
 _ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 #: One character of each class (letter, number, white space, other), for those beyond the BMP.
 _STAND_IN = {"L": "\xe4", "N": "1", "S": "　", "O": "!"}
@@ -135,7 +140,7 @@ class _Positions(dict):
 
 def _pack(*parts: bytes) -> bytes:
     """The parts' sizes, then the parts compressed together."""
-    return np.array([len(parts), *map(len, parts)], "<u8").tobytes() + pa.compress(b"".join(parts), "zstd", asbytes=True)
+    return np.array([len(parts), *map(len, parts)], "<u8").tobytes() + pa.Codec("zstd", _LEVEL).compress(b"".join(parts), asbytes=True)
 
 
 def _unpack(data: bytes) -> list[bytes]:
@@ -155,11 +160,6 @@ def _values(planes: bytes) -> np.ndarray:
     return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
-def _cuts(data: bytes, size: bytes) -> list[bytes]:
-    ends = np.cumsum(_values(size), dtype=np.int64).tolist()
-    return [data[a:b] for a, b in zip([0, *ends], ends)]
-
-
 def _ranked(at: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
     """``(order, codes)``: words by falling count, those that occur once last, in order of appearance.
 
@@ -188,8 +188,7 @@ def _deal(words: list[str], shares: int) -> tuple[np.ndarray, list[dict]]:
     first = np.flatnonzero(np.diff(share[order], prepend=-1))
     lists = []
     for a, b in zip(first.tolist(), [*first[1:].tolist(), len(raw)]):
-        own = [raw[i] for i in order[a:b].tolist()]
-        lists.append({"share": int(share[order[a]]), "base": a, "packed": _pack(b"".join(own), _planes(np.fromiter(map(len, own), "<u4", len(own))))})
+        lists.append({"share": int(share[order[a]]), "base": a, "packed": _pack(BETWEEN.join([raw[i] for i in order[a:b].tolist()]))})
     return share, lists
 
 
@@ -264,7 +263,7 @@ def encode_words(lists: DataFrame, path: str) -> DataFrame:
         for b in batches:
             out = []
             for packed in b.column("packed").to_pylist():
-                found = [table[w] for w in _cuts(*_unpack(packed))]
+                found = [table[w] for w in _unpack(packed)[0].split(BETWEEN)]
                 ids = np.frombuffer(b"".join(found), "<u4")
                 out.append(_pack(_planes(ids), _planes(np.fromiter(map(len, found), "<u4", len(found)) // 4)))
             yield pa.RecordBatch.from_arrays([b.column("block"), b.column("base"), pa.array(out, pa.binary())], names=["block", "base", "ids"])
@@ -287,19 +286,20 @@ def _assemble(batches):
         for i in range(b.num_rows):
             docs, sizes = b.column("docs")[i].as_py(), np.array(b.column("sizes")[i].as_py(), np.int64)
             codes, share = map(_values, _unpack(b.column("positions")[i].as_py()))
-            values, ends = np.empty(0, "<u4"), np.zeros(len(docs) + 1, np.int64)
+            flat, offsets, ranks = np.empty(0, "<u4"), np.zeros(1, np.int64), np.empty(0, np.int64)
             if len(codes):
                 parts = [[_values(p) for p in _unpack(k["ids"])] for k in known[i].as_py()]  # in the order of base
                 place = np.empty(len(share), np.int64)
                 place[np.argsort(share, kind="stable")] = np.arange(len(share))
-                offsets = np.append(0, np.cumsum(np.concatenate([p[1] for p in parts]), dtype=np.int64))
-                values, after = gather(np.concatenate([p[0] for p in parts]), offsets, place[_ranks(codes, len(share))])
-                ends = np.append(0, after)[np.append(0, np.cumsum(sizes))]
-            for a in range(0, len(docs), ARROW_ROWS):
-                cut = ends[a:a + ARROW_ROWS + 1]
-                ids = pa.Array.from_buffers(pa.large_binary(), len(cut) - 1, [None, pa.py_buffer((4 * (cut - cut[0])).tobytes()),
-                                                                              pa.py_buffer(values[cut[0]:cut[-1]].tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(docs[a:a + ARROW_ROWS], pa.int64()), ids.cast(pa.binary())], names=["doc_id", "ids"])
+                flat, offsets = np.concatenate([p[0] for p in parts]), np.append(0, np.cumsum(np.concatenate([p[1] for p in parts]), dtype=np.int64))
+                ranks = place[_ranks(codes, len(share))]
+            first = np.append(0, np.cumsum(sizes))
+            for a in range(0, len(docs), CHUNK_DOCS):
+                own = first[a:a + CHUNK_DOCS + 1]
+                values, after = gather(flat, offsets, ranks[own[0]:own[-1]])
+                ends = 4 * np.append(0, after)[own - own[0]]
+                ids = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(values.tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(docs[a:a + CHUNK_DOCS], pa.int64()), ids.cast(pa.binary())], names=["doc_id", "ids"])
 
 
 def encode(docs: DataFrame, path: str, block_chars: int = BLOCK) -> DataFrame:
