@@ -16,8 +16,9 @@ IP = f"(?:{IPV6}|{IPV4})"
 # Atomic groups below never change what matches: every use of these tokens is
 # followed by a separator the token cannot contain (space, tab, "@"), so a
 # shorter match could never succeed; they only stop useless backtracking in
-# branches that are going to fail anyway.
-HOSTNAME = (r"(?>\b(?:[0-9A-Za-z][0-9A-Za-z-]{0,62})(?:\.(?:[0-9A-Za-z][0-9A-Za-z-]{0,62}))*"
+# branches that are going to fail anyway.  The labels repeat possessively, so
+# a name of any length is matched without recursion.
+HOSTNAME = (r"(?>\b(?:[0-9A-Za-z][0-9A-Za-z-]{0,62})(?:\.(?:[0-9A-Za-z][0-9A-Za-z-]{0,62}))*+"
             r"(?:\.?|\b))")
 IPORHOST = f"(?:{IP}|{HOSTNAME})"
 USERNAME = r"(?>[a-zA-Z0-9._-]+)"

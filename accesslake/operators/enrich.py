@@ -1,16 +1,17 @@
 """Enrichment by joins against user-supplied dimension tables.
 
-* E2 ``geo_lookup``       – IPv4 range join, bucketed on the /16 (or any
-  prefix length) so it is an equi-join plus a range check, never a nested loop.
+* E2 ``geo_lookup``       – IPv4 range join: ranges become disjoint segments,
+  then rows and segments meet in one sorted merge (``geo``).
 * E3 ``dns_lookup``       – left equi-join ``address → name``; the default
   name is the address itself.
-* E4 ``registered_domain`` – longest public-suffix match by exploding the
-  host's label suffixes and equi-joining the suffix table, done on distinct
-  hosts and joined back.
+* E4 ``registered_domain`` – public-suffix rules (plain, wildcard, exception)
+  by exploding the host's label suffixes and equi-joining the rule table, done
+  on distinct hosts and joined back.
 * E1 ``parse_agents``     – ordered agent rules applied per partition with
   pandas (``mapInPandas``) on distinct agents, joined back.
-* E6 – the eligibility gate: rows that are quarantined or have no address get
-  a null join key, so they never join.
+* E6 – the eligibility gate: rows whose line could not be parsed or that have
+  no address get a null join key, so they never join; a bad date does not
+  matter.
 
 No explicit broadcast hints on user tables: their size is unknown when the
 plan is written, so the choice is left to AQE, which broadcasts a side only
@@ -26,55 +27,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import net
-from .partitioning import salted_join_back
-from .normalise import is_quarantined
+from . import geo
+from .partitioning import join_back
+from .sinks import materialize
+
+#: Tags of rows whose address is not looked up.
+UNRESOLVED_TAGS = ("bad_log", "_grokparsefailure", "_grok_filter_initial_parse_failure", "_missing_source_address")
 
 
 def _eligible_address(df: DataFrame, addr_col: str) -> Column:
     addr = F.col(addr_col)
     if "tags" in df.columns:
-        return F.when(~is_quarantined(F.col("tags")), addr)
+        failed = F.arrays_overlap(F.col("tags"), F.array(*[F.lit(t) for t in UNRESOLVED_TAGS]))
+        return F.when(~F.coalesce(failed, F.lit(False)), addr)
     return addr
 
 
-def geo_lookup(df: DataFrame, ranges: DataFrame, addr_col: str = "source_address",
-               prefix_bits: int = 16, prefer_col: str | None = None) -> DataFrame:
-    """Left range join of IPv4 addresses onto disjoint ``[ip_start, ip_end]`` ranges.
+def _stored(df: DataFrame, name: str, stored: bool) -> DataFrame:
+    """``df`` written once, so that its distinct values and its rows come from one evaluation."""
+    return df if stored else materialize(df, name, partition_by=None)
+
 
-    Each range is replicated once per ``/prefix_bits`` block it touches, so a
-    row meets only the ranges of its own block.  ``prefer_col`` (for example
-    a CDN-supplied country) wins over the looked-up country.
+def geo_lookup(df: DataFrame, ranges: DataFrame, addr_col: str = "source_address", prefer_col: str | None = None) -> DataFrame:
+    """Left range join of IPv4 addresses onto ``[ip_start, ip_end]`` ranges, which may overlap.
 
     Every row comes out once: of overlapping ranges the narrowest wins (ties:
-    the lowest start, then the smallest names), found once for each distinct
-    address, so a hot address or block meets its ranges once.
+    the lowest start, then the smallest names).  Missing, IPv6 and other
+    addresses get nulls.  ``df`` is read once.  ``prefer_col`` (for example a
+    CDN-supplied country) wins over the looked-up country.
     """
-    shift = 32 - prefix_bits
-    ip = net.ipv4_to_long(_eligible_address(df, addr_col))
-    left = df.withColumn("__ip", ip).withColumn("__blk", F.shiftright(F.col("__ip"), shift))
-    r = ranges.select(
-        F.col("ip_start").alias("__s"), F.col("ip_end").alias("__e"),
-        F.col("country").alias("__country"), F.col("region").alias("__region"),
-        F.col("city").alias("__city"), F.col("lat").alias("__lat"), F.col("lon").alias("__lon"),
-        F.explode(F.sequence(F.shiftright("ip_start", shift), F.shiftright("ip_end", shift))).alias("__rblk"),
-    )
-    # the winning range of each distinct address, then one equi-join back
-    cond = (F.col("__ip") == F.col("__aip"))
-    asked = left.where("__ip is not null").select(F.col("__ip").alias("__aip"), F.col("__blk").alias("__ablk")).distinct()
-    met = asked.join(r, (asked["__ablk"] == r["__rblk"]) & asked["__aip"].between(r["__s"], r["__e"]))
-    best = met.groupBy("__aip").agg(F.min(F.struct((F.col("__e") - F.col("__s")).alias("w"), "__s", "__country", "__region", "__city",
-                                                   "__lat", "__lon")).alias("__g"))
-    best = best.select("__aip", *(F.col("__g").getField(k).alias(k) for k in ("__country", "__region", "__city", "__lat", "__lon")))
-    j = left.join(best, cond, "left")
-    country = F.col("__country")
+    located = geo.locate(df.withColumn("__ip", net.ipv4_to_long(_eligible_address(df, addr_col))), "__ip", geo.flatten_ranges(ranges))
+    country = F.col("__place.country")
     if prefer_col:
         country = F.coalesce(F.col(prefer_col), country)
-    return (j.withColumn("geo_country", country)
-             .withColumn("geo_region", F.col("__region"))
-             .withColumn("geo_city", F.col("__city"))
-             .withColumn("geo_lat", F.col("__lat"))
-             .withColumn("geo_lon", F.col("__lon"))
-             .drop("__ip", "__blk", "__aip", "__country", "__region", "__city", "__lat", "__lon"))
+    return located.withColumns({"geo_country": country} | {f"geo_{c}": F.col(f"__place.{c}") for c in geo.PLACE[1:]}).drop("__ip", "__place")
 
 
 def dns_lookup(df: DataFrame, dns: DataFrame, addr_col: str = "source_address") -> DataFrame:
@@ -95,18 +81,43 @@ def _suffix_candidates(host: Column) -> Column:
                        lambda i: F.struct(i.alias("pos"), F.array_join(F.slice(labels, i, n - i + 1), ".").alias("cand")))
 
 
-def resolve_domains(hosts: DataFrame, suffixes: DataFrame, host_col: str = "host") -> DataFrame:
+def suffix_rules(suffixes: DataFrame) -> DataFrame:
+    """``(key, shift, exception)`` of public-suffix rules in their usual notation.
+
+    A plain rule is its own suffix.  ``*.key`` makes any one label more a
+    suffix (``key`` itself is none by that rule).  ``!name.key`` excepts a name
+    from a wildcard: its suffix starts one label later.  Case, blanks and
+    leading or trailing dots do not matter; empty rows and repeated rules are
+    ignored; a wildcard anywhere but first is not known and matches nothing.
+    """
+    rule = F.trim(F.regexp_replace(F.lower(F.trim("suffix")), r"^\.+|\.+$", ""))
+    r = suffixes.select(rule.alias("rule")).where(F.length("rule") > 0)
+    return r.select(
+        F.regexp_replace("rule", r"^(?:!|\*\.)", "").alias("key"),
+        F.when(F.col("rule").startswith("*."), -1).when(F.col("rule").startswith("!"), 1).otherwise(0).alias("shift"),
+        F.col("rule").startswith("!").alias("exception")).distinct()
+
+
+def resolve_domains(hosts: DataFrame, suffixes: DataFrame, host_col: str = "host", unlisted: bool = False) -> DataFrame:
     """E4 on a set of hosts: registered domain, TLD, second level, sub-domain.
 
-    The longest suffix wins (smallest start position of the matching label
-    run).  A host that is itself a public suffix, or an IPv4 text, gets nulls.
+    The prevailing rule is the exception if one matches, else the rule with
+    most labels (see ``suffix_rules``).  A host that is itself a public suffix,
+    an IPv4 text, or matches no rule does not come out; with ``unlisted`` the
+    last label is the suffix of hosts that match none.  A trailing dot is
+    dropped, hosts with empty labels match nothing.
     """
-    h = hosts.select(F.lower(F.col(host_col)).alias("__host")).where(
-        F.col("__host").isNotNull() & ~net.is_ipv4(F.col("__host"))).distinct()
+    name = F.regexp_replace(F.lower(F.col(host_col)), r"\.$", "")
+    h = hosts.select(name.alias("__host")).where(
+        F.col("__host").isNotNull() & ~net.is_ipv4(F.col("__host")) & ~F.col("__host").rlike(r"(?:^|\.)(?:\.|$)")).distinct()
     cands = h.select("__host", F.explode(_suffix_candidates(F.col("__host"))).alias("c"))
-    sfx = suffixes.select(F.lower(F.col("suffix")).alias("__sfx")).distinct()
-    m = cands.join(sfx, F.col("c.cand") == F.col("__sfx"), "inner")
-    best = m.groupBy("__host").agg(F.min("c.pos").alias("__pos"))
+    rules = suffix_rules(suffixes)
+    met = cands.join(rules, F.col("c.cand") == F.col("key"), "inner").select(
+        "__host", "exception", (F.col("c.pos") + F.col("shift")).alias("start")).where("start >= 1")
+    if unlisted:
+        met = met.union(h.select("__host", F.lit(False), F.size(F.split("__host", r"\."))))
+    # exceptions before all others, then the earliest start: the rule with most labels
+    best = met.groupBy("__host").agg(F.min(F.struct((~F.col("exception")).alias("plain"), "start")).getField("start").alias("__pos"))
     labels = F.split(F.col("__host"), r"\.")
     pos = F.col("__pos")
     return best.where(pos > 1).select(
@@ -118,13 +129,16 @@ def resolve_domains(hosts: DataFrame, suffixes: DataFrame, host_col: str = "host
     )
 
 
-def registered_domain(df: DataFrame, suffixes: DataFrame, host_col: str, prefix: str) -> DataFrame:
-    """Add ``<prefix>registered_domain`` / ``top_level_domain`` / ``subdomain`` / ``second_level_domain``."""
-    res = resolve_domains(df.select(F.col(host_col).alias("host")), suffixes)
+def registered_domain(df: DataFrame, suffixes: DataFrame, host_col: str, prefix: str, stored: bool = False) -> DataFrame:
+    """Add ``<prefix>registered_domain`` / ``top_level_domain`` / ``subdomain`` / ``second_level_domain``.
+
+    ``stored`` says that ``df`` is cheap to read again (a stored table); else it is written once first.
+    """
+    df = _stored(df.withColumn("__lh", F.regexp_replace(F.lower(F.col(host_col)), r"\.$", "")), "domains", stored)
+    res = resolve_domains(df.select(F.col("__lh").alias("host")), suffixes)
     res = res.select(F.col("host").alias("__h"), *[F.col(c).alias(prefix + c) for c in
                      ("registered_domain", "top_level_domain", "second_level_domain", "sub_domain")])
-    j = salted_join_back(df.withColumn("__lh", F.lower(F.col(host_col))), res, "__lh", "__h")
-    return j.drop("__h", "__lh")
+    return join_back(df, res, "__lh", "__h").drop("__h", "__lh")
 
 
 # ---------------------------------------------------------------------------
@@ -177,7 +191,7 @@ def _apply_agent_rules(agent: str | None, compiled: dict) -> tuple:
     return (name or "Other", version, os_name or "Other", device or "Other")
 
 
-def parse_agents(df: DataFrame, agent_rules: DataFrame, agent_col: str = "user_agent") -> DataFrame:
+def parse_agents(df: DataFrame, agent_rules: DataFrame, agent_col: str = "user_agent", stored: bool = False) -> DataFrame:
     """Ordered first-match agent rules on distinct agents, joined back.
 
     The rule table is configuration (patterns written by hand, not data); it
@@ -196,7 +210,7 @@ def parse_agents(df: DataFrame, agent_rules: DataFrame, agent_col: str = "user_a
             yield out
 
     schema = "__agent string, " + ", ".join(f"{c} string" for c in AGENT_FIELDS)
+    df = _stored(df, "agents", stored)
     distinct_agents = df.select(F.col(agent_col).alias("__agent")).where(F.col("__agent").isNotNull()).distinct()
     labelled = distinct_agents.mapInPandas(classify_batches, schema)
-    j = salted_join_back(df, labelled, agent_col, "__agent")
-    return j.drop("__agent")
+    return join_back(df, labelled, agent_col, "__agent").drop("__agent")

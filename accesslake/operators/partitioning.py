@@ -24,25 +24,43 @@ def spread(df: DataFrame, *keys: str, target: int | None = None) -> DataFrame:
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
-JOIN_BACK_SALT_BUCKETS = 8
+#: Most values that the counting sketch follows at once.
+SKETCH_ITEMS = 10_000
 
 
-def salted_join_back(big: DataFrame, labels: DataFrame, big_key: str, label_key: str,
-                     buckets: int = JOIN_BACK_SALT_BUCKETS) -> DataFrame:
-    """Left-join a per-distinct-value label table back onto the rows.
+def heavy_values(df: DataFrame, key: str, parts: int) -> dict:
+    """Value to the number of shares it fills: the values of ``key`` that hold more than one of ``parts`` shares of the rows.
+
+    One aggregate with a bounded counting sketch a task finds them; fewer than
+    ``parts`` values can hold that much, so the result is small whatever the
+    data.
+    """
+    k = max(1, min(parts, SKETCH_ITEMS // 8))
+    found = df.where(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{key}`, {k}, {max(256, 8 * k)})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    pieces = {x["item"]: -(-x["count"] * parts // found["n"]) for x in found["top"] or []}
+    return {value: n for value, n in pieces.items() if n > 1}
+
+
+def join_back(rows: DataFrame, labels: DataFrame, key: str, label_key: str, parts: int | None = None) -> DataFrame:
+    """Left-join a table with one row for each distinct value back onto the rows.
 
     One value may carry a third of all rows (a bot's agent, a hot URL, one
-    host).  The label table holds one row per distinct value, so it is cheap
-    to replicate over ``buckets`` salts; each row takes salt
-    ``monotonically_increasing_id() mod buckets`` and the hot value's rows
-    spread over ``buckets`` reducers instead of one.  The result does not
-    depend on which salt a row gets (every salt holds a full copy of the
-    labels), so task retries stay correct.  When AQE broadcasts the label
-    table the salt is simply part of the hash key.
+    host).  Such values are found first (``heavy_values``) and only they are
+    split, each into as many pieces as its share of the rows asks: its label
+    row is copied for every piece and its rows are dealt over them.  The
+    result does not depend on which piece a row gets.  ``rows`` is read twice
+    (its key column alone for the counts), so it should be a stored table.
     """
-    if buckets <= 1:
-        return big.join(labels, big[big_key] == labels[label_key], "left")
-    lab = labels.withColumn("__salt_l", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    b = big.withColumn("__salt_b", F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
-    j = b.join(lab, (b[big_key] == lab[label_key]) & (b["__salt_b"] == lab["__salt_l"]), "left")
-    return j.drop("__salt_b", "__salt_l")
+    spark = rows.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_values(rows, key, parts)
+    if not heavy:
+        return rows.join(labels, rows[key] == labels[label_key], "left")
+    heavy = spark.createDataFrame(sorted(heavy.items()), f"__heavy {rows.schema[key].dataType.simpleString()}, __pieces int")
+    h = F.broadcast(heavy)  # fewer than ``parts`` rows
+    lab = labels.join(h, labels[label_key] == heavy["__heavy"], "left").drop("__heavy")
+    lab = lab.withColumn("__piece_l", F.explode(F.sequence(F.lit(0), F.coalesce("__pieces", F.lit(1)) - 1))).drop("__pieces")
+    big = rows.join(h, rows[key] == heavy["__heavy"], "left").drop("__heavy")
+    big = big.withColumn("__piece_b", F.pmod(F.monotonically_increasing_id(), F.coalesce("__pieces", F.lit(1))).cast("int")).drop("__pieces")
+    return big.join(lab, (F.col(key) == F.col(label_key)) & (F.col("__piece_b") == F.col("__piece_l")), "left").drop("__piece_b", "__piece_l")

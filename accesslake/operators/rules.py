@@ -28,7 +28,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .partitioning import salted_join_back
+from .partitioning import join_back
+from .sinks import materialize
 
 CHUNK = 50
 
@@ -158,19 +159,19 @@ def classify(df: DataFrame, value_col: str, rules: list[Rule], out_col: str, def
 
 
 def classify_distinct(df: DataFrame, value_col: str, rules: list[Rule], out_col: str,
-                      default: str | None = None) -> DataFrame:
+                      default: str | None = None, stored: bool = False) -> DataFrame:
     """C1 on distinct values, joined back (values repeat heavily in logs).
 
-    The distinct set is an aggregate (partial + final, so a hot value costs one
-    row per map task); the join back is an equi-join that AQE broadcasts when
-    the labelled set is small and otherwise sort-merges with skew splitting.
-    Null values get the default without entering the join.
+    ``df`` is written once (unless it is ``stored`` already): the distinct set
+    and the rows come from that.  The distinct set is an aggregate (partial +
+    final, so a hot value costs one row per map task); the join back splits
+    heavy values.  Null values get the default without entering the join.
     """
+    if not stored:
+        df = materialize(df, "classify", partition_by=None)
     labelled = (df.select(F.col(value_col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
                 .withColumn("__label", classify_expr("__v", rules, default)))
-    # plain equality: null values never meet the labelled set; they take the
-    # default below.  Hot values are spread by salting the join back.
-    j = salted_join_back(df, labelled, value_col, "__v")
+    j = join_back(df, labelled, value_col, "__v")
     return j.withColumn(out_col, F.coalesce(F.col("__label"), F.lit(default).cast("string"))).drop("__v", "__label")
 
 

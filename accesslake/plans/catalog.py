@@ -10,6 +10,7 @@ compare across engines.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +24,7 @@ from ..operators.normalise import keep_events, to_events
 from ..session import scratch_path
 from ..sources import replay
 from ..sources.tables import load
-from ..sources.text import attach_source
+from ..sources.text import attach_source, read_lines
 from . import dims as D
 from .ingest import Dimensions, enrich_events, parse_any, transform
 
@@ -62,7 +63,7 @@ def enriched_events(spark: SparkSession, sf: str, windowed: bool = False) -> Dat
     stored = sinks.materialize(combined_events(spark, sf), "events")
     if windowed:
         stored = rollups.trailing_window(stored, AS_OF, WINDOW_HOURS)
-    return enrich_events(stored, d, url_domains=False)
+    return enrich_events(stored, d, url_domains=False, stored=True)
 
 
 def noisy_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -242,6 +243,36 @@ def q_geo_range_join(spark, sf):
     return out.select("event_id", "source_address", "geo_country", "geo_region", "geo_city", "geo_lat", "geo_lon")
 
 
+def q_suffix_rule_kinds(spark, sf):
+    pg = _t(spark, sf, "pages")
+    hosts = pg.select(D.page_host(F.col("url")).alias("host"))
+    return enrich.resolve_domains(hosts, D.suffix_rules_from_pages(spark, pg))
+
+
+def q_geo_overlaps(spark, sf):
+    e = combined_events(spark, sf).select("event_id", "source_address")
+    k = F.pmod(F.col("event_id"), F.lit(9))
+    e = e.withColumn("source_address", F.when(k == 0, F.lit(None).cast("string"))
+                     .when(k == 1, F.concat(F.lit("2001:db8::"), F.pmod(F.col("event_id"), F.lit(1000)).cast("string")))
+                     .otherwise(F.col("source_address")))
+    out = enrich.geo_lookup(e, D.overlapping_geo(_t(spark, sf, "customer"), _t(spark, sf, "nation")))
+    return out.select("event_id", "source_address", "geo_country", "geo_region", "geo_city")
+
+
+def q_long_fields(spark, sf):
+    """Host names, URLs and agents of 64 KB among ordinary lines."""
+    ev, pg = _events_pages(spark, sf)
+    k = F.pmod(F.col("event_id"), F.lit(1000))
+    req = replay.event_requests(ev, pg)
+    req = req.withColumns({
+        "client": F.when(k == 0, F.concat(F.repeat(F.lit("a."), 32768), F.lit("example"))).otherwise(F.col("client")),
+        "target": F.when(k == 1, F.repeat(F.lit("/%41b"), 13108)).otherwise(F.col("target")),
+        "agent": F.when(k == 2, F.repeat(F.lit("agent (x) "), 6554)).otherwise(F.col("agent"))})
+    e = to_events(parse_lines(req.select("event_id", replay.combined_line().alias("value"))))
+    return e.select("event_id", "log_format", F.length("source_address").alias("address_length"), F.length("url_path").alias("path_length"),
+                    F.length(F.rtrim("user_agent")).alias("agent_length"), "status_code")
+
+
 def q_dns_left_join(spark, sf):
     e = combined_events(spark, sf)
     out = enrich.dns_lookup(e, D.dns_from_customer(_t(spark, sf, "customer")))
@@ -407,6 +438,39 @@ def q_stream_equals_batch(spark, sf):
         F.col("batch_events").cast("bigint").alias("batch_events"))
 
 
+def q_stream_source_constants(spark, sf):
+    """Compressed log files by source, read as a stream and as a batch, both with their source's constants."""
+    from ..streaming.ingest import start_ingest
+    ev, pg = _events_pages(spark, sf)
+    nation = _t(spark, sf, "nation")
+    src = scratch_path(spark, "source-files")
+    req = replay.event_requests(ev, pg).withColumn("_nk", F.pmod(F.col("user_id"), F.lit(25)))
+    n = nation.select("n_nationkey", D.nation_slug(F.col("n_name")).alias("org"))
+    req = req.join(n, req["_nk"] == n["n_nationkey"], "left")
+    kind = F.when(F.pmod(F.col("user_id"), F.lit(2)) == 0, F.lit("web")).otherwise(F.lit("ftp"))
+    (req.select("org", kind.alias("kind"), replay.combined_line().alias("value"))
+        .write.partitionBy("org", "kind").option("compression", "gzip").text(src))
+    # the prefixes of the given sources, below the folder of these files
+    root = re.sub(r"^[A-Za-z0-9+.\-]+:(?://[^/]*)?/", "", src).lstrip("/")
+    below = F.regexp_replace(F.regexp_replace("prefix", "^", f"{root}/org="), "/web/$", "/kind=web/")
+    sources = D.sources_from_nation(nation).withColumn("prefix", below)
+    store = scratch_path(spark, "source-store")
+    q = start_ingest(spark, src, store, checkpoint=scratch_path(spark, "source-ckpt"), available_now=True, sources=sources)
+    q.awaitTermination()
+    lines = read_lines(spark, src, glob="*.gz")
+
+    def count(events, name):
+        return events.groupBy(F.col("src_organization").alias("organization"), F.col("src_dataset").alias("dataset")).agg(
+            F.count(F.lit(1)).alias(name))
+
+    streamed = count(spark.read.parquet(store), "stream_events")
+    batch = count(sinks.dedupe_by_hash(transform(lines, sources=sources)), "batch_events")
+    same = streamed["organization"].eqNullSafe(batch["organization"]) & streamed["dataset"].eqNullSafe(batch["dataset"])
+    return streamed.join(batch, same, "full").select(
+        F.coalesce(streamed["organization"], batch["organization"]).alias("organization"),
+        F.coalesce(streamed["dataset"], batch["dataset"]).alias("dataset"), "stream_events", "batch_events")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_combined_roundtrip": q_parse_combined_roundtrip,
     "parse_mixed_layouts": q_parse_mixed_layouts,
@@ -449,4 +513,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "egress_yoy": q_egress_yoy,
     "dedupe_by_hash": q_dedupe_by_hash,
     "stream_equals_batch": q_stream_equals_batch,
+    "suffix_rule_kinds": q_suffix_rule_kinds,
+    "geo_overlaps": q_geo_overlaps,
+    "long_fields": q_long_fields,
+    "stream_source_constants": q_stream_source_constants,
 }

@@ -59,6 +59,43 @@ def public_suffix(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(s,) for s in PUBLIC_SUFFIXES], "suffix string")
 
 
+# --- fixed values: rules of every kind over the hosts of ``pages`` -------------
+SUFFIX_RULES = ("com", "org", "*.example.net", "*.example.org")
+EXCEPTED_DOMAIN = "example.org"  # its second-level names of even length are excepted from the wildcard
+# ------------------------------------------------------------------------------
+
+
+def page_host(url: F.Column) -> F.Column:
+    return F.regexp_extract(url, r"^[A-Za-z]+://([^/?#:]+)", 1)
+
+
+def suffix_rules_from_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """Plain and wildcard rules, and one exception for each excepted name that occurs."""
+    name = F.regexp_extract(F.lower(page_host(F.col("url"))), r"([^.]+)\.example\.org$", 1)
+    excepted = pages.select(name.alias("n")).where("length(n) > 0 AND length(n) % 2 = 0").distinct()
+    fixed = spark.createDataFrame([(s,) for s in SUFFIX_RULES], "suffix string")
+    return fixed.union(excepted.select(F.concat(F.lit("!"), F.col("n"), F.lit(f".{EXCEPTED_DOMAIN}"))))
+
+
+def overlapping_geo(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Ranges that nest, overlap and leave gaps: /24 of two customers in three, the first half of some of
+    them, ranges that reach into the next /24, and every second /16 as a whole."""
+    k = F.col("c_custkey")
+    c = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left").withColumn(
+        "base", (F.lit(10) * 16777216 + F.floor(k / 250) * 65536 + F.pmod(k, F.lit(250)) * 256).cast("bigint"))
+
+    def part(rows, start, end, kind):
+        return rows.select(start.alias("ip_start"), end.alias("ip_end"), F.col("n_name").alias("country"), F.lit(kind).alias("region"),
+                           F.concat(F.lit("city-"), k.cast("string")).alias("city"), F.lit(None).cast("double").alias("lat"),
+                           F.lit(0.0).alias("lon"))
+
+    base = F.col("base")
+    return (part(c.where(k % 3 != 0), base, base + 255, "net")
+            .unionByName(part(c.where(k % 5 == 0), base, base + 1, "half"))
+            .unionByName(part(c.where(k % 7 == 0), base + 2, base + 258, "over"))
+            .unionByName(part(c.where((k % 250 == 0) & (F.floor(k / 250) % 2 == 1)), base, base + 65535, "block")))
+
+
 def nation_slug(name: F.Column) -> F.Column:
     return F.regexp_replace(F.lower(name), "[^a-z0-9]+", "_")
 

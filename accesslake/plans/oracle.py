@@ -629,3 +629,61 @@ ORACLE_SQL["stream_equals_batch"] = f"""
 SELECT event_month, CAST(count(*) AS BIGINT) AS stream_events, CAST(count(*) AS BIGINT) AS batch_events
 FROM lines GROUP BY 1
 """
+
+ORACLE_SQL["suffix_rule_kinds"] = f"""
+WITH h AS (SELECT DISTINCT lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]+)', 1)) AS host FROM pages),
+p AS (SELECT host, string_split(host, '.') AS parts, len(string_split(host, '.')) AS n FROM h),
+s AS (
+  SELECT host, parts, n,
+         CASE WHEN host LIKE '%.com' THEN n
+              WHEN host LIKE '%.example.net' THEN n - 2
+              WHEN host LIKE '%.{D.EXCEPTED_DOMAIN}' AND length(parts[n - 2]) % 2 = 0 THEN n - 1
+              WHEN host LIKE '%.{D.EXCEPTED_DOMAIN}' THEN n - 2
+              WHEN host LIKE '%.org' THEN n END AS start
+  FROM p)
+SELECT host, array_to_string(parts[start - 1:], '.') AS registered_domain, array_to_string(parts[start:], '.') AS top_level_domain,
+       parts[start - 1] AS second_level_domain,
+       CASE WHEN start > 2 THEN array_to_string(parts[1:start - 2], '.') END AS sub_domain
+FROM s WHERE start > 1
+"""
+
+ORACLE_SQL["geo_overlaps"] = f"""
+WITH {REQ},
+c AS (SELECT c_custkey AS k, n_name, 167772160 + (c_custkey // 250) * 65536 + (c_custkey % 250) * 256 AS base
+      FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey),
+r AS (
+  SELECT base AS a, base + 255 AS b, n_name, 'net' AS kind, k FROM c WHERE k % 3 <> 0
+  UNION ALL SELECT base, base + 1, n_name, 'half', k FROM c WHERE k % 5 = 0
+  UNION ALL SELECT base + 2, base + 258, n_name, 'over', k FROM c WHERE k % 7 = 0
+  UNION ALL SELECT base, base + 65535, n_name, 'block', k FROM c WHERE k % 250 = 0 AND (k // 250) % 2 = 1),
+e AS (
+  SELECT event_id, CASE event_id % 9 WHEN 0 THEN NULL WHEN 1 THEN '2001:db8::' || CAST(event_id % 1000 AS VARCHAR) ELSE client END AS source_address,
+         CASE WHEN event_id % 9 > 1 THEN 167772160 + (user_id // 250) * 65536 + (user_id % 250) * 256 + event_id % 4 END AS ip
+  FROM rq),
+ips AS (SELECT DISTINCT ip FROM e WHERE ip IS NOT NULL),
+best AS (
+  SELECT ip, n_name, kind, k FROM ips JOIN r ON ip >= a AND ip <= b
+  QUALIFY row_number() OVER (PARTITION BY ip ORDER BY b - a, a, n_name, kind) = 1)
+SELECT event_id, source_address, n_name AS geo_country, kind AS geo_region, 'city-' || CAST(k AS VARCHAR) AS geo_city
+FROM e LEFT JOIN best USING (ip)
+"""
+
+ORACLE_SQL["long_fields"] = f"""
+WITH {REQ}
+SELECT event_id, 'apache_combined' AS log_format,
+       CAST(CASE WHEN event_id % 1000 = 0 THEN 65543 ELSE length(client) END AS INTEGER) AS address_length,
+       CAST(CASE WHEN event_id % 1000 = 1 THEN 39324 ELSE length(nullif(path, '')) END AS INTEGER) AS path_length,
+       CAST(CASE WHEN event_id % 1000 = 2 THEN 65539 ELSE length(agent_or_null) END AS INTEGER) AS agent_length,
+       status AS status_code
+FROM rq
+"""
+
+ORACLE_SQL["stream_source_constants"] = f"""
+WITH {REQ},
+lines AS (SELECT DISTINCT user_id, client, ts_s, method, target, status, bytes, referrer, agent FROM rq),
+n AS (SELECT n_nationkey, n_name FROM nation)
+SELECT CASE WHEN user_id % 2 = 0 THEN n_name || ' web' ELSE n_name END AS organization,
+       CASE WHEN n_name IS NULL THEN NULL WHEN user_id % 2 = 0 THEN 'web.http' ELSE 'web.analytics' END AS dataset,
+       CAST(count(*) AS BIGINT) AS stream_events, CAST(count(*) AS BIGINT) AS batch_events
+FROM lines LEFT JOIN n ON n_nationkey = user_id % 25 GROUP BY 1, 2
+"""

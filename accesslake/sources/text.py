@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.partitioning import salted_join_back
-
+#: Rows of a source table: it is written by hand and broadcast.
+MAX_SOURCES = 10_000
 SOURCE_COLUMNS = ("prefix", "organization", "url_domain", "url_scheme", "dataset", "cdn_format")
 
 
@@ -56,24 +56,30 @@ def _path_prefixes(path_col: str) -> F.Column:
 
 
 def attach_source(lines: DataFrame, sources: DataFrame, path_col: str = "file_path") -> DataFrame:
-    """Constants of the longest source prefix that the file path starts with.
+    """Constants of the longest source prefix that the file path starts with, as ``src_*`` columns.
 
     Prefixes are matched at directory boundaries (a prefix ends in ``/``) or
-    as the whole path.  Resolution runs per **distinct file** — files are few
-    compared to lines — by exploding each path's directory prefixes and
-    equi-joining the source table; the result joins back on the path.  No
-    pairwise comparison of files and sources is formed.  Paths are compared
-    without their URI scheme and bucket (``s3://bucket/``).
+    as the whole path; paths are compared without their URI scheme and bucket
+    (``s3://bucket/``).  A path that no source covers, or none at all, gets
+    nulls; of repeated prefixes the smallest row counts.
+
+    The source table is configuration (at most ``MAX_SOURCES`` rows, checked).
+    Each line finds its longest known prefix by set lookups and meets the
+    broadcast table on it: lines are read once and not shuffled, however many
+    of them one source has, and the same plan runs on a stream.
     """
-    files = lines.select(F.col(path_col).alias("__path")).distinct()
-    files = files.select("__path", F.regexp_replace(F.col("__path"), r"^[A-Za-z0-9+.\-]+://[^/]*/", "").alias("__rel"))
-    cands = files.select("__path", F.posexplode(_path_prefixes("__rel")).alias("__depth", "__cand"))
-    src = sources.select(*[F.col(c).alias(f"src_{c}") for c in SOURCE_COLUMNS])
-    m = cands.join(src, F.col("__cand") == F.col("src_prefix"), "inner")
-    best = m.groupBy("__path").agg(F.max_by(F.struct(*[F.col(f"src_{c}") for c in SOURCE_COLUMNS]),
-                                            F.col("__depth")).alias("__src"))
-    resolved = best.select("__path", *[F.col(f"__src.src_{c}").alias(f"src_{c}") for c in SOURCE_COLUMNS])
-    return salted_join_back(lines, resolved, path_col, "__path").drop("__path")
+    found = sources.select(*SOURCE_COLUMNS).where("prefix is not null").limit(MAX_SOURCES + 1).collect()
+    if len(found) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources")
+    by = {}
+    for r in sorted(found, key=lambda r: tuple((v is not None, v) for v in r), reverse=True):
+        by[r["prefix"]] = tuple(r)
+    schema = ", ".join(f"src_{c} string" for c in SOURCE_COLUMNS)
+    table = F.broadcast(lines.sparkSession.createDataFrame(list(by.values()), schema))
+    relative = F.regexp_replace(F.col(path_col), r"^[A-Za-z0-9+.\-]+:(?://[^/]*)?/", "")
+    known = F.filter(F.col("__dirs"), lambda c: c.isin(list(by)) if by else F.lit(False))
+    keyed = lines.withColumn("__rel", relative).withColumn("__dirs", _path_prefixes("__rel")).withColumn("__key", F.try_element_at(known, F.lit(-1)))
+    return keyed.join(table, keyed["__key"] == table["src_prefix"], "left").drop("__rel", "__dirs", "__key")
 
 
 def register_node_table(spark: SparkSession, name: str, location: str, fmt: str = "text") -> DataFrame:

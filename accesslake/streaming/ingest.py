@@ -40,7 +40,7 @@ def micro_batch_writer(store_path: str, quarantine_path: str | None, dims: Dimen
         try:
             kept = batch.where(F.col("drop_reason").isNull())
             if dims is not None:
-                kept = enrich_events(kept, dims)
+                kept = enrich_events(kept, dims, stored=True)  # the batch is persisted
             sinks.write_store(kept.where(~is_quarantined(F.col("tags"))), store_path)
             if quarantine_path:
                 sinks.write_quarantine(kept, quarantine_path, batch_id=epoch_id)
@@ -50,12 +50,12 @@ def micro_batch_writer(store_path: str, quarantine_path: str | None, dims: Dimen
 
 
 def ingest_stream(lines: DataFrame, dims: Dimensions | None = None,
-                  dedupe_watermark: str | None = None) -> DataFrame:
+                  dedupe_watermark: str | None = None, sources: DataFrame | None = None) -> DataFrame:
     """T2 (+T4): streaming lines → events, same transform as batch.
 
     Only the stateless per-row part runs on the stream; ``dims`` are applied
     per micro-batch by ``micro_batch_writer``."""
-    ev = transform(lines.withColumn("ingested_at", F.current_timestamp()), None, keep_dropped=True)
+    ev = transform(lines.withColumn("ingested_at", F.current_timestamp()), None, keep_dropped=True, sources=sources)
     if dedupe_watermark:
         ev = ev.withWatermark("ingested_at", dedupe_watermark).dropDuplicatesWithinWatermark(["event_hash"])
     return ev
@@ -65,14 +65,15 @@ def start_ingest(spark: SparkSession, source_path: str, store_path: str,
                  quarantine_path: str | None = None, checkpoint: str | None = None,
                  dims: Dimensions | None = None, available_now: bool = True,
                  processing_time: str = "2 hours", dedupe_watermark: str | None = None,
-                 max_files_per_trigger: int | None = 1000) -> StreamingQuery:
+                 max_files_per_trigger: int | None = 1000, sources: DataFrame | None = None) -> StreamingQuery:
     """Start the incremental ingest query.
 
     A back-fill is read ``max_files_per_trigger`` files a micro-batch (all files
     are read, in as many batches as that takes), so a batch stays bounded.
+    ``sources`` (S2) gives every line the constants of its source.
     """
     lines = stream_lines(spark, source_path, max_files_per_trigger=max_files_per_trigger)
-    ev = ingest_stream(lines, None, dedupe_watermark)
+    ev = ingest_stream(lines, None, dedupe_watermark, sources)
     w = (ev.writeStream.foreachBatch(micro_batch_writer(store_path, quarantine_path, dims))
            .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-checkpoint")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)

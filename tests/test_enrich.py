@@ -24,11 +24,12 @@ def test_geo_prefers_cdn_country(spark):
 
 
 def test_dns_default_and_gate(spark):
-    ev = spark.createDataFrame([("10.0.0.1", []), ("10.0.0.2", []), ("10.0.0.1", ["_datetimeparsefailure"])],
+    ev = spark.createDataFrame([("10.0.0.1", []), ("10.0.0.2", []), ("10.0.0.1", ["_datetimeparsefailure"]),
+                                ("10.0.0.1", ["_grok_filter_initial_parse_failure"])],
                                "source_address string, tags array<string>")
     dns = spark.createDataFrame([("10.0.0.1", "a.example.com")], "address string, name string")
     got = [r.source_domain for r in enrich.dns_lookup(ev, dns).collect()]
-    assert sorted(got, key=str) == sorted(["a.example.com", "10.0.0.2", None], key=str)
+    assert sorted(got, key=str) == sorted(["a.example.com", "a.example.com", "10.0.0.2", None], key=str)  # a bad date keeps its name
 
 
 def test_registered_domain_longest_suffix(spark):
