@@ -7,8 +7,8 @@
 * E4 ``registered_domain`` – public-suffix rules (plain, wildcard, exception)
   by exploding the host's label suffixes and equi-joining the rule table, done
   on distinct hosts and joined back.
-* E1 ``parse_agents``     – ordered agent rules applied per partition with
-  pandas (``mapInPandas``) on distinct agents, joined back.
+* E1 ``parse_agents``     – ordered agent rules on distinct agents, joined back:
+  a literal index picks candidate rules, ``mapInPandas`` tests them.
 * E6 – the eligibility gate: rows whose line could not be parsed or that have
   no address get a null join key, so they never join; a bad date does not
   matter.
@@ -20,6 +20,7 @@ after measuring it against ``spark.sql.autoBroadcastJoinThreshold``.
 
 from __future__ import annotations
 
+import heapq
 import re
 
 import pandas as pd
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import net
-from . import geo
+from . import geo, ruleindex
 from .partitioning import join_back
 from .sinks import materialize
 
@@ -144,73 +145,77 @@ def registered_domain(df: DataFrame, suffixes: DataFrame, host_col: str, prefix:
 # ---------------------------------------------------------------------------
 # Ordered agent rules (family / version, OS, device) with capture groups.
 # ---------------------------------------------------------------------------
-AGENT_FIELDS = ("ua_name", "ua_version", "ua_os", "ua_device")
-
-
-def _compile_agent_rules(rows: list[dict]) -> dict[str, list]:
-    out: dict[str, list] = {"agent": [], "os": [], "device": []}
-    for r in sorted(rows, key=lambda x: (x["kind"], x["priority"])):
-        flags = re.IGNORECASE if (r.get("flags") or "").lower().find("i") >= 0 else 0
-        out[r["kind"]].append((re.compile(r["regex"], flags), r.get("family"), r.get("v1"), r.get("v2"), r.get("v3")))
-    return out
-
-
-def _fill(template: str | None, m: re.Match, default_group: int) -> str | None:
-    if template:
-        s = template
-        for i in range(1, 10):
-            g = m.group(i) if i <= (m.re.groups or 0) else None
-            s = s.replace(f"${i}", g or "")
-        return s.strip() or None
-    if default_group <= (m.re.groups or 0):
-        return m.group(default_group)
-    return None
-
-
-def _apply_agent_rules(agent: str | None, compiled: dict) -> tuple:
-    if agent is None:
-        return (None, None, None, None)
-    name = version = os_name = device = None
-    for rx, fam, v1, v2, v3 in compiled["agent"]:
-        m = rx.search(agent)
-        if m:
-            name = _fill(fam, m, 1)
-            vs = [_fill(v1, m, 2), _fill(v2, m, 3), _fill(v3, m, 4)]
-            version = ".".join(v for v in vs if v) or None
-            break
-    for rx, fam, v1, v2, v3 in compiled["os"]:
-        m = rx.search(agent)
-        if m:
-            os_name = _fill(fam, m, 1)
-            break
-    for rx, fam, v1, v2, v3 in compiled["device"]:
-        m = rx.search(agent)
-        if m:
-            device = _fill(fam, m, 1)
-            break
-    return (name or "Other", version, os_name or "Other", device or "Other")
+AGENT_FIELDS = ("ua_name", "ua_version", "ua_os", "ua_os_version", "ua_device", "ua_device_brand", "ua_device_model")
+AGENT_KINDS = ("agent", "os", "device")
 
 
-def parse_agents(df: DataFrame, agent_rules: DataFrame, agent_col: str = "user_agent", stored: bool = False) -> DataFrame:
-    """Ordered first-match agent rules on distinct agents, joined back.
+class _AgentRules:
+    """Rules of the three kinds in order; patterns are compiled when they are first tested."""
+
+    def __init__(self, rows: list[dict], every: list[int]):
+        self.rows, self.compiled = rows, {}
+        self.every = {k: [i for i in every if rows[i]["kind"] == k] for k in AGENT_KINDS}
+
+    def _search(self, i: int, agent: str) -> re.Match | None:
+        if i not in self.compiled:
+            flags = re.IGNORECASE if "i" in (self.rows[i].get("flags") or "").lower() else 0
+            self.compiled[i] = re.compile(self.rows[i]["regex"], flags)
+        return self.compiled[i].search(agent)
+
+    def first(self, kind: str, agent: str, some: list[int]) -> tuple[dict, re.Match] | None:
+        for i in heapq.merge((i for i in some if self.rows[i]["kind"] == kind), self.every[kind]):
+            m = self._search(i, agent)
+            if m:
+                return self.rows[i], m
+        return None
+
+    def fields(self, agent: str, some: list[int]) -> tuple:
+        name, os_, device = (self.first(k, agent, some) for k in AGENT_KINDS)
+        return (_fill(name, "family", 1) or "Other", _version(name, 3), _fill(os_, "family", 1) or "Other", _version(os_, 4),
+                _fill(device, "family", 1) or "Other", _fill(device, "brand", None), _fill(device, "model", 1))
+
 
-    The rule table is configuration (patterns written by hand, not data); it
-    ships to the Python workers inside the function closure.  Agents repeat heavily, so the
-    Python work is per distinct agent (a partial+final aggregate), and the
-    labelled set joins back by equality.
+def _fill(found: tuple[dict, re.Match] | None, field: str, default_group: int | None) -> str | None:
+    """The rule's template with its groups filled in, else the default group."""
+    if found is None:
+        return None
+    rule, m = found
+    if rule.get(field):
+        filled = re.sub(r"\$([1-9])", lambda g: (m.group(int(g[1])) if int(g[1]) <= m.re.groups else None) or "", rule[field])
+        return filled.strip() or None
+    return m.group(default_group) if default_group and default_group <= m.re.groups else None
+
+
+def _version(found: tuple[dict, re.Match] | None, parts: int) -> str | None:
+    return ".".join(v for v in (_fill(found, f"v{k}", k + 1) for k in range(1, parts + 1)) if v) or None
+
+
+def parse_agents(df: DataFrame, agent_rules: DataFrame, agent_col: str = "user_agent", stored: bool = False) -> DataFrame:
+    """Ordered first-match agent rules on distinct agents, joined back as ``AGENT_FIELDS``.
+
+    ``agent_rules``: kind (agent, os, device), priority, regex, and any of
+    flags, family, v1 to v4, brand, model: templates with ``$1`` to ``$9``.
+    Without a template the family and the model are group 1, the parts of a
+    version the groups from 2 on, the brand is null.  An agent that no rule of
+    a kind matches is ``Other``; a null agent has nulls.
+
+    The rule table is configuration (patterns written by hand, not data).  Its
+    required literals meet the agents' grams in a join, so an agent is tested
+    only against rules that could match it (``ruleindex``); the tests run in
+    ``mapInPandas`` per distinct agent.
     """
-    rows = [r.asDict() for r in agent_rules.collect()]
+    rows = sorted((r.asDict() for r in agent_rules.collect()), key=lambda r: (AGENT_KINDS.index(r["kind"]), r["priority"]))
+    keys, every = ruleindex.index_rows({i: ruleindex.required_literals(r["regex"]) for i, r in enumerate(rows)})
 
     def classify_batches(it):
-        compiled = _compile_agent_rules(rows)
+        rules = _AgentRules(rows, every)
         for pdf in it:
-            res = [_apply_agent_rules(a, compiled) for a in pdf["__agent"]]
-            out = pd.DataFrame(res, columns=list(AGENT_FIELDS))
+            out = pd.DataFrame([rules.fields(a, list(c)) for a, c in zip(pdf["__agent"], pdf["candidates"])], columns=list(AGENT_FIELDS))
             out.insert(0, "__agent", pdf["__agent"].values)
             yield out
 
     schema = "__agent string, " + ", ".join(f"{c} string" for c in AGENT_FIELDS)
     df = _stored(df, "agents", stored)
     distinct_agents = df.select(F.col(agent_col).alias("__agent")).where(F.col("__agent").isNotNull()).distinct()
-    labelled = distinct_agents.mapInPandas(classify_batches, schema)
+    labelled = ruleindex.candidates(distinct_agents, "__agent", keys).mapInPandas(classify_batches, schema)
     return join_back(df, labelled, agent_col, "__agent").drop("__agent")

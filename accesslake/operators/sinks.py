@@ -174,8 +174,10 @@ def to_ecs(events: DataFrame, provider: str = "web-archive") -> DataFrame:
             F.col("url_path_parts").alias("path_parts"), F.col("url_path_depth").alias("path_depth"),
         ).alias("url"),
         F.struct(F.col("user_agent").alias("original"), _opt(e, "ua_name").alias("name"),
-                 _opt(e, "ua_version").alias("version"), F.struct(_opt(e, "ua_os").alias("name")).alias("os"),
-                 F.struct(_opt(e, "ua_device").alias("name")).alias("device")).alias("user_agent"),
+                 _opt(e, "ua_version").alias("version"),
+                 F.struct(_opt(e, "ua_os").alias("name"), _opt(e, "ua_os_version").alias("version")).alias("os"),
+                 F.struct(_opt(e, "ua_device").alias("name"), _opt(e, "ua_device_brand").alias("brand"),
+                          _opt(e, "ua_device_model").alias("model")).alias("device")).alias("user_agent"),
         F.struct(F.col("error_type").alias("type"), F.col("error_message").alias("message"),
                  F.col("error_code").alias("code")).alias("error"),
         F.struct(F.col("ftp_command").alias("command"), F.col("ftp_flags").alias("flags")).alias("ftp"),

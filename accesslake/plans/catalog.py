@@ -34,6 +34,7 @@ WINDOW_HOURS = 168
 TOP_K = 20
 SUBSET_TLDS = ("example.com", "example.org")
 MISSION_YEAR = 2024
+LARGE_RULE_SET = 1270
 # ------------------------------------------------------------------------------
 
 
@@ -291,6 +292,12 @@ def q_agent_parse(spark, sf):
     return out.select("event_id", "user_agent", "ua_name", "ua_version", "ua_os", "ua_device")
 
 
+def q_agent_details(spark, sf):
+    e = combined_events(spark, sf).select("event_id", "user_agent")
+    out = enrich.parse_agents(e, D.agent_rules(spark))
+    return out.select("event_id", "ua_os", "ua_os_version", "ua_device", "ua_device_brand", "ua_device_model")
+
+
 # ---- rules ---------------------------------------------------------------------
 
 def _part_text(spark, sf):
@@ -310,6 +317,11 @@ def q_bundle_then_mission(spark, sf):
     return m.groupBy("mission", "bundle").agg(F.count(F.lit(1)).alias("parts"))
 
 
+def q_large_rule_set(spark, sf):
+    t = _part_text(spark, sf)
+    return R.classify_distinct(t, "text", D.bundle_rules(LARGE_RULE_SET), "label", "other", indexed=True).select("p_partkey", "label")
+
+
 def q_rule_lint(spark, sf):
     t = _part_text(spark, sf)
     b = R.classify_distinct(t, "text", D.bundle_rules(), "bundle", "other")
@@ -513,6 +525,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "egress_yoy": q_egress_yoy,
     "dedupe_by_hash": q_dedupe_by_hash,
     "stream_equals_batch": q_stream_equals_batch,
+    "agent_details": q_agent_details,
+    "large_rule_set": q_large_rule_set,
     "suffix_rule_kinds": q_suffix_rule_kinds,
     "geo_overlaps": q_geo_overlaps,
     "long_fields": q_long_fields,

@@ -113,17 +113,19 @@ def sources_from_nation(nation: DataFrame) -> DataFrame:
     return base.unionByName(web)
 
 
-# --- fixed values: synthetic agent rules (kind, priority, regex, flags, family, v1, v2, v3)
+# --- fixed values: synthetic agent rules (kind, priority, regex, flags, family, v1 to v4, brand, model)
 AGENT_RULES = (
-    ("agent", 1, r"(Googlebot)/(\d+)\.(\d+)", "", None, None, None, None),
-    ("agent", 2, r"(Firefox)/(\d+)\.(\d+)", "", None, None, None, None),
-    ("agent", 3, r"(curl)/(\d+)\.(\d+)\.(\d+)", "", None, None, None, None),
-    ("agent", 4, r"python-requests/(\d+)\.(\d+)", "", "Python Requests", "$1", "$2", None),
-    ("agent", 5, r"Version/(\d+)\.(\d+).*Safari/", "", "Safari", "$1", "$2", None),
-    ("os", 1, r"Mac OS X (\d+)_(\d+)", "", "Mac OS X", None, None, None),
-    ("os", 2, r"(Linux)", "", None, None, None, None),
-    ("device", 1, r"bot|crawl|spider", "i", "Spider", None, None, None),
-    ("device", 2, r"Macintosh", "", "Mac", None, None, None),
+    ("agent", 1, r"(Googlebot)/(\d+)\.(\d+)", "", None, None, None, None, None, None, None),
+    ("agent", 2, r"(Firefox)/(\d+)\.(\d+)", "", None, None, None, None, None, None, None),
+    ("agent", 3, r"(curl)/(\d+)\.(\d+)\.(\d+)", "", None, None, None, None, None, None, None),
+    ("agent", 4, r"python-requests/(\d+)\.(\d+)", "", "Python Requests", "$1", "$2", None, None, None, None),
+    ("agent", 5, r"Version/(\d+)\.(\d+).*Safari/", "", "Safari", "$1", "$2", None, None, None, None),
+    ("os", 1, r"Mac OS X (\d+)_(\d+)", "", "Mac OS X", "$1", "$2", None, None, None, None),
+    ("os", 2, r"(Android) (\d+)", "", None, None, None, None, None, None, None),
+    ("os", 3, r"(Linux)", "", None, None, None, None, None, None, None),
+    ("device", 1, r"bot|crawl|spider", "i", "Spider", None, None, None, None, "Spider", "Desktop"),
+    ("device", 2, r"Macintosh", "", "Mac", None, None, None, None, "Apple", "Mac"),
+    ("device", 3, r"; (Pixel [^;)]+)\)", "", None, None, None, None, None, "Google", "$1"),
 )
 # ------------------------------------------------------------------------------
 
@@ -131,7 +133,7 @@ AGENT_RULES = (
 def agent_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         list(AGENT_RULES),
-        "kind string, priority int, regex string, flags string, family string, v1 string, v2 string, v3 string")
+        "kind string, priority int, regex string, flags string, family string, v1 string, v2 string, v3 string, v4 string, brand string, model string")
 
 
 # --- fixed values: synthetic C1 rule set over "<p_type>/<p_name>/<p_brand>" --

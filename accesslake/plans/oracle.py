@@ -14,7 +14,7 @@ from ..operators import rules as R
 from ..operators import sqlchain
 from ..sources import replay
 from . import dims as D
-from .catalog import AS_OF, MISSION_YEAR, SUBSET_TLDS, TOP_K, WINDOW_HOURS
+from .catalog import AS_OF, LARGE_RULE_SET, MISSION_YEAR, SUBSET_TLDS, TOP_K, WINDOW_HOURS
 
 
 def lit(s: str) -> str:
@@ -687,3 +687,19 @@ SELECT CASE WHEN user_id % 2 = 0 THEN n_name || ' web' ELSE n_name END AS organi
        CAST(count(*) AS BIGINT) AS stream_events, CAST(count(*) AS BIGINT) AS batch_events
 FROM lines LEFT JOIN n ON n_nationkey = user_id % 25 GROUP BY 1, 2
 """
+
+ORACLE_SQL["agent_details"] = f"""
+WITH {REQ}
+SELECT event_id,
+  CASE WHEN a IS NULL THEN NULL WHEN a LIKE '%Mac OS X 14_1%' THEN 'Mac OS X' WHEN a LIKE '%Linux%' THEN 'Linux' ELSE 'Other' END AS ua_os,
+  CASE WHEN regexp_matches(a, 'Mac OS X (\\d+)_(\\d+)') THEN regexp_extract(a, 'Mac OS X (\\d+)_', 1) || '.' || regexp_extract(a, 'Mac OS X \\d+_(\\d+)', 1) END AS ua_os_version,
+  CASE WHEN a IS NULL THEN NULL WHEN lower(a) LIKE '%bot%' THEN 'Spider' WHEN a LIKE '%Macintosh%' THEN 'Mac' ELSE 'Other' END AS ua_device,
+  CASE WHEN lower(a) LIKE '%bot%' THEN 'Spider' WHEN a LIKE '%Macintosh%' THEN 'Apple' END AS ua_device_brand,
+  CASE WHEN lower(a) LIKE '%bot%' THEN 'Desktop' WHEN a LIKE '%Macintosh%' THEN 'Mac' END AS ua_device_model
+FROM (SELECT event_id, agent_or_null AS a FROM rq)
+"""
+
+ORACLE_SQL["large_rule_set"] = f"""
+WITH {_PART_TEXT}
+SELECT p_partkey, {rules_sql('text', D.bundle_rules(LARGE_RULE_SET), 'other')} AS label FROM part_text
+"""
