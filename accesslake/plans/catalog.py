@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,12 @@ from pyspark.sql import functions as F
 from ..functions import urls
 from ..operators import enrich, rollups, sinks, sqlchain
 from ..operators import rules as R
+from ..operators.bucketstore import BucketStore
 from ..operators.layouts import parse_lines
 from ..operators.normalise import keep_events, to_events
 from ..session import scratch_path
 from ..sources import replay
+from ..sources.nodetable import create_node_table, node_lines, recover_nodes
 from ..sources.tables import load
 from ..sources.text import attach_source, read_lines
 from . import dims as D
@@ -35,6 +38,7 @@ TOP_K = 20
 SUBSET_TLDS = ("example.com", "example.org")
 MISSION_YEAR = 2024
 LARGE_RULE_SET = 1270
+LATE_NODE = "en"
 # ------------------------------------------------------------------------------
 
 
@@ -483,6 +487,41 @@ def q_stream_source_constants(spark, sf):
         F.coalesce(streamed["dataset"], batch["dataset"]).alias("dataset"), "stream_events", "batch_events")
 
 
+def q_added_node(spark, sf):
+    """A node's folder added to the table of all nodes, read back alone."""
+    ev, pg = _events_pages(spark, sf)
+    root = scratch_path(spark, "node-lines")
+    req = replay.event_requests(ev, pg).select("node", replay.combined_line().alias("value"))
+    late = F.col("node") == LATE_NODE
+    req.where(~late).withColumn("folder", F.col("node")).select("folder", "value").write.partitionBy("folder").text(f"{root}/delivered")
+    table = f"node_lines_{root.rsplit('-', 1)[1]}"
+    create_node_table(spark, table, f"{root}/table", {n: f"{root}/delivered/folder={n}" for n in replay.NODES if n != LATE_NODE})
+    req.where(late).select("node", "value").write.mode("append").partitionBy("node").text(f"{root}/table")
+    recover_nodes(spark, table)
+    e = keep_events(to_events(parse_lines(node_lines(spark, table, LATE_NODE))))
+    return e.groupBy("node", "http_method", "status_code").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("response_bytes").alias("bytes"))
+
+
+def q_two_writers(spark, sf):
+    """Two writers with the same lines of several months, some with a bad date, at the same time; then a replay."""
+    ev, pg = _events_pages(spark, sf)
+    req = replay.event_requests(ev, pg)
+    k = F.pmod(F.col("event_id"), F.lit(3)).cast("int")
+    req = req.withColumn("ts", F.col("ts") + F.make_interval(months=k))
+    line = replay.combined_line()
+    bad = F.pmod(F.col("event_id"), F.lit(50)) == 7
+    line = F.when(bad, F.regexp_replace(line, r"\[[0-9]{2}/[A-Za-z]{3}", "[31/Feb")).otherwise(line)
+    batch = sinks.materialize(transform(req.select(line.alias("value"))), "two-writers")
+    path = scratch_path(spark, "two-writers-store")
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda w: BucketStore(spark, path).append(batch, w, 0), ("one", "two")))
+    store = BucketStore(spark, path)
+    store.append(batch, "one", 0)      # a replay of a batch that counts
+    store.append(batch, "three", 0)    # a late writer finds every line there
+    return store.read().groupBy("event_month").agg(F.count(F.lit(1)).alias("events"), F.sum("response_bytes").alias("bytes"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_combined_roundtrip": q_parse_combined_roundtrip,
     "parse_mixed_layouts": q_parse_mixed_layouts,
@@ -525,6 +564,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "egress_yoy": q_egress_yoy,
     "dedupe_by_hash": q_dedupe_by_hash,
     "stream_equals_batch": q_stream_equals_batch,
+    "added_node": q_added_node,
+    "two_writers": q_two_writers,
     "agent_details": q_agent_details,
     "large_rule_set": q_large_rule_set,
     "suffix_rule_kinds": q_suffix_rule_kinds,

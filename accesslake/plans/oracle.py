@@ -14,7 +14,7 @@ from ..operators import rules as R
 from ..operators import sqlchain
 from ..sources import replay
 from . import dims as D
-from .catalog import AS_OF, LARGE_RULE_SET, MISSION_YEAR, SUBSET_TLDS, TOP_K, WINDOW_HOURS
+from .catalog import AS_OF, LARGE_RULE_SET, LATE_NODE, MISSION_YEAR, SUBSET_TLDS, TOP_K, WINDOW_HOURS
 
 
 def lit(s: str) -> str:
@@ -703,3 +703,19 @@ ORACLE_SQL["large_rule_set"] = f"""
 WITH {_PART_TEXT}
 SELECT p_partkey, {rules_sql('text', D.bundle_rules(LARGE_RULE_SET), 'other')} AS label FROM part_text
 """
+
+ORACLE_SQL["added_node"] = f"""
+WITH {REQ}
+SELECT node, method AS http_method, status AS status_code, CAST(count(*) AS BIGINT) AS events, CAST(sum(bytes) AS BIGINT) AS bytes
+FROM rq WHERE node = {lit(LATE_NODE)} GROUP BY ALL
+"""
+
+ORACLE_SQL["two_writers"] = f"""
+WITH {REQ},
+lines AS (
+  SELECT DISTINCT CASE WHEN event_id % 50 = 7 THEN NULL ELSE strftime(ts + to_months(CAST(event_id % 3 AS INTEGER)), '%Y-%m') END AS event_month,
+         CASE WHEN event_id % 50 = 7 THEN strftime(ts + to_months(CAST(event_id % 3 AS INTEGER)), '%Y:%H:%M:%S')
+              ELSE strftime(ts + to_months(CAST(event_id % 3 AS INTEGER)), '%Y-%m-%d %H:%M:%S') END AS stamp,
+         client, method, target, status, bytes, referrer, agent FROM rq)
+SELECT event_month, CAST(count(*) AS BIGINT) AS events, CAST(sum(bytes) AS BIGINT) AS bytes FROM lines GROUP BY 1
+"""

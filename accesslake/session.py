@@ -68,3 +68,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/accesslake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder (and those above it) in whatever store the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(where)
