@@ -50,6 +50,7 @@ TAG_URL_SKIP = "_url_query_parse_skip"
 TAG_SUSPICIOUS = "_suspicious_query"
 
 # Quarantine list (K2): the sink's list plus the tag the parser really emits.
+EXPECTED_DATE_PATTERN = "dd/MMM/yyyy:HH:mm:ss Z"  # fixed value, reported with bad dates
 QUARANTINE_TAGS = (
     "bad_log", "_grok_parse_failure", TAG_PARSE_FAILURE, TAG_DATETIME,
     TAG_BAD_METHOD, "_template_variable", "_missing_url_original",
@@ -218,6 +219,8 @@ def _stage_exprs(app_id: str, message_col: str, has_json: bool, has_src_domain:
         outcome.alias("event_outcome"),
         error_type.alias("error_type"),
         error_message.alias("error_message"),
+        F.when(date_fail, F.struct(F.coalesce(c("_ts_text"), F.lit("-")).alias("timestamp"), c("message").alias("message"),
+                                   F.lit(EXPECTED_DATE_PATTERN).alias("pattern"))).alias("error_details"),
         F.array(
             _tag(c("log_format").isNull() & ~c("_json"), TAG_PARSE_FAILURE),
             _tag(c("log_format").isNull() & c("_json"), TAG_JSON_FAILURE),

@@ -182,6 +182,25 @@ def classify_distinct(df: DataFrame, value_col: str, rules: list[Rule], out_col:
     return j.withColumn(out_col, F.coalesce(F.col("__label"), F.lit(default).cast("string"))).drop("__v", "__label")
 
 
+def classify_chain(df: DataFrame, value_col: str, stages: list[tuple[list[Rule], str, str | None]], stored: bool = False) -> DataFrame:
+    """Labels of labels: each stage (rules, out_col, default) classifies the stage before's label, the first the value.
+
+    All stages run on one set of distinct values, which is joined back once.
+    """
+    if not stored:
+        df = materialize(df, "classify", partition_by=None)
+    labelled = df.select(F.col(value_col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    source, missing = "__v", {}
+    for k, (rules, _, default) in enumerate(stages):
+        labelled = labelled.withColumn(f"__l{k}", classify_expr(source, rules, default))
+        source = f"__l{k}"
+    j = join_back(df, labelled, value_col, "__v")
+    for k, (rules, out, default) in enumerate(stages):  # null values: the default, and the labels that defaults get
+        missing[k] = F.lit(default).cast("string") if k == 0 else classify_expr(F.col(stages[k - 1][1]), rules, default)
+        j = j.withColumn(out, F.when(F.col("__v").isNotNull(), F.col(f"__l{k}")).otherwise(missing[k]))
+    return j.drop("__v", *(f"__l{k}" for k in range(len(stages))))
+
+
 def rule_lint(df: DataFrame, value_col: str, rules: list[Rule]) -> DataFrame:
     """Per rule, rows it wins (first match) vs rows it matches at all.
 
@@ -349,3 +368,15 @@ def node_request_type(node: Column | str, request: Column | str, rule_sets: dict
         x = classify_expr(request, rules, default)
         e = F.when(node == name, x) if e is None else e.when(node == name, x)
     return e.otherwise(F.lit(default))
+
+
+def example_request(rule: Rule) -> str:
+    """A request on which all conditions of a request-type rule hold: its segments in place, its texts after them."""
+    segments, texts = {}, []
+    for c in rule.conds:
+        if c.op in ("segment", "segment_like"):
+            segments[c.arg] = c.pattern.replace("%", "")
+        else:
+            texts.append(c.pattern.replace("%", ""))
+    path = [segments.get(i, "x") for i in range(2, max([*segments, 1]) + 1)] + texts
+    return "GET /" + "/".join(path) + "/f HTTP/1.1"

@@ -136,17 +136,15 @@ def mission_downloads(detail: DataFrame, bundle_rules: list, mission_rules: list
                       url_filter: str = ARCHIVE_ID_RX) -> DataFrame:
     """Two-stage classification of downloads.
 
-    Stage one labels each distinct request with a bundle, stage two labels
-    each distinct bundle with a mission; both run on distinct values and join
-    back.
+    Stage one labels each distinct request with a bundle, stage two each bundle
+    with a mission; both run on one set of distinct requests, joined back once.
     """
     d = detail.where(F.col("client_request").rlike(url_filter)
                      & F.coalesce(F.col("status").rlike(SUCCESS_STATUS_RX), F.lit(False))
                      & (first_year(F.col("datetime")) == year))
-    d = R.classify_distinct(d, "client_request", bundle_rules, "url_bundle", "other")
     d = d.withColumn("date", bracket_day_text(F.col("datetime"))) \
          .withColumn("user_type", R.bot_human_unknown(F.col("user_agent")))
-    return R.classify_distinct(d, "url_bundle", mission_rules, "mission", "other")
+    return R.classify_chain(d, "client_request", [(bundle_rules, "url_bundle", "other"), (mission_rules, "mission", "other")])
 
 
 def union_summaries(*summaries: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from ..operators import rules as R
 from ..operators.bucketstore import BucketStore
 from ..operators.layouts import parse_lines
 from ..operators.normalise import keep_events, to_events
+from ..operators.summaries import KeptSummary
 from ..session import scratch_path
 from ..sources import replay
 from ..sources.nodetable import create_node_table, node_lines, recover_nodes
@@ -39,6 +40,8 @@ SUBSET_TLDS = ("example.com", "example.org")
 MISSION_YEAR = 2024
 LARGE_RULE_SET = 1270
 LATE_NODE = "en"
+DAY_START = dt.datetime(2024, 1, 15)
+DAY_MONTHS = ("2024-01",)
 # ------------------------------------------------------------------------------
 
 
@@ -487,6 +490,82 @@ def q_stream_source_constants(spark, sf):
         F.coalesce(streamed["dataset"], batch["dataset"]).alias("dataset"), "stream_events", "batch_events")
 
 
+def q_error_details(spark, sf):
+    e = keep_events(noisy_events(spark, sf))
+    d = F.col("error_details")
+    return e.where(d.isNotNull()).select("event_id", "error_type", d["timestamp"].alias("detail_timestamp"),
+                                         d["message"].alias("detail_message"), d["pattern"].alias("detail_pattern"))
+
+
+def q_quarantine_side_output(spark, sf):
+    """Lines that the stream put aside against those of the batch, by message and error."""
+    from ..streaming.ingest import start_ingest
+    ev, pg = _events_pages(spark, sf)
+    src, side = scratch_path(spark, "noisy-lines"), scratch_path(spark, "noisy-quarantine")
+    replay.noisy_lines(ev, pg).select("value").write.text(src)
+    q = start_ingest(spark, src, scratch_path(spark, "noisy-store"), quarantine_path=side, checkpoint=scratch_path(spark, "noisy-ckpt"))
+    q.awaitTermination()
+
+    def count(lines, name):
+        part = F.regexp_extract("value", r"\| Message: (.*) \| Error: (.*)$", 1), F.regexp_extract("value", r"\| Error: (.*)$", 1)
+        return lines.select(part[0].alias("message"), part[1].alias("error")).groupBy("message", "error").agg(F.count(F.lit(1)).alias(name))
+
+    streamed = count(spark.read.option("recursiveFileLookup", "true").text(side), "stream_lines")
+    batch = count(sinks.quarantine_lines(transform(read_lines(spark, src))), "batch_lines")
+    return streamed.join(batch, ["message", "error"], "full")
+
+
+def q_request_type_labels(spark, sf):
+    """Requests made for every rule of every node, classified: all labels that can be reached occur."""
+    ev = _t(spark, sf, "events").select("event_id")
+    examples = [(node, i, len(rules), R.example_request(r)) for node, rules in R.REQUEST_TYPE_RULES.items() for i, r in enumerate(rules)]
+    examples += [("en", 0, 1, "GET /any HTTP/1.1")]
+    table = F.broadcast(spark.createDataFrame(examples, "node string, rule int, rules int, client_request string"))  # as many rows as rules
+    nodes = F.explode(F.array(*[F.lit(n) for n in replay.NODES])).alias("asked")
+    asked = ev.select("event_id", nodes)
+    sizes = F.create_map(*[x for n in replay.NODES for x in (F.lit(n), F.lit(len(R.REQUEST_TYPE_RULES.get(n, [0]))))])
+    asked = asked.withColumn("pick", F.pmod(F.col("event_id"), sizes[F.col("asked")]).cast("int"))
+    j = asked.join(table, (asked["asked"] == table["node"]) & (asked["pick"] == table["rule"]))
+    return (j.select("node", R.node_request_type("node", "client_request").alias("request_type"))
+             .groupBy("node", "request_type").agg(F.count(F.lit(1)).alias("requests")))
+
+
+def q_ordered_hour(spark, sf):
+    """One day of the store laid out by time, and the summaries in their orders with places counted in them."""
+    path = scratch_path(spark, "ordered-store")
+    sinks.write_ordered_store(combined_events(spark, sf), path)
+    day = spark.read.parquet(path).where(F.col("event_month").isin(*DAY_MONTHS) & (F.col("event_start") >= F.lit(DAY_START))
+                                         & (F.col("event_start") < F.lit(DAY_START + dt.timedelta(days=1))))
+    return (day.groupBy(F.date_format("event_start", "yyyy-MM-dd HH").alias("hour"), "http_method")
+               .agg(F.count(F.lit(1)).alias("events"), F.sum("response_bytes").alias("bytes")))
+
+
+def q_ordered_rollup(spark, sf):
+    r = sqlchain.ordered_rollup(sqlchain.all_node_rollup(sqlchain.ordered_summary(sqlchain.node_summary(detail(spark, sf)))))
+    return r.select("node", F.col("date").cast("string").alias("date"), "user_type", "request_type", "status", "http_method", "client_ip",
+                    "bytes", "transactions")
+
+
+def q_ordered_detail(spark, sf):
+    v = sqlchain.ordered_detail(sqlchain.detail_view(detail(spark, sf)))
+    return v.select(F.col("date").cast("string").alias("date"), "datetime", "node", "client_ip", "status", "bytes")
+
+
+def q_kept_summaries(spark, sf):
+    """The roll-up kept batch by batch, with a replay and a compaction between."""
+    kept = KeptSummary(spark, scratch_path(spark, "kept-summary"))
+    lines = sinks.materialize(detail(spark, sf).withColumn("_batch", F.pmod(F.xxhash64("client_ip", "client_request"), F.lit(3))), "detail", None)
+    for batch in (0, 1, 1):
+        kept.append(lines.where(F.col("_batch") == batch), batch)
+    kept.compact(0)
+    kept.append(lines.where(F.col("_batch") == 2), 2)
+    kept.append(lines.where(F.col("_batch") == 0), 0)  # a replay of a batch that is final
+    kept.compact(1)
+    r = kept.rollup()
+    return r.select(F.col("date").cast("string").alias("date"), "node", "client_ip", "request_type", "user_type",
+                    "http_method", "status", "bytes", "summary_rows", "transactions")
+
+
 def q_added_node(spark, sf):
     """A node's folder added to the table of all nodes, read back alone."""
     ev, pg = _events_pages(spark, sf)
@@ -564,6 +643,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "egress_yoy": q_egress_yoy,
     "dedupe_by_hash": q_dedupe_by_hash,
     "stream_equals_batch": q_stream_equals_batch,
+    "kept_summaries": q_kept_summaries,
+    "error_details": q_error_details,
+    "quarantine_side_output": q_quarantine_side_output,
+    "request_type_labels": q_request_type_labels,
+    "ordered_hour": q_ordered_hour,
+    "ordered_rollup": q_ordered_rollup,
+    "ordered_detail": q_ordered_detail,
     "added_node": q_added_node,
     "two_writers": q_two_writers,
     "agent_details": q_agent_details,

@@ -14,7 +14,7 @@ from ..operators import rules as R
 from ..operators import sqlchain
 from ..sources import replay
 from . import dims as D
-from .catalog import AS_OF, LARGE_RULE_SET, LATE_NODE, MISSION_YEAR, SUBSET_TLDS, TOP_K, WINDOW_HOURS
+from .catalog import AS_OF, DAY_START, LARGE_RULE_SET, LATE_NODE, MISSION_YEAR, SUBSET_TLDS, TOP_K, WINDOW_HOURS
 
 
 def lit(s: str) -> str:
@@ -719,3 +719,56 @@ lines AS (
          client, method, target, status, bytes, referrer, agent FROM rq)
 SELECT event_month, CAST(count(*) AS BIGINT) AS events, CAST(sum(bytes) AS BIGINT) AS bytes FROM lines GROUP BY 1
 """
+
+_NOISY_LINE = """
+       CASE k WHEN 7 THEN client || ' - - [31/Feb' || substr(http_time, 7) ELSE client || ' ? - [' || http_time END
+       || ' +0000] "' || method || ' ' || target || ' HTTP/1.1" ' || CAST(status AS VARCHAR) || ' ' || CAST(bytes AS VARCHAR)
+       || ' "' || referrer || '" "' || CASE k WHEN 7 THEN agent ELSE '-' END || '"'"""
+_NOISY_BAD = """
+bad AS (SELECT *, strftime(ts, '%d/%b/%Y:%H:%M:%S') AS http_time FROM nz WHERE k = 7 OR (k = 8 AND strpos(target, '?') > 0))"""
+
+ORACLE_SQL["error_details"] = f"""
+WITH {REQ}, {NOISE.strip()}, {_NOISY_BAD}
+SELECT event_id, 'datetime_parse_error' AS error_type,
+       CASE WHEN k = 7 THEN '31/Feb' || substr(http_time, 7) || ' +0000' ELSE '-' END AS detail_timestamp,
+       {_NOISY_LINE} AS detail_message, 'dd/MMM/yyyy:HH:mm:ss Z' AS detail_pattern
+FROM bad
+"""
+
+ORACLE_SQL["quarantine_side_output"] = f"""
+WITH {REQ}, {NOISE.strip()}, {_NOISY_BAD}
+SELECT {_NOISY_LINE} AS message,
+       'Failed to parse datetime from ' || CASE WHEN k = 7 THEN '31/Feb' || substr(http_time, 7) || ' +0000' ELSE '-' END AS error,
+       CAST(count(*) AS BIGINT) AS stream_lines, CAST(count(*) AS BIGINT) AS batch_lines
+FROM bad GROUP BY ALL
+"""
+
+_EXAMPLES = ", ".join(f"({lit(n)}, {i}, {len(rules)}, {lit(R.example_request(r))})" for n, rules in [*R.REQUEST_TYPE_RULES.items()]
+                      for i, r in enumerate(rules))
+ORACLE_SQL["request_type_labels"] = f"""
+WITH x AS (SELECT * FROM (VALUES {_EXAMPLES}, ('en', 0, 1, 'GET /any HTTP/1.1')) t(node, rule, rules, client_request))
+SELECT node, {_node_rules('node', 'client_request')} AS request_type, CAST(count(*) AS BIGINT) AS requests
+FROM events JOIN x ON events.event_id % x.rules = x.rule GROUP BY ALL
+"""
+
+ORACLE_SQL["ordered_hour"] = f"""
+WITH {REQ}
+SELECT strftime(ts_s, '%Y-%m-%d %H') AS hour, method AS http_method, CAST(count(*) AS BIGINT) AS events, CAST(sum(bytes) AS BIGINT) AS bytes
+FROM rq WHERE CAST(ts_s AS DATE) = DATE '{DAY_START:%Y-%m-%d}' GROUP BY ALL
+"""
+
+ORACLE_SQL["ordered_rollup"] = f"""
+WITH {REQ}, {DETAIL.strip()}, {_summary().strip()}
+SELECT node, date, user_type, request_type, status, http_method, client_ip, CAST(sum(bytes) AS BIGINT) AS bytes,
+       CAST(sum(transactions) AS BIGINT) AS transactions
+FROM summ WHERE node IN ({', '.join(lit(n) for n in sqlchain.ROLLUP_NODES)})
+GROUP BY ALL
+"""
+
+ORACLE_SQL["ordered_detail"] = f"""
+WITH {REQ}, {DETAIL.strip()}
+SELECT date, datetime, node, client_ip, status, TRY_CAST(replace(size, '-', '0') AS BIGINT) AS bytes
+FROM det WHERE len(string_split(size, ' ')) = 1
+"""
+
+ORACLE_SQL["kept_summaries"] = ORACLE_SQL["all_node_rollup"]

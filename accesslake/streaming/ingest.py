@@ -25,14 +25,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import sinks
+from ..operators.bucketstore import BucketStore
 from ..operators.normalise import is_quarantined
 from ..plans.ingest import Dimensions, enrich_events, transform
 from ..session import scratch_path
 from ..sources.text import stream_lines
 
 
-def micro_batch_writer(store_path: str, quarantine_path: str | None, dims: Dimensions | None = None):
-    """T3/T7 writer.  Dimension joins that first take distinct values of the
+def micro_batch_writer(store_path: str, quarantine_path: str | None, dims: Dimensions | None = None, writer: str | None = None):
+    """T3/T7 writer.  With ``writer`` the store is a ``BucketStore``: the epoch is
+    the batch of its record, and several ingest queries with names of their own
+    can share the store.  Dimension joins that first take distinct values of the
     batch (registered domains, agents) run here, on the micro-batch as an
     ordinary DataFrame; on the stream itself they would be stream-stream joins."""
     def write(batch: DataFrame, epoch_id: int) -> None:
@@ -41,7 +44,11 @@ def micro_batch_writer(store_path: str, quarantine_path: str | None, dims: Dimen
             kept = batch.where(F.col("drop_reason").isNull())
             if dims is not None:
                 kept = enrich_events(kept, dims, stored=True)  # the batch is persisted
-            sinks.write_store(kept.where(~is_quarantined(F.col("tags"))), store_path)
+            good = kept.where(~is_quarantined(F.col("tags")))
+            if writer is None:
+                sinks.write_store(good, store_path)
+            else:
+                BucketStore(batch.sparkSession, store_path).append(good, writer, epoch_id)
             if quarantine_path:
                 sinks.write_quarantine(kept, quarantine_path, batch_id=epoch_id)
         finally:
@@ -65,16 +72,18 @@ def start_ingest(spark: SparkSession, source_path: str, store_path: str,
                  quarantine_path: str | None = None, checkpoint: str | None = None,
                  dims: Dimensions | None = None, available_now: bool = True,
                  processing_time: str = "2 hours", dedupe_watermark: str | None = None,
-                 max_files_per_trigger: int | None = 1000, sources: DataFrame | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = 1000, sources: DataFrame | None = None,
+                 writer: str | None = None) -> StreamingQuery:
     """Start the incremental ingest query.
 
     A back-fill is read ``max_files_per_trigger`` files a micro-batch (all files
     are read, in as many batches as that takes), so a batch stays bounded.
-    ``sources`` (S2) gives every line the constants of its source.
+    ``sources`` (S2) gives every line the constants of its source.  ``writer``
+    names this query in a bucketed store that it shares with others.
     """
     lines = stream_lines(spark, source_path, max_files_per_trigger=max_files_per_trigger)
     ev = ingest_stream(lines, None, dedupe_watermark, sources)
-    w = (ev.writeStream.foreachBatch(micro_batch_writer(store_path, quarantine_path, dims))
+    w = (ev.writeStream.foreachBatch(micro_batch_writer(store_path, quarantine_path, dims, writer))
            .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-checkpoint")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
