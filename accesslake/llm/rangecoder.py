@@ -30,9 +30,9 @@ from .common import partitions, stored, text_of, tuned
 from .tokens import encoder
 
 BLOCK = 1 << 20
-LANES, LANE_MIN = 8192, 64
+LANES, LANE_MIN = 1024, 64  # a lane of a full block has 1024 steps: enough for the model to adapt
 REFRESH = 4  # steps between order-0 updates
-MIX_BITS, GAIN = 11, 1
+MIX_BITS, GAIN = 11, 3
 ORDER2 = 1 << 17
 MAGIC = b"CMR1"
 HEAD = struct.Struct("<4sIIIIIQ")  # magic, ids, lanes, vocabulary, pieces, crc32, words
@@ -226,7 +226,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, vocabulary: int = 1 << 16, end
 
     Rows: part and block (their order is the documents' order), first (ids of
     the part before the block), n_ids, data.  Documents are sorted by doc_id,
-    then text; null doc_ids come first, a null text is the empty text (one id,
+    then a hash of the text, then text; null doc_ids come first, a null text is the empty text (one id,
     the end), repeated rows are documents of their own.
     """
     tuned(docs.sparkSession)
@@ -258,7 +258,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, vocabulary: int = 1 << 16, end
             yield flush()
 
     d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    ordered = d.repartitionByRange(partitions(docs.sparkSession), "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # ranges are cut by doc_id and a hash: their samples go to the driver, so no text is in them
+    ordered = (d.withColumn("_hash", F.xxhash64("text")).repartitionByRange(partitions(docs.sparkSession), "doc_id", "_hash")
+               .sortWithinPartitions("doc_id", "_hash", "text").drop("_hash"))
     return stored(ordered.mapInArrow(run, "part long, block long, first long, n_ids long, data binary"), "token-file")
 
 
@@ -290,26 +292,28 @@ def crc_join(parts: list[tuple[int, int]]) -> int:
     return crc
 
 
-def read_pieces(blocks: DataFrame) -> DataFrame:
-    """Decode a token file: part, at (ids of the part before the document), doc_id, before, length, doc_tokens, crc, ids."""
+def read_pieces(blocks: DataFrame, with_ids: bool = True) -> DataFrame:
+    """Decode a token file: part, at (ids of the part before the document), doc_id, before, length, doc_tokens, crc, and the ids unless they are not wanted."""
     def run(batches):
         for b in batches:
             for part, first, data in zip(*(b.column(c).to_pylist() for c in ("part", "first", "data"))):
                 ids, p = unpack_block(data)
                 at = np.cumsum(p[:, 3]) - p[:, 3]
                 cut = [ids[a:a + n].tobytes() for a, n in zip(at.tolist(), p[:, 3].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(p), part)), pa.array(first + at - p[:, 2]), pa.array(p[:, 0], mask=p[:, 1] == 0),
-                     pa.array(p[:, 2]), pa.array(p[:, 3]), pa.array(p[:, 4]), pa.array([zlib.crc32(c) for c in cut], pa.int64()),
-                     pa.array(cut, pa.binary())], names=["part", "at", "doc_id", "before", "length", "doc_tokens", "crc", "ids"])
+                columns = [pa.array(np.full(len(p), part)), pa.array(first + at - p[:, 2]), pa.array(p[:, 0], mask=p[:, 1] == 0),
+                           pa.array(p[:, 2]), pa.array(p[:, 3]), pa.array(p[:, 4]), pa.array([zlib.crc32(c) for c in cut], pa.int64())]
+                names = ["part", "at", "doc_id", "before", "length", "doc_tokens", "crc"]
+                if with_ids:
+                    columns, names = [*columns, pa.array(cut, pa.binary())], [*names, "ids"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return blocks.select("part", "first", "data").mapInArrow(
-        run, "part long, at long, doc_id long, before long, length long, doc_tokens long, crc long, ids binary")
+    schema = "part long, at long, doc_id long, before long, length long, doc_tokens long, crc long"
+    return blocks.select("part", "first", "data").mapInArrow(run, schema + ", ids binary" * with_ids)
 
 
 def digest(blocks: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document of a token file, from its decoded ids."""
-    pieces = read_pieces(blocks).drop("ids")
+    pieces = read_pieces(blocks, with_ids=False)
     pieces = stored(pieces, "token-pieces")
     whole = pieces.where("length = doc_tokens").select("part", "at", "doc_id", "doc_tokens", "crc")
 

@@ -123,6 +123,17 @@ def test_repeats_code_small():
     assert len(rangecoder.pack_block(ids, np.zeros((0, 5)), 1 << 16)) < len(ids) * 2 / 2
 
 
+def test_prose_codes_below_its_order_0_entropy():
+    """One full block of real ids: the adaptive contexts beat the best static code of single ids."""
+    import pyarrow.parquet as pq
+    enc = Encoder(path("word_bpe_49k.json"))
+    prose = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].slice(0, 1200).to_pylist()
+    ids = np.frombuffer(b"".join(enc.one(t or "") for t in prose), "<u2")[:rangecoder.BLOCK]
+    share = np.bincount(ids)[np.bincount(ids) > 0] / len(ids)
+    bits = len(rangecoder.pack_block(ids, np.zeros((0, 5)), 1 << 16)) * 8 / len(ids)
+    assert bits < 0.95 * -(share * np.log2(share)).sum()
+
+
 def brute_tokens(rows, name):
     at, out = 0, []
     for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
