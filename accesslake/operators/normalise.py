@@ -208,7 +208,7 @@ def _stage_exprs(app_id: str, message_col: str, has_json: bool, has_src_domain:
     stage_b = [
         drop_reason.alias("drop_reason"),
         F.coalesce(url["path"], F.when(c("_layout_path") != "-", c("_layout_path"))).alias("url_path"),
-        F.nullif(query, F.lit("")).alias("url_query"),
+        F.nullif(query, F.lit("")).alias("_query"),
         fragment.alias("url_fragment"),
         F.coalesce(c("_layout_scheme"), url["scheme"], src_scheme).alias("url_scheme"),
         url["username"].alias("url_username"),
@@ -239,7 +239,9 @@ def _stage_exprs(app_id: str, message_col: str, has_json: bool, has_src_domain:
     stage_c1 = [
         F.array_distinct(F.filter(c("_raw_tags"), lambda t: t.isNotNull())).alias("tags"),
         urls.path_parts(c("url_path")).alias("url_path_parts"),
-        urls.query_multimap(c("url_query")).alias("url_query_params"),
+        # the pairs are cut before the text is decoded: an escaped "&" or "=" is no separator
+        urls.decode(c("_query")).alias("url_query"),
+        urls.query_multimap(c("_query")).alias("url_query_params"),
     ]
     stage_c2 = [
         urls.path_depth(c("url_path_parts")).alias("url_path_depth"),
@@ -271,7 +273,7 @@ def to_events(parsed: DataFrame, message_col: str = "value") -> DataFrame:
     b = _barrier(a.select("*", *stage_b).drop(*_STAGE_A_INTERNAL))
     # Stage C stays an ordinary projection: columns a query does not use (query
     # maps, path arrays, hash) are pruned; filters stop at the stage-B barrier.
-    cee = b.select("*", *stage_c1).drop("_raw_tags", "_json")
+    cee = b.select("*", *stage_c1).drop("_raw_tags", "_json", "_query")
     return cee.select("*", *stage_c2)
 
 

@@ -159,3 +159,15 @@ def test_domain_equal_to_client_is_dropped(spark):
         "192.0.2.70\thttps\t1\t0.1\t-",)], "value string")
     r = to_events(parse_lines(df)).first()
     assert r.log_format == "cdn_w3c" and r.url_domain is None
+
+
+def test_queries_are_decoded_in_every_layout(spark):
+    lines = spark.createDataFrame([
+        (1, '192.0.2.1 - - [10/Oct/2023:13:55:36 +0000] "GET /a?q=caf%25C3%25A9 HTTP/1.1" 200 5 "-" "ua"'),
+        (2, "2023-10-10 13:55:36 W3SVC1 192.0.2.10 GET /p q=a%26b&r=%C3%A9 443 - 198.51.100.11 agent 200 0 0 1 15"),
+        (3, "2023-10-10 13:55:36 W3SVC1 192.0.2.10 GET /p q=%zz 443 - 198.51.100.11 agent 200 0 0 1 15"),
+    ], "id int, value string")
+    got = {r.id: r for r in to_events(parse_lines(lines)).collect()}
+    assert got[1].url_query == "q=caf\u00e9"
+    assert got[2].url_query == "q=a&b&r=\u00e9" and got[2].url_query_params == {"q": ["a&b"], "r": ["\u00e9"]}
+    assert got[3].url_query == "q=%zz" and got[3].url_query_params == {"q": ["%zz"]}
