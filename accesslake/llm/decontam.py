@@ -1,6 +1,7 @@
 """Benchmark decontamination: size-partitioned MinHash containment search.  DataFrame operations only.
 
-Test items fall into classes by the number of their shingles (powers of two).
+One sketch size stands in for size partitions: the class of an item (powers of
+two of its shingle count) is kept beside its sketch and decides nothing.
 An item's sketch is its ``SKETCH`` smallest shingle hashes (all of a shorter
 item): a random sample of its set, so the share of the sketch that a document
 has estimates how much of the item it contains, however long the document is.
@@ -72,7 +73,7 @@ def contained(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> Data
     hashes, full = parts[0].distinct(), stored(texts[0].distinct(), "items")
     order = F.xxhash64("shingle", F.lit(9))
     sketch = hashes.groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct(order.alias("o"), "shingle"))).alias("all"))
-    # the item's size class decides how much of it the sketch holds and how many of its hashes must be found
+    # how many of the sketch's hashes must be found follows from the sketch; size_class only goes along
     sketch = sketch.select("item_id", F.floor(F.log2(F.size("all"))).alias("size_class"), F.slice("all", 1, SKETCH).alias("some")).select(
         "item_id", "size_class", F.ceil(F.size("some") * ENOUGH / 100).alias("need"), F.explode("some.shingle").alias("shingle"))
     sketch = stored(sketch, "item-sketches")
