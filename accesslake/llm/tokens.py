@@ -1,9 +1,12 @@
 """Token ids of whole texts by a public tokenizer file, with a memo of pieces.
 
 Both vocabularies cut a text at white space before they merge, so a text's ids
-are the ids of its pieces one after another.  A piece is encoded once by the
-``tokenizers`` library and kept in a dictionary; the dictionary is emptied
-when it is full, which changes speed only.
+are the ids of its pieces one after another.  A piece is encoded by the
+``tokenizers`` library and kept in a dictionary, which is emptied when it is
+full; the words in it (pieces without the marks after them) stay for one more
+round.  Pieces of more than ``LONG`` characters are never kept, so a worker
+holds a bounded number of bounded pieces whatever the texts are.  This changes
+speed only.
 """
 
 from __future__ import annotations
@@ -14,7 +17,8 @@ from array import array
 
 import numpy as np
 
-MEMO = 1_000_000
+#: Pieces that are kept, and characters of the longest one.
+MEMO, LONG = 1_000_000, 64
 _WS = "\t-\r \x85\xa0  -     　"
 #: What a byte-level vocabulary takes as one run: a word with the blank before it, or white space.
 _PIECE = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
@@ -43,32 +47,41 @@ class _Memo(dict):
         super().__init__()
         self.tokenizer, self.model, self.prefix, self.fold = tokenizer, tokenizer.model, prefix, fold
         self.mark = prefix.translate(_ALPHABET)
-        self.cores, self.tails = {}, {}
+        self.cores, self.old_cores, self.tails = {}, {}, {}
 
     def _encode(self, text: str) -> bytes:
         return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
+        if len(piece) > LONG:
+            return self._encode(self.prefix + piece if piece[:1] != "\n" else piece)
         if len(self) >= MEMO:
             self.clear()
-            self.cores.clear()
-            self.tails.clear()
-        m = _SIMPLE.fullmatch(piece)
+            self.old_cores, self.cores, self.tails = self.cores, {}, {}
+        ids = self[piece] = self._ids(piece)
+        return ids
+
+    def _ids(self, piece: str) -> bytes:
+        line = piece[:1] == "\n" and self.prefix == " "  # a new line, then a word without a blank before it
+        m = _SIMPLE.fullmatch(piece, 1 if line else 0)
         if m is None:
-            ids = self[piece] = self._encode(self.prefix + piece if piece[:1] != "\n" else piece)
-            return ids
+            return self._encode(self.prefix + piece if piece[:1] != "\n" else piece)
         word, tail = m.groups()
-        ids = self.cores.get(word)
+        key = "\n" + word if line else word
+        ids = self.cores.get(key) or self.old_cores.get(key)
         if ids is None:  # straight from the library's merge model
             w = word.lower() if self.fold else word
-            s = self.mark + (w if w.isascii() else w.encode().decode("latin-1").translate(_ALPHABET))
-            ids = self.cores[word] = array("H", [t.id for t in self.model.tokenize(s)]).tobytes()
-        if tail:
-            if tail not in self.tails:
-                self.tails[tail] = self._encode(tail)
-            ids += self.tails[tail]
-        self[piece] = ids
-        return ids
+            w = w if w.isascii() else w.encode().decode("latin-1").translate(_ALPHABET)
+            ids = array("H", [t.id for t in self.model.tokenize(w if line else self.mark + w)]).tobytes()
+            if line:
+                ids = self._tail("\n") + ids
+        self.cores[key] = ids
+        return ids + self._tail(tail) if tail else ids
+
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            self.tails[tail] = self._encode(tail)
+        return self.tails[tail]
 
 
 class Encoder:
