@@ -1,18 +1,25 @@
 """N-gram language model in Elias-Fano tries, queried from memory-mapped files.
 
-Bigram model with absolute discounting: p(w | h) = a(h, w) + D * T(h) / c(h) *
-(c(w) + 1) / (N + V + 1), where a is the discounted share of w after h,
-T the number of distinct successors of h and D follows from how many pairs a
-shard saw once and twice.  The last factor is the add-one unigram, so an
-unseen word after an unseen word gets the base probability.
+Trigram model with absolute discounting, interpolated: p(w | g, h) = a(g, h, w)
++ b(g, h) * p(w | h) and p(w | h) = a(h, w) + b(h) * (c(w) + 1) / (N + V + 1),
+where a = (c - D) / c(context) is the discounted share, b = D * T / c(context)
+with T the number of distinct successors, and D of each order follows from how
+many of all its n-grams, over all shards, occur once and twice.  The last factor
+is the add-one unigram, so an unseen word after an unseen word gets the base
+probability.  A context that was never seen leaves everything to the shorter
+one.  Contexts don't reach beyond a text: its first word follows the end mark.
 
-A shard holds the words of one range of 64-bit word hashes:
+A shard holds the n-grams whose first word is in one range of 64-bit word hashes:
 
 * level 1: the hashes (Elias-Fano), their counts, and monotone pointers
   (Elias-Fano) into level 2;
 * level 2: for each word the sorted successors, kept relative to their
   context (context rank above, leading bits of the successor's hash below), so
-  all are one monotone sequence (Elias-Fano), and a in 8 bits.
+  all are one monotone sequence (Elias-Fano), and pointers into level 3;
+* level 3: the successors of each pair of level 2, in the same form.
+
+Beside it lies a file with 8 bits for each share of levels 2 and 3 and for the
+back-off weight of each pair, written when the discounts of all shards are known.
 
 Counting pre-aggregates inside the scan's tasks; the shards are built by Spark
 groups and written into the shared folder; scoring maps the files.  The number
@@ -38,9 +45,9 @@ from .common import partitions, stored, text_of, tuned
 from .words import U, word_hashes
 
 END = U(0xE0D0C0B0A0908071)
-CHUNK = 3_000_000  # tokens a task counts or scores at once; bounds its memory
+CHUNK = 2_000_000  # tokens a task counts or scores at once; bounds its memory
 STEP = 8.0  # quantiser: levels a halving
-SUCCESSOR_BITS = 40
+SUCCESSOR_BITS, THIRD_BITS = 40, 32
 
 
 class EliasFano:
@@ -153,6 +160,12 @@ def _pairs(tokens: np.ndarray, inverse: np.ndarray, unique: np.ndarray) -> np.nd
     return (before.astype(np.uint64) << U(32)) | inverse.astype(np.uint64)
 
 
+def _triples(tokens: np.ndarray, inverse: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions whose context has two tokens of the same text or its start, context pair and token of each)."""
+    at = 1 + np.flatnonzero(tokens[:-1] != END)
+    return at, (pair[at - 1].astype(np.uint64) << U(32)) | inverse[at].astype(np.uint64)
+
+
 def _shard(h: np.ndarray, shards: int) -> np.ndarray:
     return ((h >> U(32)) * U(shards)) >> U(32)
 
@@ -168,51 +181,64 @@ def _unfive(b: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+_PARTS = ["shard", "words", "counts", "fan", "successors", "pair_counts", "fan3", "successors3", "triple_counts"]
+
+
 def counts(docs: DataFrame, shards: int) -> DataFrame:
-    """Pre-aggregated counts of words and pairs, one row a task, chunk and shard."""
+    """Pre-aggregated counts of words, pairs and triples, one row a task, chunk and shard."""
     def run(batches):
         for held in _chunks(batches, CHUNK):
             t = np.concatenate([x[1] for x in held])
             u, inv, c = np.unique(t, return_inverse=True, return_counts=True)
-            pk, pc = np.unique(_pairs(t, inv, u), return_counts=True)
-            ctx = (pk >> U(32)).astype(np.int64)
-            succ = u[(pk & U(2**32 - 1)).astype(np.int64)] >> U(64 - SUCCESSOR_BITS)
-            fan = np.bincount(ctx, minlength=len(u))
+            pk, pinv, pc = np.unique(_pairs(t, inv, u), return_inverse=True, return_counts=True)
+            tk, tc = np.unique(_triples(t, inv, pinv)[1], return_counts=True)
+            del inv, pinv
+            low = U(2**32 - 1)
+            succ, succ3 = u[(pk & low).astype(np.int64)] >> U(64 - SUCCESSOR_BITS), u[(tk & low).astype(np.int64)] >> U(64 - THIRD_BITS)
+            fan = np.bincount((pk >> U(32)).astype(np.int64), minlength=len(u))
+            fan3 = np.bincount((tk >> U(32)).astype(np.int64), minlength=len(pk))
             first = np.searchsorted(_shard(u, shards), np.arange(shards + 1, dtype=np.uint64))
-            at = np.append(0, np.cumsum(fan))
-            rows = [(s, u[a:b].tobytes(), c[a:b].astype("<u8").tobytes(), fan[a:b].astype("<u4").tobytes(),
-                     _five(succ[at[a]:at[b]]), pc[at[a]:at[b]].astype("<u4").tobytes())
-                    for s, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())) if b > a]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if i == 0 else pa.binary()) for i, x in enumerate(zip(*rows))],
-                                             names=["shard", "words", "counts", "fan", "successors", "pair_counts"])
+            at, at3 = np.append(0, np.cumsum(fan)), np.append(0, np.cumsum(fan3))
+            rows = []
+            for s, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+                if b > a:
+                    p, q = at[a], at[b]
+                    x, y = at3[p], at3[q]
+                    rows.append((s, u[a:b].tobytes(), c[a:b].astype("<u8").tobytes(), fan[a:b].astype("<u4").tobytes(), _five(succ[p:q]),
+                                 pc[p:q].astype("<u4").tobytes(), fan3[p:q].astype("<u4").tobytes(), succ3[x:y].astype("<u4").tobytes(),
+                                 tc[x:y].astype("<u4").tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if i == 0 else pa.binary()) for i, x in enumerate(zip(*rows))], names=_PARTS)
+
+    return docs.mapInArrow(run, ", ".join(f"{k} {'int' if k == 'shard' else 'binary'}" for k in _PARTS))
+
+
+def _level(context: np.ndarray, succ: np.ndarray, count: np.ndarray, contexts: int, bits: int, given: int):
+    """Sums a level's parts: (successor keys, counts, successors of each context, place of each part's row)."""
+    key = (context.astype(np.uint64) << U(bits)) | (succ.astype(np.uint64) >> U(given - bits))
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    new = np.append(True, key[1:] != key[:-1]) if len(key) else np.zeros(0, bool)
+    first, place = np.flatnonzero(new), np.empty(len(key), np.int64)
+    place[order] = np.cumsum(new) - 1
+    total = np.add.reduceat(count, first) if len(first) else count
+    return key[first], total, np.bincount((key[first] >> U(bits)).astype(np.int64), minlength=contexts), place
 
-    return docs.mapInArrow(run, "shard int, words binary, counts binary, fan binary, successors binary, pair_counts binary")
 
+def _short(name: str, c: np.ndarray) -> dict:
+    """Counts in a byte each, those of 255 and more beside them."""
+    big = np.flatnonzero(c >= 255)
+    return {name: np.minimum(c, 255).astype(np.uint8), f"{name}.at": big, f"{name}.big": c[big].astype(np.int64)}
 
-def _merge(words, count, fan, succ, pair):
-    """Sums the parts of a shard: (words, counts, fan, successor keys, pair counts, successor bits)."""
-    u, inv = np.unique(words, return_inverse=True)
-    total = np.zeros(len(u), np.uint64)
-    np.add.at(total, inv, count)
-    bits = min(SUCCESSOR_BITS, 64 - len(u).bit_length())
-    key = (np.repeat(inv, fan).astype(np.uint64) << U(bits)) | (succ >> U(SUCCESSOR_BITS - bits))
-    order = np.argsort(key, kind="stable")
-    key, pair = key[order], pair[order]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    return u, total, np.bincount((key[first] >> U(bits)).astype(np.int64), minlength=len(u)), key[first], np.add.reduceat(pair, first), bits
-
-
-def shard_bytes(words, count, fan, succ, pair) -> tuple[bytes, int, int]:
-    """(file contents, tokens, words) of a shard from its concatenated parts."""
-    u, total, width, key, c, bits = _merge(words, count, fan, succ, pair)
-    once, twice = int((c == 1).sum()), int((c == 2).sum())
-    discount = min(0.95, max(0.1, once / max(1, once + 2 * twice)))
-    share = (c - discount) / total[(key >> U(bits)).astype(np.int64)]
-    level = np.minimum(255, np.ceil(-np.log2(share) * STEP)).astype(np.uint8)
-    parts = {"counts": total, "levels": level}
-    for name, seq in (("words", u), ("pointers", np.append(0, np.cumsum(width)).astype(np.uint64)), ("successors", key)):
-        parts |= {f"{name}.{k}": v for k, v in EliasFano.arrays(seq).items()}
-    head, body, at = {"discount": discount, "bits": bits, "arrays": {}}, [], 0
+
+def _long(a: dict, name: str) -> np.ndarray:
+    c = a[name].astype(np.int64)
+    c[a[f"{name}.at"]] = a[f"{name}.big"]
+    return c
+
+
+def _file(parts: dict, **head) -> bytes:
+    """Named arrays, each at a multiple of 8 bytes, behind a JSON head."""
+    head, body, at = head | {"arrays": {}}, [], 0
     for name, a in parts.items():
         raw = np.ascontiguousarray(a).tobytes()
         head["arrays"][name] = [a.dtype.str, at, len(a)]
@@ -221,29 +247,102 @@ def shard_bytes(words, count, fan, succ, pair) -> tuple[bytes, int, int]:
         at += len(raw)
     text = json.dumps(head).encode()
     text += b" " * (-(len(text) + 8) % 8)
-    return len(text).to_bytes(8, "little") + text + b"".join(body), int(total.sum()), len(u)
+    return len(text).to_bytes(8, "little") + text + b"".join(body)
+
+
+def _mapped(uri: str) -> tuple[dict, dict]:
+    """(head, arrays) of a file, mapped; a store that can't be mapped is copied beside the worker while it is open."""
+    store, path = pafs.FileSystem.from_uri(uri)
+    copy = None
+    if not isinstance(store, pafs.LocalFileSystem):
+        copy = os.path.join(tempfile.gettempdir(), uuid.uuid4().hex)
+        with store.open_input_stream(path) as f, open(copy, "wb") as g:
+            while block := f.read(1 << 24):
+                g.write(block)
+    raw = np.memmap(copy or path, np.uint8, "r")
+    if copy:
+        os.unlink(copy)
+    n = int(raw[:8].view("<u8")[0])
+    head = json.loads(raw[8:8 + n].tobytes())
+    return head, {k: raw[8 + n + at:][:size * np.dtype(t).itemsize].view(t) for k, (t, at, size) in head["arrays"].items()}
+
+
+def _publish(folder: str, name: str, data: bytes) -> None:
+    """Write a file whole or not at all; a retried task writes the same file again."""
+    store, inner = pafs.FileSystem.from_uri(folder)
+    store.create_dir(inner, recursive=True)
+    trial, target = f"{inner}/.{uuid.uuid4().hex}", f"{inner}/{name}"
+    with store.open_output_stream(trial) as f:
+        f.write(data)
+    try:
+        store.move(trial, target)
+    except OSError:  # stores that don't move onto a file
+        if store.get_file_info(target).type == pafs.FileType.NotFound:
+            raise
+        store.delete_file(trial)
+
+
+def shard_bytes(words, count, fan, succ, pair, fan3, succ3, triple) -> tuple[bytes, dict]:
+    """File contents of a shard from its concatenated parts, and its sums: n, v, and how many n-grams occur once and twice."""
+    u, inv = np.unique(words, return_inverse=True)
+    total = np.zeros(len(u), np.uint64)
+    np.add.at(total, inv, count)
+    bits = min(SUCCESSOR_BITS, 64 - len(u).bit_length())
+    key, c, width, place = _level(np.repeat(inv, fan), succ, pair, len(u), bits, SUCCESSOR_BITS)
+    bits3 = min(THIRD_BITS, 64 - len(key).bit_length())
+    key3, c3, width3, _ = _level(np.repeat(place, fan3), succ3, triple, len(key), bits3, THIRD_BITS)
+    parts = {"counts": total} | _short("pairs", c) | _short("triples", c3)
+    for name, seq in (("words", u), ("pointers", np.append(0, np.cumsum(width)).astype(np.uint64)), ("successors", key),
+                      ("pointers3", np.append(0, np.cumsum(width3)).astype(np.uint64)), ("successors3", key3)):
+        parts |= {f"{name}.{k}": v for k, v in EliasFano.arrays(seq).items()}
+    sums = {"n": int(total.sum()), "v": len(u)} | {f"{name}{k}": int((x == k).sum()) for name, x in (("pairs", c), ("triples", c3)) for k in (1, 2)}
+    return _file(parts, bits=bits, bits3=bits3), sums
+
+
+def _discount(once: int, twice: int) -> float:
+    return min(0.95, max(0.1, once / max(1, once + 2 * twice)))
+
+
+def _quantised(share: np.ndarray) -> np.ndarray:
+    """Eighths of a halving, rounded to the smaller probability; 255 stands for all that is less."""
+    return np.minimum(255, np.ceil(-np.log2(share) * STEP)).astype(np.uint8)
+
+
+def _probability(level: np.ndarray) -> np.ndarray:
+    return np.exp2(level.astype(np.float64) / -STEP)
+
+
+def level_bytes(shard: "Shard", a: dict, discount: float, discount3: float) -> bytes:
+    """The quantised shares of levels 2 and 3 and the back-off weights of level 2."""
+    c, c3 = _long(a, "pairs"), _long(a, "triples")
+    fan, fan3 = (np.diff(p.access(np.arange(p.n)).astype(np.int64)) for p in (shard.pointers, shard.pointers3))
+    share = (c - discount) / np.repeat(shard.counts, fan)
+    # what follows a pair: its own count, but for pairs that end a text (nothing follows those)
+    share3 = (c3 - discount3) / np.repeat(c, fan3)
+    return _file({"level2": _quantised(share), "back2": _quantised(np.where(fan3 > 0, discount3 * fan3 / c, 1.0)), "level3": _quantised(share3)})
 
 
 class Shard:
-    """A mapped shard file."""
-
-    def __init__(self, path: str):
-        raw = np.memmap(path, np.uint8, "r")
-        n = int(raw[:8].view("<u8")[0])
-        head = json.loads(raw[8:8 + n].tobytes())
-        get = lambda k: raw[8 + n + (x := head["arrays"][k])[1]:][:x[2] * np.dtype(x[0]).itemsize].view(x[0])
-        self.discount, self.bits = head["discount"], head["bits"]
-        self.counts, self.levels = get("counts"), get("levels")
-        self.words, self.pointers, self.successors = (
-            EliasFano(*(get(f"{k}.{f}") for f in ("head", "high", "low", "rank", "zeros"))) for k in ("words", "pointers", "successors"))
-
-    def share(self, ctx: np.ndarray, successor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(discounted share, weight of the unigram) for context ranks and successor hashes."""
+    """A mapped shard file and its file of quantised probabilities."""
+
+    def __init__(self, head: dict, a: dict, levels: dict | None = None):
+        self.bits, self.bits3, self.counts, self.levels = head["bits"], head["bits3"], a["counts"], levels
+        self.words, self.pointers, self.successors, self.pointers3, self.successors3 = (
+            EliasFano(*(a[f"{k}.{f}"] for f in ("head", "high", "low", "rank", "zeros")))
+            for k in ("words", "pointers", "successors", "pointers3", "successors3"))
+
+    def pairs(self, ctx: np.ndarray, successor: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in level 2 or -1, share, weight of the unigram) for context ranks and successor hashes."""
         i = self.successors.find((ctx.astype(np.uint64) << U(self.bits)) | (successor >> U(64 - self.bits)))
-        a = np.where(i >= 0, np.exp2(self.levels[np.maximum(i, 0)].astype(np.float64) / -STEP), 0.0)
         u, inv = np.unique(ctx, return_inverse=True)
         fan = (self.pointers.access(u + 1) - self.pointers.access(u)).astype(np.float64)
-        return a, (self.discount * fan / self.counts[u])[inv]
+        return i, np.where(i >= 0, _probability(self.levels["level2"][np.maximum(i, 0)]), 0.0), (discount * fan / self.counts[u])[inv]
+
+    def triples(self, pair: np.ndarray, successor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(share, weight of the shorter context) for places in level 2 and successor hashes."""
+        i = self.successors3.find((pair.astype(np.uint64) << U(self.bits3)) | (successor >> U(64 - self.bits3)))
+        return np.where(i >= 0, _probability(self.levels["level3"][np.maximum(i, 0)]), 0.0) if len(self.levels["level3"]) else np.zeros(len(i)), \
+            _probability(self.levels["back2"][pair])
 
 
 _open: dict[str, Shard] = {}
@@ -254,52 +353,56 @@ def _shard_at(folder: str, s: int) -> Shard:
     if path not in _open:
         if len(_open) and not next(iter(_open)).startswith(folder):
             _open.clear()
-        store, inner = pafs.FileSystem.from_uri(path)
-        if not isinstance(store, pafs.LocalFileSystem):  # a store that can't be mapped: keep a copy of the shard beside the worker
-            local = os.path.join(tempfile.gettempdir(), uuid.uuid4().hex)
-            with store.open_input_stream(inner) as f, open(local, "wb") as g:
-                while block := f.read(1 << 24):
-                    g.write(block)
-            inner = local
-        _open[path] = Shard(inner)
+        _open[path] = Shard(*_mapped(path), _mapped(f"{folder}/levels-{s:06d}")[1])
     return _open[path]
 
 
 def train(docs: DataFrame, shards: int | None = None) -> dict:
-    """Count ``docs`` (text) and write the shards; returns folder, shards, n (tokens), v (distinct tokens)."""
+    """Count ``docs`` (text) and write the shards; returns folder, shards, n (tokens), v (distinct tokens), discounts."""
     spark = tuned(docs.sparkSession)
     shards = shards or partitions(spark)
     folder = scratch_path(spark, "llm-ngrams")
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    sums = ["n", "v", "pairs1", "pairs2", "triples1", "triples2"]
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         s = int(pdf["shard"].iloc[0])
         cat = lambda k, t: np.frombuffer(b"".join(pdf[k]), t)
-        data, n, v = shard_bytes(cat("words", "<u8"), cat("counts", "<u8"), cat("fan", "<u4").astype(np.int64),
-                                 _unfive(b"".join(pdf["successors"])), cat("pair_counts", "<u4").astype(np.int64))
-        store, inner = pafs.FileSystem.from_uri(folder)
-        store.create_dir(inner, recursive=True)
-        trial = f"{inner}/.{uuid.uuid4().hex}"
-        with store.open_output_stream(trial) as f:
-            f.write(data)
-        store.move(trial, f"{inner}/shard-{s:06d}")  # a retried task writes the same file again
-        return pd.DataFrame({"shard": [s], "n": [n], "v": [v], "bytes": [len(data)]})
+        data, made = shard_bytes(cat("words", "<u8"), cat("counts", "<u8"), cat("fan", "<u4").astype(np.int64),
+                                 _unfive(b"".join(pdf["successors"])), cat("pair_counts", "<u4").astype(np.int64),
+                                 cat("fan3", "<u4").astype(np.int64), cat("successors3", "<u4"), cat("triple_counts", "<u4").astype(np.int64))
+        _publish(folder, f"shard-{s:06d}", data)
+        return pd.DataFrame({"shard": [s]} | {k: [made[k]] for k in sums})
 
     text = docs.select(text_of(docs).alias("text"))
-    built = stored(counts(text, shards).groupBy("shard").applyInPandas(build, "shard int, n long, v long, bytes long"), "ngram-shards")
-    n, v = built.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    there = [r[0] for r in built.select("shard").collect()]  # one number a shard
-    return {"folder": folder, "shards": shards, "n": n, "v": v, "there": frozenset(there)}
+    built = stored(counts(text, shards).groupBy("shard").applyInPandas(build, "shard int, " + ", ".join(f"{k} long" for k in sums)), "ngram-shards")
+    n, v, p1, p2, t1, t2 = built.agg(*[F.coalesce(F.sum(k), F.lit(0)) for k in sums]).first()
+    discount, discount3 = _discount(p1, p2), _discount(t1, t2)
+
+    def smooth(batches):
+        for pdf in batches:
+            for s in pdf["shard"].tolist():
+                head, a = _mapped(f"{folder}/shard-{s:06d}")
+                _publish(folder, f"levels-{s:06d}", level_bytes(Shard(head, a), a, discount, discount3))
+            yield pdf
+
+    done = stored(built.select("shard").repartition(shards, "shard").mapInPandas(smooth, "shard int"), "ngram-levels")
+    there = [r[0] for r in done.collect()]  # one number a shard
+    return {"folder": folder, "shards": shards, "n": n, "v": v, "discount": discount, "discount3": discount3, "there": frozenset(there)}
 
 
 def _log10(model: dict, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each token of a stream: known, base log10 probability, model log10 probability."""
     u, inv = np.unique(t, return_inverse=True)
     pk, pinv = np.unique(_pairs(t, inv, u), return_inverse=True)
-    ctx, nxt = (pk >> U(32)).astype(np.int64), (pk & U(2**32 - 1)).astype(np.int64)
+    where3, triple = _triples(t, inv, pinv)
+    tk, tinv = np.unique(triple, return_inverse=True)
+    low = U(2**32 - 1)
+    ctx, nxt = (pk >> U(32)).astype(np.int64), (pk & low).astype(np.int64)
+    ctx3, nxt3 = (tk >> U(32)).astype(np.int64), (tk & low).astype(np.int64)
     first = np.searchsorted(_shard(u, model["shards"]), np.arange(model["shards"] + 1, dtype=np.uint64))
-    c, rank = np.zeros(len(u), np.uint64), np.full(len(u), -1, np.int64)
-    share, weight = np.zeros(len(pk)), np.ones(len(pk))
+    c, rank, place = np.zeros(len(u), np.uint64), np.full(len(u), -1, np.int64), np.full(len(pk), -1, np.int64)
+    share, weight, share3, weight3 = np.zeros(len(pk)), np.ones(len(pk)), np.zeros(len(tk)), np.ones(len(tk))
     for s in sorted(model["there"]):
         a, b = first[s], first[s + 1]
         if a == b:
@@ -310,10 +413,15 @@ def _log10(model: dict, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
         p, q = np.searchsorted(ctx, [a, b])
         k = p + np.flatnonzero(rank[ctx[p:q]] >= 0)
         if len(k):
-            share[k], weight[k] = shard.share(rank[ctx[k]], u[nxt[k]])
+            place[k], share[k], weight[k] = shard.pairs(rank[ctx[k]], u[nxt[k]], model["discount"])
+        x, y = np.searchsorted(ctx3, [p, q])
+        k = x + np.flatnonzero(place[ctx3[x:y]] >= 0)
+        if len(k):
+            share3[k], weight3[k] = shard.triples(place[ctx3[k]], u[nxt3[k]])
     unigram = (c + U(1)).astype(np.float64) / (model["n"] + model["v"] + 1)
-    prob = np.log10(share + weight * unigram[nxt])
-    return (c > 0)[inv], np.log10(unigram)[inv], prob[pinv]
+    prob = (share + weight * unigram[nxt])[pinv]
+    prob[where3] = share3[tinv] + weight3[tinv] * prob[where3]
+    return (c > 0)[inv], np.log10(unigram)[inv], np.log10(prob)
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:

@@ -572,17 +572,64 @@ def test_op9(spark):
     assert np.mean(gain) > 0
 
 
+def brute_trigram(texts, query):
+    """log10 probabilities of the tokens of ``query`` by the formula, without quantising."""
+    from collections import Counter, defaultdict
+    from math import log10
+    c1, c2, c3, after, after3 = Counter(), Counter(), Counter(), defaultdict(set), defaultdict(set)
+    for ws in texts:
+        ws = ["</s>", *ws, "</s>"]
+        c1.update(ws[1:])
+        for i in range(1, len(ws)):
+            c2[ws[i - 1], ws[i]] += 1
+            after[ws[i - 1]].add(ws[i])
+            if i > 1:
+                c3[ws[i - 2], ws[i - 1], ws[i]] += 1
+                after3[ws[i - 2], ws[i - 1]].add(ws[i])
+    n, v = sum(c1.values()), len(c1)
+    once = lambda c: sum(x == 1 for x in c.values())
+    twice = lambda c: sum(x == 2 for x in c.values())
+    d2, d3 = (min(0.95, max(0.1, once(c) / max(1, once(c) + 2 * twice(c)))) for c in (c2, c3))
+    out, ws = [], ["</s>", *query, "</s>"]
+    for i in range(1, len(ws)):
+        h, w = ws[i - 1], ws[i]
+        p = (c1[w] + 1) / (n + v + 1)
+        if c1[h]:
+            p = max(0, c2[h, w] - d2) / c1[h] + d2 * len(after[h]) / c1[h] * p
+        if i > 1 and c2[ws[i - 2], h]:
+            k, g = c2[ws[i - 2], h], (ws[i - 2], h)
+            p = max(0, c3[(*g, w)] - d3) / k + d3 * len(after3[g]) / k * p
+        out.append(log10(p))
+    return out
+
+
+def test_op9_brute(spark):
+    """Every document of sf0.001 against the formula: the quantiser rounds down by an eighth of a halving at most."""
+    from math import log10
+    t = texts(spark)
+    train = [brute_words(x) for d, x in t.items() if zlib.crc32(str(d).encode()) % 7 != 2]
+    scores = {r.doc_id: r for r in E.queries()["op9_ngram_trie_scores"](spark, SF).collect()}
+    some = sorted(t)[::3]
+    for d, want in ((d, brute_trigram(train, brute_words(t[d]))) for d in some[:12]):
+        assert -2 * log10(2) / 8 * len(want) <= scores[d].score - sum(want) <= 1e-9
+
+
+def test_op9_shards(spark):
+    """A score does not depend on how many shards there are."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id", "false as held", "text")
+    got = [{r.doc_id: r.score for r in ngramlm.score(docs, ngramlm.train(docs, shards=k)).collect()} for k in (1, 7)]
+    assert got[0].keys() == got[1].keys() and all(got[0][d] == pytest.approx(got[1][d], abs=1e-9) for d in got[0])
+
+
 def test_op9_probabilities(spark):
-    """Scores against the model's own formula, with the quantiser's error; successors of a context sum to 1 at most."""
-    rows = [(k, "a b a c a b") for k in range(3)] + [(4, "b c")]
+    """Successors of a context sum to 1 at most, and the longer context decides where it was seen."""
+    rows = [(k, "a b a c a b") for k in range(3)] + [(4, "b c"), (5, "x a z"), (6, "x a z")]
     model = ngramlm.train(spark.createDataFrame(rows, "doc_id long, text string"), shards=1)
-    assert (model["n"], model["v"]) == (3 * 7 + 3, 4)
-    known, base, prob = ngramlm._log10(model, np.append(W.word_hashes(pa.array(["a b"]))[1], ngramlm.END))
-    p = {}
-    for a, x in (("a", "b"), ("a", "c"), ("a", "a"), ("a", "zzz")):
-        s = ngramlm._log10(model, W.word_hashes(pa.array([f"{a} {x}"]))[1])[2]
-        p[x] = 10 ** s[1]
-    assert p["b"] > p["c"] > p["a"] > p["zzz"] and sum(p.values()) <= 1 + 1e-9
+    assert (model["n"], model["v"]) == (3 * 7 + 3 + 8, 6)
+    last = lambda text: 10 ** ngramlm._log10(model, np.append(W.word_hashes(pa.array([text]))[1], ngramlm.END))[2][-2]
+    p = {w: last(f"a {w}") for w in ("b", "c", "a", "z", "x", "zzz")}
+    assert p["b"] > p["c"] > p["a"] > p["zzz"] > 0 and sum(p.values()) <= 1 + 1e-9
+    assert last("x a z") > last("x a b") and last("b a c") > last("x a c")
 
 
 def test_op9_odd(spark):
