@@ -36,6 +36,7 @@ import uuid
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ from .common import partitions, stored, text_of, tuned
 from .words import U, word_hashes
 
 END = U(0xE0D0C0B0A0908071)
-CHUNK = 2_000_000  # tokens a task counts or scores at once; bounds its memory
+CHUNK = 1_500_000  # tokens a task counts or scores at once; bounds its memory
 STEP = 8.0  # quantiser: levels a halving
 SUCCESSOR_BITS, THIRD_BITS = 40, 32
 
@@ -70,8 +71,9 @@ class EliasFano:
             np.bitwise_or.at(bits, (at[over] >> 6) + 1, v[over] >> (U(64) - sh[over]))
         rank = np.zeros(len(words) + 1, np.int64)
         np.cumsum(np.bitwise_count(words), out=rank[1:])
-        return {"head": np.array([n, low], np.int64), "high": words, "low": bits, "rank": rank,
-                "zeros": np.arange(len(rank), dtype=np.int64) * 64 - rank}
+        narrow = np.uint32 if len(rank) < 1 << 26 else np.int64
+        return {"head": np.array([n, low], np.int64), "high": words, "low": bits, "rank": rank.astype(narrow),
+                "zeros": (np.arange(len(rank)) * 64 - rank).astype(narrow)}
 
     def __init__(self, head, high, low, rank, zeros):
         self.n, self.l = int(head[0]), int(head[1])
@@ -99,15 +101,15 @@ class EliasFano:
         return pos
 
     def access(self, i: np.ndarray) -> np.ndarray:
-        w = np.searchsorted(self.rank, i, "right") - 1
-        one = w * 64 + self._select(self.high[w], i - self.rank[w])
+        w = np.searchsorted(self.rank, i.astype(self.rank.dtype), "right") - 1
+        one = w * 64 + self._select(self.high[w], i - self.rank[w].astype(np.int64))
         return ((one - i).astype(np.uint64) << U(self.l)) | self._low(i)
 
     def _after_zero(self, k: np.ndarray) -> np.ndarray:
         """Elements before the k-th zero of the high bits (from 1; 0: none), that is, in the high buckets below k."""
         j = np.maximum(k - 1, 0)
-        w = np.searchsorted(self.zeros, j, "right") - 1
-        return np.where(k > 0, w * 64 + self._select(~self.high[w], j - self.zeros[w]) - j, 0)
+        w = np.searchsorted(self.zeros, j.astype(self.zeros.dtype), "right") - 1
+        return np.where(k > 0, w * 64 + self._select(~self.high[w], j - self.zeros[w].astype(np.int64)) - j, 0)
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """Index of each x, or -1: search for its successor among the elements with x's high bits."""
@@ -174,6 +176,11 @@ def _five(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
 
 
+def _less(x: np.ndarray) -> bytes:
+    """Small numbers, most of them equal: a twentieth of their size."""
+    return zstandard.compress(x.astype("<u4").tobytes(), 3)
+
+
 def _unfive(b: bytes) -> np.ndarray:
     raw = np.frombuffer(b, np.uint8).reshape(-1, 5)
     out = np.zeros((len(raw), 8), np.uint8)
@@ -184,14 +191,14 @@ def _unfive(b: bytes) -> np.ndarray:
 _PARTS = ["shard", "words", "counts", "fan", "successors", "pair_counts", "fan3", "successors3", "triple_counts"]
 
 
-def counts(docs: DataFrame, shards: int) -> DataFrame:
-    """Pre-aggregated counts of words, pairs and triples, one row a task, chunk and shard."""
+def counts(docs: DataFrame, shards: int, order: int = 3) -> DataFrame:
+    """Pre-aggregated counts of words, pairs and (order 3) triples, one row a task, chunk and shard."""
     def run(batches):
         for held in _chunks(batches, CHUNK):
             t = np.concatenate([x[1] for x in held])
             u, inv, c = np.unique(t, return_inverse=True, return_counts=True)
             pk, pinv, pc = np.unique(_pairs(t, inv, u), return_inverse=True, return_counts=True)
-            tk, tc = np.unique(_triples(t, inv, pinv)[1], return_counts=True)
+            tk, tc = np.unique(_triples(t, inv, pinv)[1] if order > 2 else np.zeros(0, np.uint64), return_counts=True)
             del inv, pinv
             low = U(2**32 - 1)
             succ, succ3 = u[(pk & low).astype(np.int64)] >> U(64 - SUCCESSOR_BITS), u[(tk & low).astype(np.int64)] >> U(64 - THIRD_BITS)
@@ -204,9 +211,8 @@ def counts(docs: DataFrame, shards: int) -> DataFrame:
                 if b > a:
                     p, q = at[a], at[b]
                     x, y = at3[p], at3[q]
-                    rows.append((s, u[a:b].tobytes(), c[a:b].astype("<u8").tobytes(), fan[a:b].astype("<u4").tobytes(), _five(succ[p:q]),
-                                 pc[p:q].astype("<u4").tobytes(), fan3[p:q].astype("<u4").tobytes(), succ3[x:y].astype("<u4").tobytes(),
-                                 tc[x:y].astype("<u4").tobytes()))
+                    rows.append((s, u[a:b].tobytes(), _less(c[a:b]), _less(fan[a:b]), _five(succ[p:q]), _less(pc[p:q]),
+                                 _less(fan3[p:q]), succ3[x:y].astype("<u4").tobytes(), _less(tc[x:y])))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if i == 0 else pa.binary()) for i, x in enumerate(zip(*rows))], names=_PARTS)
 
     return docs.mapInArrow(run, ", ".join(f"{k} {'int' if k == 'shard' else 'binary'}" for k in _PARTS))
@@ -357,8 +363,8 @@ def _shard_at(folder: str, s: int) -> Shard:
     return _open[path]
 
 
-def train(docs: DataFrame, shards: int | None = None) -> dict:
-    """Count ``docs`` (text) and write the shards; returns folder, shards, n (tokens), v (distinct tokens), discounts."""
+def train(docs: DataFrame, shards: int | None = None, order: int = 3) -> dict:
+    """Model of ``order`` 2 or 3: count ``docs`` (text) and write the shards; returns folder, shards, n (tokens), v (distinct tokens), discounts."""
     spark = tuned(docs.sparkSession)
     shards = shards or partitions(spark)
     folder = scratch_path(spark, "llm-ngrams")
@@ -367,15 +373,15 @@ def train(docs: DataFrame, shards: int | None = None) -> dict:
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         s = int(pdf["shard"].iloc[0])
-        cat = lambda k, t: np.frombuffer(b"".join(pdf[k]), t)
-        data, made = shard_bytes(cat("words", "<u8"), cat("counts", "<u8"), cat("fan", "<u4").astype(np.int64),
-                                 _unfive(b"".join(pdf["successors"])), cat("pair_counts", "<u4").astype(np.int64),
-                                 cat("fan3", "<u4").astype(np.int64), cat("successors3", "<u4"), cat("triple_counts", "<u4").astype(np.int64))
+        cat = lambda k, t: np.frombuffer(b"".join(pdf.pop(k)), t)
+        small = lambda k: np.frombuffer(b"".join(map(zstandard.decompress, pdf.pop(k))), "<u4").astype(np.int64)
+        data, made = shard_bytes(cat("words", "<u8"), small("counts").astype(np.uint64), small("fan"), _unfive(b"".join(pdf.pop("successors"))),
+                                 small("pair_counts"), small("fan3"), cat("successors3", "<u4"), small("triple_counts"))
         _publish(folder, f"shard-{s:06d}", data)
         return pd.DataFrame({"shard": [s]} | {k: [made[k]] for k in sums})
 
     text = docs.select(text_of(docs).alias("text"))
-    built = stored(counts(text, shards).groupBy("shard").applyInPandas(build, "shard int, " + ", ".join(f"{k} long" for k in sums)), "ngram-shards")
+    built = stored(counts(text, shards, order).groupBy("shard").applyInPandas(build, "shard int, " + ", ".join(f"{k} long" for k in sums)), "ngram-shards")
     n, v, p1, p2, t1, t2 = built.agg(*[F.coalesce(F.sum(k), F.lit(0)) for k in sums]).first()
     discount, discount3 = _discount(p1, p2), _discount(t1, t2)
 
