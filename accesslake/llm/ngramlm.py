@@ -28,6 +28,7 @@ of shards follows the session's shuffle partitions.
 
 from __future__ import annotations
 
+import atexit
 import json
 import os
 import tempfile
@@ -256,18 +257,27 @@ def _file(parts: dict, **head) -> bytes:
     return len(text).to_bytes(8, "little") + text + b"".join(body)
 
 
-def _mapped(uri: str) -> tuple[dict, dict]:
-    """(head, arrays) of a file, mapped; a store that can't be mapped is copied beside the worker while it is open."""
+_copies: dict[str, str] = {}
+
+
+def _mappable(uri: str) -> str:
+    """A path that can be mapped: the file's own, or a copy beside the worker that goes when the worker ends."""
     store, path = pafs.FileSystem.from_uri(uri)
-    copy = None
-    if not isinstance(store, pafs.LocalFileSystem):
+    if isinstance(store, pafs.LocalFileSystem):
+        return path
+    if uri not in _copies:
         copy = os.path.join(tempfile.gettempdir(), uuid.uuid4().hex)
+        atexit.register(lambda: os.path.exists(copy) and os.unlink(copy))
         with store.open_input_stream(path) as f, open(copy, "wb") as g:
             while block := f.read(1 << 24):
                 g.write(block)
-    raw = np.memmap(copy or path, np.uint8, "r")
-    if copy:
-        os.unlink(copy)
+        _copies[uri] = copy
+    return _copies[uri]
+
+
+def _mapped(uri: str) -> tuple[dict, dict]:
+    """(head, arrays) of a file, mapped as long as its arrays are held."""
+    raw = np.memmap(_mappable(uri), np.uint8, "r")
     n = int(raw[:8].view("<u8")[0])
     head = json.loads(raw[8:8 + n].tobytes())
     return head, {k: raw[8 + n + at:][:size * np.dtype(t).itemsize].view(t) for k, (t, at, size) in head["arrays"].items()}
@@ -351,16 +361,9 @@ class Shard:
             _probability(self.levels["back2"][pair])
 
 
-_open: dict[str, Shard] = {}
-
-
 def _shard_at(folder: str, s: int) -> Shard:
-    path = f"{folder}/shard-{s:06d}"
-    if path not in _open:
-        if len(_open) and not next(iter(_open)).startswith(folder):
-            _open.clear()
-        _open[path] = Shard(*_mapped(path), _mapped(f"{folder}/levels-{s:06d}")[1])
-    return _open[path]
+    """A shard, mapped until the caller lets it go: a worker holds the pages of one at a time."""
+    return Shard(*_mapped(f"{folder}/shard-{s:06d}"), _mapped(f"{folder}/levels-{s:06d}")[1])
 
 
 def train(docs: DataFrame, shards: int | None = None, order: int = 3) -> dict:
