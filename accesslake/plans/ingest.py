@@ -31,9 +31,14 @@ class Dimensions:
 
 
 def parse_any(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Text layouts and CDN JSON in one pass: JSON lines (``{…``) take the JSON mapping."""
-    text = parse_lines(lines, value_col)
-    return parse_cdn_json(text, value_col, base=True)
+    """Text layouts and CDN JSON in one pass: JSON lines (``{…``) take the JSON mapping.
+
+    No layout is tried on a JSON line: it would search the whole line for each
+    of them, and the mapping replaces what it found.
+    """
+    text = F.when(~F.col(value_col).startswith("{"), F.col(value_col))
+    parsed = parse_lines(lines.withColumn("__text", text), "__text").drop("__text")
+    return parse_cdn_json(parsed, value_col, base=True)
 
 
 def transform(lines: DataFrame, dims: Dimensions | None = None, value_col: str = "value",
