@@ -78,8 +78,10 @@ def write_ordered_store(events: DataFrame, path: str, partitions: int | None = N
     Row groups then hold short spans of time, so a filter on event_start skips
     most of a month by their statistics, and a read in time order sorts runs
     that lie nearly in order.  The ranges are cut by month, time and hash:
-    many events of one second do not meet in one task.
+    many events of one second do not meet in one task.  The events are written
+    once first: finding the ranges reads their order alone, not the lines again.
     """
+    events = materialize(events, "unordered", partition_by=None)
     order = ["event_month", "event_start", "event_hash"]
     n = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (events.repartitionByRange(n, *order).sortWithinPartitions(*order)

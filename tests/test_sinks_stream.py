@@ -131,3 +131,24 @@ def test_ftp_egress_option_and_key_counts(spark):
     assert with_ftp.bytes == base.bytes + 1048576 + 999999999999
     by_key = rollups.count_by_key(ev, "/logs/ftp/").collect()
     assert sum(r.events for r in by_key) == ev.count()
+
+
+def counted(spark, events):
+    """``events`` and an accumulator of its rows, however often they are evaluated."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    return events.mapInArrow(run, events.schema), seen
+
+
+def test_ordered_store_reads_its_events_once(spark):
+    rows = [(i, f"2024-0{1 + i % 2}", dt.datetime(2024, 1 + i % 2, 1 + i % 28), f"h{i}") for i in range(200)]
+    ev, seen = counted(spark, spark.createDataFrame(rows, "event_id long, event_month string, event_start timestamp, event_hash string"))
+    path = scratch_path(spark, "ordered-once")
+    sinks.write_ordered_store(ev, path, 4)
+    assert seen.value == 200
+    assert sorted(r.event_id for r in spark.read.parquet(path).select("event_id").collect()) == list(range(200))
