@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import make_folder
 from .rules import sql_string
-from .sinks import STORE_KEYS, dedupe_by_hash
+from .sinks import STORE_KEYS, batch_months, dedupe_by_hash
 
 RECORDS = "writer string, batch long"
 #: Records that are broadcast: some 10 MB.
@@ -84,7 +84,7 @@ class BucketStore:
         fresh = dedupe_by_hash(batch.withColumn("event_month", F.col("event_month").cast("string")))
         if not self._open():
             return fresh
-        months = [r[0] for r in fresh.select("event_month").distinct().collect()]  # the batch's few months: only their folders are read
+        months = batch_months(batch)  # the batch's few months: only their folders are read
         known = F.col("event_month").isin([m for m in months if m is not None])
         held = self.spark.table(self.table).where(F.coalesce(known, F.lit(False)) | F.col("event_month").isNull() if None in months else known)
         held = self._visible(held).select(F.col("event_month").alias("_m"), F.col("event_hash").alias("_h"))

@@ -36,23 +36,42 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     return found.select(F.col("event_month").cast("string").alias("_month"), F.col("event_hash").alias("_hash"))
 
 
-def new_rows(batch: DataFrame, store_path: str) -> DataFrame:
-    """Rows of ``batch`` not yet in the store (batch de-duplicated first)."""
-    fresh = dedupe_by_hash(batch)
+def batch_months(batch: DataFrame) -> list:
+    """The months of a batch, as text (null: rows without one)."""
+    return [r[0] for r in batch.select(F.col("event_month").cast("string")).distinct().collect()]
+
+
+def new_rows(batch: DataFrame, store_path: str, stored: bool = False) -> DataFrame:
+    """Rows of ``batch`` not yet in the store, each once.
+
+    The stored rows meet the keys of the batch alone, and whole rows are
+    de-duplicated only if some key is new: a replay costs a pass over its keys.
+    ``stored`` says that ``batch`` is cheap to read again (a stored table, or
+    persisted); else it is written once first, as months, keys and rows each
+    read it.
+    """
     existing = _existing(batch.sparkSession, store_path)
-    if existing is not None:
-        # the batch's few months, as literals: only their folders of the store are read
-        months = [r[0] for r in fresh.select(F.col("event_month").cast("string")).distinct().collect()]
-        known = F.col("_month").isin([m for m in months if m is not None])
-        existing = existing.where(F.coalesce(known, F.lit(False)) | F.col("_month").isNull() if None in months else known)
-        same = fresh["event_month"].cast("string").eqNullSafe(existing["_month"]) & (fresh["event_hash"] == existing["_hash"])
-        fresh = fresh.join(existing, same, "left_anti")
-    return fresh
-
-
-def write_store(batch: DataFrame, store_path: str) -> None:
-    """K1: append the rows the store does not hold yet, one folder per month."""
-    (new_rows(batch, store_path).write.mode("append").option("compression", "zstd")
+    if existing is None:
+        return dedupe_by_hash(batch)
+    if not stored:
+        batch = materialize(batch, "batch", partition_by=None)
+    # the batch's few months, as literals: only their folders of the store are read
+    months = batch_months(batch)
+    known = F.col("_month").isin([m for m in months if m is not None])
+    existing = existing.where(F.coalesce(known, F.lit(False)) | F.col("_month").isNull() if None in months else known)
+    keys = batch.select(F.col("event_month").cast("string").alias("_new_month"), F.col("event_hash").alias("_new_hash")).distinct()
+    same = keys["_new_month"].eqNullSafe(existing["_month"]) & (keys["_new_hash"] == existing["_hash"])
+    keys = materialize(keys.join(existing, same, "left_anti"), "new-keys", partition_by=None)
+    if keys.isEmpty():
+        return batch.limit(0)
+    fresh = dedupe_by_hash(batch)
+    new = fresh["event_month"].cast("string").eqNullSafe(keys["_new_month"]) & fresh["event_hash"].eqNullSafe(keys["_new_hash"])
+    return fresh.join(keys, new, "left_semi")
+
+
+def write_store(batch: DataFrame, store_path: str, stored: bool = False) -> None:
+    """K1: append the rows the store does not hold yet, one folder per month (``stored``: see ``new_rows``)."""
+    (new_rows(batch, store_path, stored).write.mode("append").option("compression", "zstd")
         .partitionBy("event_month").parquet(store_path))
 
 

@@ -46,7 +46,7 @@ def micro_batch_writer(store_path: str, quarantine_path: str | None, dims: Dimen
                 kept = enrich_events(kept, dims, stored=True)  # the batch is persisted
             good = kept.where(~is_quarantined(F.col("tags")))
             if writer is None:
-                sinks.write_store(good, store_path)
+                sinks.write_store(good, store_path, stored=True)  # the batch is persisted
             else:
                 BucketStore(batch.sparkSession, store_path).append(good, writer, epoch_id)
             if quarantine_path:

@@ -145,6 +145,22 @@ def counted(spark, events):
     return events.mapInArrow(run, events.schema), seen
 
 
+def test_a_replay_is_evaluated_once(spark):
+    """A batch that meets a store is read once, adds its new lines once and keeps rows without a month or hash."""
+    rows = [(1, "2024-01", "a"), (2, "2024-01", "a"), (3, "2024-02", "a"), (4, None, "b"), (5, "2024-01", None)]
+    ev = spark.createDataFrame(rows, "event_id long, event_month string, event_hash string")
+    store = scratch_path(spark, "replay-store")
+    sinks.write_store(ev.where("event_id < 3"), store)
+    batch, seen = counted(spark, ev)
+    sinks.write_store(batch, store)
+    assert seen.value == 5
+    got = spark.read.parquet(store).select(F.col("event_month").cast("string"), "event_hash").collect()
+    assert sorted((str(r[0]), str(r[1])) for r in got) == [("2024-01", "None"), ("2024-01", "a"), ("2024-02", "a"), ("None", "b")]
+    batch, seen = counted(spark, ev.where("event_id < 5"))
+    sinks.write_store(batch, store)
+    assert seen.value == 4 and spark.read.parquet(store).count() == 4
+
+
 def test_ordered_store_reads_its_events_once(spark):
     rows = [(i, f"2024-0{1 + i % 2}", dt.datetime(2024, 1 + i % 2, 1 + i % 28), f"h{i}") for i in range(200)]
     ev, seen = counted(spark, spark.createDataFrame(rows, "event_id long, event_month string, event_start timestamp, event_hash string"))
