@@ -310,6 +310,15 @@ def test_op4_common_lines(spark):
     assert all(r.class_id == r.doc_id // 100 * 100 and abs(r.start_word - 40) <= 2 and abs(r.n_words - 60) <= 4 for r in got)
 
 
+def test_op4_links_all_pairs(spark):
+    """Each of twelve texts that hold one passage has a link to each of the others."""
+    rng = np.random.default_rng(17)
+    p = prose(rng, 60)
+    rows = [(k, " ".join(prose(rng, 40) + p + prose(rng, 40))) for k in range(12)]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_links, r.class_id) for r in got) == [(k, 11, 0) for k in range(12)]
+
+
 def test_exact_runs():
     """Any LEAST equal tokens have a run in common, wherever they stand."""
     rng = np.random.default_rng(15)
