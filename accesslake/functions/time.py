@@ -31,7 +31,7 @@ def parse_event_time(text: Column) -> Column:
     ISO 8601 / ``yyyy-MM-dd HH:mm:ss`` through Spark's own timestamp cast,
     ``dd/MMM/yyyy:HH:mm:ss [Z]``, and ``EEE MMM dd HH:mm:ss yyyy``.
     """
-    t = F.trim(F.translate(text, "\t", " "))
+    t = F.trim(F.replace(text, F.lit("\t"), F.lit(" ")))
     no_day = F.regexp_replace(F.regexp_replace(t, _DAY_NAME, ""), r"\s+", " ")
     return (
         F.when(t.rlike(_ISO_SHAPE), t.try_cast("timestamp"))

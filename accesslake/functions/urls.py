@@ -38,7 +38,7 @@ def url_parts(url: Column) -> Column:
     sub-expression, so building the struct straight from the regex would run
     it once per field.
     """
-    return F.split(F.regexp_replace(F.translate(url, _SEP, ""), _URL_RX, _URL_REPL), _SEP)
+    return F.split(F.regexp_replace(F.replace(url, F.lit(_SEP), F.lit("")), _URL_RX, _URL_REPL), _SEP)
 
 
 def url_fields(parts: Column, url: Column) -> Column:

@@ -5,9 +5,11 @@ All layouts are compiled into **one** Java regular expression of the form
 ``.*?`` prefix, so branch 1 is tried at every offset before branch 2 is tried
 at all: that is the ordered, unanchored, first-match-wins semantics of the
 classic multi-pattern log matchers.  ``regexp_replace`` rewrites a matching
-line into its captures joined by ``\\x01`` and ``split`` turns that into an
+line into its fields joined by ``\\x01`` and ``split`` turns that into an
 array, so the regex runs once per line, inside the JVM, with whole-stage
-codegen, however many fields are read afterwards.  A line that matches no
+codegen, however many fields are read afterwards.  Only groups of the branch
+that matched hold text, so the groups of one field are written side by side:
+the array has one element a field, not one a group.  A line that matches no
 layout comes back unchanged (array of size 1).
 
 Captured text stays text here; typing, defaults and tags are applied in
@@ -200,29 +202,34 @@ def one_row_barrier(expr: Column) -> Column:
 class CompiledLayouts:
     regex: str
     replacement: str
-    n_groups: int
-    marker: dict          # layout name -> group index of the whole branch (1-based)
-    fields: dict          # field -> list of group indexes (1-based), in layout order
+    size: int             # elements of a matching line's array
+    marker: dict          # layout name -> element that is filled when the layout matched
+    fields: dict          # field -> its element, None when no layout captures it
 
 
 def compile_layouts(layouts=LAYOUTS) -> CompiledLayouts:
-    branches, marker, fields = [], {}, {f: [] for f in CAPTURE_FIELDS}
+    branches, marks, groups = [], [], {f: [] for f in CAPTURE_FIELDS}
     g = 0
     for lay in layouts:
-        g += 1
-        marker[lay.name] = g
-        body = []
+        body, names = [], [part[0] for part in lay.parts if isinstance(part, tuple)]
+        if len(names) != len(set(names)):
+            raise ValueError(f"layout {lay.name} captures a field twice")
         for part in lay.parts:
             if isinstance(part, tuple):
                 g += 1
-                fields[part[0]].append(g)
+                groups[part[0]].append(g)
                 body.append(f"({part[1]})")
             else:
                 body.append(part)
-        branches.append(".*?(" + "".join(body) + ")")
+        # the mark of a branch is the last character that it matched
+        g += 1
+        marks.append(g)
+        branches.append(".*?(?:" + "".join(body) + ")(?<=(.))")
     regex = "(?s)^(?:" + "|".join(branches) + ").*$"
-    replacement = SEP.join(f"${i}" for i in range(1, g + 1))
-    return CompiledLayouts(regex, replacement, g, marker, fields)
+    used = [f for f in CAPTURE_FIELDS if groups[f]]
+    replacement = SEP.join([f"${i}" for i in marks] + ["".join(f"${i}" for i in groups[f]) for f in used])
+    fields = {f: len(marks) + used.index(f) if f in used else None for f in CAPTURE_FIELDS}
+    return CompiledLayouts(regex, replacement, len(marks) + len(used), {lay.name: i for i, lay in enumerate(layouts)}, fields)
 
 
 COMPILED = compile_layouts()
@@ -230,14 +237,9 @@ COMPILED = compile_layouts()
 
 def _field_sql(layouts: CompiledLayouts) -> list[str]:
     """SQL text of the field extraction (one py4j call for all fields)."""
-    def grp(i: int) -> str:
-        return f"nullif(__caps[{i - 1}], '')"
-    fmt = " ".join(f"WHEN {grp(g)} IS NOT NULL THEN '{name}'" for name, g in layouts.marker.items())
-    out = [f"CASE {fmt} END AS log_format"]
-    for field, idxs in layouts.fields.items():
-        expr = f"coalesce({', '.join(grp(i) for i in idxs)})" if idxs else "CAST(NULL AS STRING)"
-        out.append(f"{expr} AS {field}")
-    return out
+    fmt = " ".join(f"WHEN __caps[{i}] <> '' THEN '{name}'" for name, i in layouts.marker.items())
+    return [f"CASE {fmt} END AS log_format"] + [
+        f"CAST(NULL AS STRING) AS {field}" if i is None else f"nullif(__caps[{i}], '') AS {field}" for field, i in layouts.fields.items()]
 
 
 def parse_lines(df: DataFrame, value_col: str = "value", layouts: CompiledLayouts = COMPILED) -> DataFrame:
@@ -245,10 +247,10 @@ def parse_lines(df: DataFrame, value_col: str = "value", layouts: CompiledLayout
 
     ``log_format`` is null when no layout matched (the parse-failure case).
     """
-    line = F.translate(F.col(value_col), SEP, "")
+    line = F.replace(F.col(value_col), F.lit(SEP), F.lit(""))
     parts = F.split(F.regexp_replace(line, layouts.regex, layouts.replacement), SEP)
     raw = df.select("*", one_row_barrier(parts).alias("__raw"))
-    staged = raw.selectExpr("*", f"CASE WHEN size(__raw) = {layouts.n_groups} THEN __raw END AS __caps")
+    staged = raw.selectExpr("*", f"CASE WHEN size(__raw) = {layouts.size} THEN __raw END AS __caps")
     out = staged.selectExpr("*", *_field_sql(layouts)).drop("__raw", "__caps")
     # second barrier: field extraction keeps its own generated method (the
     # JVM caps one method at 64 KB; fused with the next stage it overflows)

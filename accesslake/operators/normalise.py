@@ -125,7 +125,7 @@ def _stage_exprs(app_id: str, message_col: str, has_json: bool, has_src_domain:
     json_line = c("_json_line") if has_json else F.lit(False)
 
     # ---- stage A: time, method, status, URL split ----------------------------
-    ts_text = F.translate(c("ts_text"), "\t", " ")
+    ts_text = F.replace(c("ts_text"), F.lit("\t"), F.lit(" "))
     whole_line = F.regexp_replace(F.regexp_replace(msg, _DAY_PREFIX, ""), r"\s+", " ")
     event_start = (F.when(c("ftp_month").isNotNull(),
                           parse_ftp_time(c("ftp_month"), c("ftp_day"), c("ftp_year"), c("ftp_time")))

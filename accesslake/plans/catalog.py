@@ -40,6 +40,7 @@ SUBSET_TLDS = ("example.com", "example.org")
 MISSION_YEAR = 2024
 LARGE_RULE_SET = 1270
 LATE_NODE = "en"
+EGRESS_COLUMNS = ("event_start", "event_month", "source_address", "response_bytes", "tags")
 DAY_START = dt.datetime(2024, 1, 15)
 DAY_MONTHS = ("2024-01",)
 # ------------------------------------------------------------------------------
@@ -63,12 +64,12 @@ def combined_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enriched_events(spark: SparkSession, sf: str, windowed: bool = False) -> DataFrame:
-    """Parsed events written once to a month-partitioned store, read back,
-    (optionally) cut to the report window, then enriched: the window's month
+    """Parsed events (the columns that traffic reports read) written once to a
+    month-partitioned store, read back, (optionally) cut to the report window, then enriched: the window's month
     predicate prunes partitions and only the window's hosts are resolved."""
     cust = _t(spark, sf, "customer")
     d = Dimensions(dns=D.dns_from_customer(cust), public_suffix=D.public_suffix(spark))
-    stored = sinks.materialize(combined_events(spark, sf), "events")
+    stored = sinks.materialize(combined_events(spark, sf).select(*EGRESS_COLUMNS), "events")
     if windowed:
         stored = rollups.trailing_window(stored, AS_OF, WINDOW_HOURS)
     return enrich_events(stored, d, url_domains=False, stored=True)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from accesslake.operators.layouts import parse_lines
+from accesslake.operators.layouts import COMPILED, LAYOUTS, parse_lines
 from accesslake.operators.normalise import to_events
 from accesslake.plans.ingest import parse_any, transform
 
@@ -171,3 +171,10 @@ def test_queries_are_decoded_in_every_layout(spark):
     assert got[1].url_query == "q=caf\u00e9"
     assert got[2].url_query == "q=a&b&r=\u00e9" and got[2].url_query_params == {"q": ["a&b"], "r": ["\u00e9"]}
     assert got[3].url_query == "q=%zz" and got[3].url_query_params == {"q": ["%zz"]}
+
+
+def test_one_array_element_a_field():
+    """The groups of a field are written side by side: the array of a line does not grow with the layouts' groups."""
+    used = [i for i in COMPILED.fields.values() if i is not None]
+    assert COMPILED.size == len(LAYOUTS) + len(used)
+    assert sorted([*COMPILED.marker.values(), *used]) == list(range(COMPILED.size))

@@ -2,6 +2,7 @@
 row-at-a-time Python, and report scans must prune partitions and columns."""
 
 import __spark_entry__ as E
+from accesslake.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,3 +27,8 @@ def test_report_scan_prunes(spark):
     assert "PartitionFilters: [isnotnull(event_month" in formatted
     assert "GreaterThanOrEqual(event_start" in formatted
     assert "ReadSchema: struct<event_start:timestamp,response_bytes:bigint" in formatted  # unused lookups are not joined at all
+
+
+def test_reports_store_the_columns_they_read(spark):
+    columns = catalog.enriched_events(spark, SF).columns
+    assert [c for c in columns if not c.startswith("source_")] == ["event_start", "response_bytes", "tags", "event_month"]
