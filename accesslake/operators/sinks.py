@@ -11,6 +11,8 @@ re-runs its tasks without leaving partial files behind.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
@@ -25,6 +27,19 @@ def dedupe_by_hash(events: DataFrame) -> DataFrame:
     return events.dropDuplicates(list(STORE_KEYS))
 
 
+def dedupe_stored(events: DataFrame) -> DataFrame:
+    """``dedupe_by_hash`` of a table that is cheap to read again: only rows whose key repeats are shuffled whole.
+
+    The keys alone are counted; rows of the others pass as they are.
+    """
+    keys = [F.col(k).alias(f"_again_{k}") for k in STORE_KEYS]
+    again = materialize(events.groupBy(*STORE_KEYS).count().where("count > 1").select(*keys), "again-keys", partition_by=None)
+    if again.isEmpty():
+        return events
+    same = functools.reduce(lambda x, y: x & y, [events[k].eqNullSafe(again[f"_again_{k}"]) for k in STORE_KEYS])
+    return events.join(again, same, "left_anti").unionByName(dedupe_by_hash(events.join(again, same, "left_semi")))
+
+
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     """Keys of the stored rows; None only when the store does not exist yet."""
     try:
@@ -52,7 +67,7 @@ def new_rows(batch: DataFrame, store_path: str, stored: bool = False) -> DataFra
     """
     existing = _existing(batch.sparkSession, store_path)
     if existing is None:
-        return dedupe_by_hash(batch)
+        return dedupe_stored(batch) if stored else dedupe_by_hash(batch)
     if not stored:
         batch = materialize(batch, "batch", partition_by=None)
     # the batch's few months, as literals: only their folders of the store are read
@@ -64,7 +79,7 @@ def new_rows(batch: DataFrame, store_path: str, stored: bool = False) -> DataFra
     keys = materialize(keys.join(existing, same, "left_anti"), "new-keys", partition_by=None)
     if keys.isEmpty():
         return batch.limit(0)
-    fresh = dedupe_by_hash(batch)
+    fresh = dedupe_stored(batch)
     new = fresh["event_month"].cast("string").eqNullSafe(keys["_new_month"]) & fresh["event_hash"].eqNullSafe(keys["_new_hash"])
     return fresh.join(keys, new, "left_semi")
 

@@ -31,6 +31,15 @@ def test_store_is_idempotent(spark):
     assert n1 == clean.count() - 1          # the identical line twice collapses
 
 
+def test_rows_without_a_repeat_are_not_shuffled_whole(spark):
+    rows = [("2024-01", "a", 1), ("2024-01", "a", 2), ("2024-02", "a", 3), (None, "a", 4), (None, "a", 5), (None, None, 6), ("2024-01", "b", 7)]
+    ev = spark.createDataFrame(rows, "event_month string, event_hash string, n int")
+    key = lambda d: sorted(d.select("event_month", "event_hash").collect(), key=str)
+    assert key(sinks.dedupe_stored(ev)) == key(sinks.dedupe_by_hash(ev))
+    single = ev.where("n in (1, 3, 4, 6, 7)")
+    assert sinks.dedupe_stored(single) is single
+
+
 def test_quarantine_lines(spark):
     q = sinks.quarantine_lines(transform(lines_df(spark))).collect()
     assert len(q) == N_CORRUPT
