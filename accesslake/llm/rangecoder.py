@@ -29,15 +29,16 @@ from pyspark.sql import functions as F
 from .common import partitions, stored, text_of, tuned
 from .tokens import encoder
 
-BLOCK = 1 << 20
-LANES, LANE_MIN = 1024, 64  # a lane of a full block has 1024 steps: enough for the model to adapt
+BLOCK = 1 << 21
+LANES, LANE_MIN = 2048, 64  # a lane of a full block has 1024 steps: enough for the model to adapt
 REFRESH = 4  # steps between order-0 updates
 MIX_BITS, GAIN = 11, 3
 ORDER2 = 1 << 17
-MAGIC = b"CMR1"
+MAGIC = b"CMR2"
 HEAD = struct.Struct("<4sIIIIIQ")  # magic, ids, lanes, vocabulary, pieces, crc32, words
 U = np.uint64
 _TOP, _BOT = U(1 << 48), U(1 << 32)
+MOST = 1 << 21  # sum of the order-0 frequencies: at most _BOT >> MIX_BITS, what the rarest kind has left
 
 
 class Corrupt(ValueError):
@@ -47,36 +48,45 @@ class Corrupt(ValueError):
 class _Model:
     def __init__(self, vocabulary: int):
         self.v = vocabulary
-        self.pred1, self.conf1 = np.zeros(vocabulary + 1, np.int32), np.zeros(vocabulary + 1, np.uint8)
-        self.pred2, self.conf2 = np.zeros(ORDER2, np.int32), np.zeros(ORDER2, np.uint8)
+        # prediction and confidence (the low three bits) of a context in one number
+        self.after1, self.after2 = np.zeros(vocabulary + 1, np.int64), np.zeros(ORDER2, np.int64)
         self.seen = np.ones((128, 3))
         self.freq = np.ones(vocabulary, np.int64)
+        self.cum = np.zeros(vocabulary + 1, np.uint64)
         self.refresh()
 
     def refresh(self) -> None:
-        self.cum = np.zeros(self.v + 1, np.uint64)
-        np.cumsum(self.freq, out=self.cum[1:], dtype=np.uint64)
-        self.total = U(int(self.cum[-1]))
+        np.cumsum(self.freq.view(np.uint64), out=self.cum[1:])
+        if self.cum[-1] > MOST:  # the rarest id keeps a share that the coder can express
+            self.freq = self.freq + 1 >> 1
+            np.cumsum(self.freq.view(np.uint64), out=self.cum[1:])
+        self.total = self.cum[-1]
 
     def predict(self, one: np.ndarray, two: np.ndarray):
-        """Order-1 and order-2 predictions and, of 2**MIX_BITS, the weights of orders 2 and 1."""
+        """Order-1 and order-2 predictions, and the cells of ``seen`` in which the kinds are counted."""
         self.one = one
         self.slot = ((two * 40503 + one * 30011) * 2654435761 >> 11) & (ORDER2 - 1)
-        self.c1, self.c2 = self.conf1[one], self.conf2[self.slot]
-        p1, p2 = self.pred1[one], self.pred2[self.slot]
-        self.bucket = (self.c2.astype(np.int64) << 4) | (self.c1 << 1) | (p1 == p2)
-        part = (self.seen[:, 1:] * ((1 << MIX_BITS) - 3) / self.seen.sum(1)[:, None]).astype(np.uint64) + U(1)
-        w2, w1 = part[:, 0][self.bucket], part[:, 1][self.bucket]
-        return p1, p2, w2, w1
-
-    def update(self, p1, p2, ids, kind, t: int) -> None:
-        """``kind``: 0 order 0, 1 order 2, 2 order 1."""
-        self.seen += np.bincount(self.bucket * 3 + kind, minlength=384).reshape(128, 3)
-        for pred, conf, at, p, c in ((self.pred1, self.conf1, self.one, p1, self.c1), (self.pred2, self.conf2, self.slot, p2, self.c2)):
-            hit = p == ids
-            conf[at] = np.where(hit, np.minimum(c + 1, 7), c >> 1)
-            pred[at] = np.where(hit | (c > 1), p, ids)
-        np.add.at(self.freq, ids[kind == 0], GAIN)
+        self.e1, self.e2 = self.after1.take(one), self.after2.take(self.slot)
+        p1, p2 = self.e1 >> 3, self.e2 >> 3
+        self.bucket = (((self.e2 & 7) << 4) | ((self.e1 & 7) << 1) | (p1 == p2)) * 3
+        # of 2**MIX_BITS: the kinds' shares and where they start, order 2 first, then 1, then 0
+        share = np.empty((128, 3), np.uint64)
+        share[:, 1:] = (self.seen[:, 1:] * (((1 << MIX_BITS) - 3) / self.seen.sum(1))[:, None]).astype(np.uint64) + U(1)
+        share[:, 0] = U(1 << MIX_BITS) - share[:, 1] - share[:, 2]
+        start = np.zeros((128, 3), np.uint64)
+        start[:, 2] = share[:, 1]
+        start[:, 0] = share[:, 1] + share[:, 2]
+        self.share, self.start = share.ravel(), start.ravel()
+        return p1, p2
+
+    def update(self, p1, p2, ids, cell, miss, t: int) -> None:
+        """``cell``: place of each id's kind (0 order 0, 1 order 2, 2 order 1) in ``seen``; ``miss``: ids of order 0."""
+        self.seen += np.bincount(cell, minlength=384).reshape(128, 3)
+        for after, at, p, e in ((self.after1, self.one, p1, self.e1), (self.after2, self.slot, p2, self.e2)):
+            c = e & 7
+            after[at] = np.where(p == ids, e + (c < 7), ((np.where(c > 1, p, ids)) << 3) | (c >> 1))
+        if len(miss):
+            np.add.at(self.freq, miss, GAIN)
         if t % REFRESH == REFRESH - 1:
             self.refresh()
 
@@ -101,11 +111,11 @@ def _narrow(low, span, m, emit):
     while len(idx):
         settled = (lo ^ (lo + sp)) < _TOP
         small = sp < _BOT
-        need = settled | small
-        if not need.any():
+        need = np.flatnonzero(settled | small)
+        if not len(need):
             return
-        idx, lo, sp = idx[need], lo[need], sp[need]
-        cut = ~settled[need]
+        idx, lo, sp = idx.take(need), lo.take(need), sp.take(need)
+        cut = ~settled.take(need)
         if cut.any():
             sp = np.where(cut, (U(0) - lo) & (_BOT - U(1)), sp)
         emit(idx, lo)
@@ -119,34 +129,43 @@ def _code(ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
     at, model = _layout(n, lanes), _Model(vocabulary)
     steps = -(-n // lanes)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    out, size = np.zeros((lanes, 2 * steps + 8), np.uint16), np.zeros(lanes, np.int64)
+    width = 2 * steps + 8
+    out, size, bound = np.zeros(lanes * width, np.uint16), np.zeros(lanes, np.int64), 0  # no lane has more than bound words
+    base = np.arange(lanes) * width
     one, two = np.full(lanes, vocabulary, np.int64), np.full(lanes, vocabulary, np.int64)
 
     def emit(idx, lo):
-        nonlocal out
-        if size[idx].max() >= out.shape[1] - 4:
-            out = np.concatenate([out, np.zeros_like(out)], axis=1)
-        out[idx, size[idx]] = (lo >> U(48)).astype(np.uint16)
-        size[idx] += 1
+        nonlocal out, width, base, bound
+        bound += 1
+        if bound >= width - 4:
+            bound = int(size.max()) + 1
+            if bound >= width - 4:
+                out = np.concatenate([out.reshape(lanes, width), np.zeros((lanes, width), np.uint16)], axis=1).ravel()
+                width *= 2
+                base = np.arange(lanes) * width
+        p = size[idx]
+        out[base[idx] + p] = lo >> U(48)
+        size[idx] = p + 1
 
     for t in range(steps):
         m = _active(n, lanes, t)
-        s = ids[at[:m] + t]
-        p1, p2, w2, w1 = model.predict(one[:m], two[:m])
-        kind = np.where(p2 == s, 1, np.where(p1 == s, 2, 0))
+        s = ids.take(at[:m] + t)
+        p1, p2 = model.predict(one[:m], two[:m])
+        is2 = p2 == s
+        cell = model.bucket + is2 + ((p1 == s) & ~is2) * 2
         r = span[:m] >> U(MIX_BITS)
-        skip = np.where(kind == 1, U(0), np.where(kind == 2, w2, w2 + w1))
-        low[:m] += skip * r
-        span[:m] = r * np.where(kind == 1, w2, np.where(kind == 2, w1, U(1 << MIX_BITS) - w2 - w1))
-        miss = np.flatnonzero(kind == 0)
+        low[:m] += model.start.take(cell) * r
+        span[:m] = model.share.take(cell) * r
+        miss = np.flatnonzero((p1 != s) & ~is2)
+        e = s[miss]
         if len(miss):
-            e = s[miss]
-            r = span[miss] // model.total
-            low[miss] += model.cum[e] * r
-            span[miss] = (model.cum[e + 1] - model.cum[e]) * r
+            r, first = span[miss] // model.total, model.cum[e]
+            low[miss] += first * r
+            span[miss] = (model.cum[e + 1] - first) * r
         _narrow(low, span, m, emit)
-        model.update(p1, p2, s, kind, t)
+        model.update(p1, p2, s, cell, e, t)
         two[:m], one[:m] = one[:m], s
+    out = np.concatenate([out.reshape(lanes, width), np.zeros((lanes, 2), np.uint16)], axis=1)
     last = low + (_BOT - U(1))  # top 32 bits inside [low, low + span)
     for k in range(2):
         out[np.arange(lanes), size] = ((last >> U(48 - 16 * k)) & U(0xFFFF)).astype(np.uint16)
@@ -173,25 +192,28 @@ def _decode(words: np.ndarray, size: np.ndarray, n: int, vocabulary: int) -> np.
     one, two = np.full(lanes, vocabulary, np.int64), np.full(lanes, vocabulary, np.int64)
     for t in range(-(-n // lanes)):
         m = _active(n, lanes, t)
-        p1, p2, w2, w1 = model.predict(one[:m], two[:m])
+        p1, p2 = model.predict(one[:m], two[:m])
         r = span[:m] >> U(MIX_BITS)
         mark = np.minimum((code[:m] - low[:m]) // r, U((1 << MIX_BITS) - 1))
-        kind = np.where(mark < w2, 1, np.where(mark < w2 + w1, 2, 0))
-        skip = np.where(kind == 1, U(0), np.where(kind == 2, w2, w2 + w1))
-        low[:m] += skip * r
-        span[:m] = r * np.where(kind == 1, w2, np.where(kind == 2, w1, U(1 << MIX_BITS) - w2 - w1))
-        s = np.where(kind == 1, p2, p1).astype(np.int64)
-        miss = np.flatnonzero(kind == 0)
+        is2 = mark < model.share.take(model.bucket + 1)
+        is0 = mark >= model.start.take(model.bucket)
+        cell = model.bucket + is2 + (~is2 & ~is0) * 2
+        low[:m] += model.start.take(cell) * r
+        span[:m] = model.share.take(cell) * r
+        s = np.where(is2, p2, p1)
+        miss = np.flatnonzero(is0)
+        e = miss
         if len(miss):
             r = span[miss] // model.total
             mark = np.minimum((code[miss] - low[miss]) // r, model.total - U(1))
             e = np.searchsorted(model.cum, mark, "right") - 1
             s[miss] = e
-            low[miss] += model.cum[e] * r
-            span[miss] = (model.cum[e + 1] - model.cum[e]) * r
+            first = model.cum[e]
+            low[miss] += first * r
+            span[miss] = (model.cum[e + 1] - first) * r
         ids[at[:m] + t] = s
         _narrow(low, span, m, feed)
-        model.update(p1, p2, s, kind, t)
+        model.update(p1, p2, s, cell, e, t)
         two[:m], one[:m] = one[:m], s
     return ids
 

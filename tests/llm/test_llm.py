@@ -156,6 +156,17 @@ def test_op1_odd_and_long(spark, monkeypatch):
     assert rangecoder.digest(rangecoder.write_tokens(empty(spark), name)).count() == 0
 
 
+def test_op1_rarest_id_keeps_a_share():
+    model = rangecoder._Model(1 << 16)
+    model.freq += 40
+    model.refresh()
+    least = int(rangecoder._BOT) >> rangecoder.MIX_BITS
+    assert model.total <= least and model.freq.min() >= 1
+    ids = np.random.default_rng(15).permutation(np.arange(1 << 16).repeat(40))[:1 << 21].astype("<u2")
+    block = rangecoder.pack_block(ids, np.zeros((0, 5), np.int64), 1 << 16)
+    assert (rangecoder.unpack_block(block)[0] == ids).all()
+
+
 # --- 2 ---------------------------------------------------------------------
 
 def test_op2_learns(spark):
