@@ -698,6 +698,31 @@ def test_signature_estimates_jaccard():
     assert abs((s == t).mean() - 0.8) < 0.1
 
 
+def test_copies_are_not_confirmed_once_for_each_hub(spark):
+    rng = np.random.default_rng(12)
+    rows = [(b, int(k)) for b in range(20) for k in rng.permutation(200)[:120]] + [(100, 1000), (100, 1001)]
+    tested = []
+
+    def confirm(pairs):
+        tested.extend((r.a, r.b) for r in pairs.collect())
+        return pairs.where("a < 1000")
+
+    roots = {r.node: r.root for r in C.bucketed(spark.createDataFrame(rows, "bucket long, key long"), confirm, "test").collect()}
+    assert roots == {k: 0 for k in range(200)}
+    pairs = {(min(a, b), max(a, b)) for x, a in rows for y, b in rows if x == y and a != b}
+    assert set(tested) <= pairs and (1000, 1001) in tested and len(tested) <= 400
+
+
+def test_merged_components(spark):
+    rng = np.random.default_rng(13)
+    links = [[(int(a), int(b)) for a, b in rng.integers(0, 200, (60, 2)) if a != b] for _ in range(2)]
+    roots = None
+    for some in links:
+        roots = C.merged(roots, spark.createDataFrame(some, "a long, b long"), "test")
+    done = [p for some in links for p in some]
+    assert {r.node: r.root for r in roots.collect()} == join(done, {k for p in done for k in p})
+
+
 def test_components_of_a_chain(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.node: r.root for r in C.components(e).collect()}
@@ -705,6 +730,31 @@ def test_components_of_a_chain(spark):
     assert C.components(e.where("false")).count() == 0
 
 
+def test_lines_that_cannot_link_are_left_out_before_the_pairs(spark):
+    rng = np.random.default_rng(14)
+    made = ["", "short", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaa"]
+    for n in (12, 40, 120, 900):
+        base = "".join(rng.choice(list("abcdefghij é"), n))
+        made += [base] + [base[:i] + "Z" * k + base[i + k:] for k in (1, 2, 4, 9) for i in (0, n // 3, n - k)] + [base[n // c:] for c in (20, 10, 5, 4)]
+    made += ["".join(rng.choice(list("abcdefghij é"), 100)) for _ in range(20)]
+    made = sorted(set(made))
+    t = spark.createDataFrame([(l,) for l in made], "line string").select(lines._key("line"), "line")
+    info = lines._unlike(t).join(t, "key")
+    got = {tuple(sorted((r.x, r.y))) for r in info.select(F.col("line").alias("x"), "info").crossJoin(
+        info.select(F.col("line").alias("y"), F.col("info").alias("hub_info"))).where(lines.could_link(80)).collect()}
+    sets = {l: {l[i:i + 8] for i in range(max(1, len(l) - 7))} for l in made}
+    alike = {(x, y) for x in made for y in made if x < y and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])}
+    got = {p for p in got if p[0] != p[1]}
+    assert alike <= got and len(alike) > 50 and len(got) < 2 * len(alike)
+
+
+def test_banding_is_compiled_in_steps(spark):
+    d = lines._banded(spark.createDataFrame([("a line of words",)], "line string"))
+    code = d._jdf.queryExecution().debug().codegenToSeq()
+    sizes = [code.apply(i)._3().maxMethodCodeSize() for i in range(code.size())]
+    assert sizes and 0 < min(sizes) and max(sizes) < 8000
+
+
 # --- pipeline --------------------------------------------------------------
 
 def test_pipeline(spark):
