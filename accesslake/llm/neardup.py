@@ -17,6 +17,7 @@ inside that join; links are confirmed on the full sets.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_of, tuned
+from ..session import scratch_path
+from .common import partitions, stored, text_of, tuned
 from .components import bucketed
 from .words import U, mix, shingles, word_hashes
 
@@ -128,7 +130,17 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     d = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     w = wanted.select(F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"))
     picked = d.join(w, d["doc_id"].eqNullSafe(w["w_id"]) & (d["text_hash"] == w["w_hash"]), "left_semi")
-    return picked.select("text").mapInArrow(run, "key binary, n long, members binary").dropDuplicates(["key"])
+    made = picked.select("text").mapInArrow(run, "key binary, n long, members binary")
+    return made.repartition(partitions(docs.sparkSession), "key").dropDuplicates(["key"])
+
+
+def _placed(sets: DataFrame) -> DataFrame:
+    """``full_sets`` written in buckets of key: every round's joins leave them where they lie."""
+    spark = sets.sparkSession
+    path = scratch_path(spark, "llm-neardup-sets")
+    table = "accesslake_" + re.sub(r"\W", "_", path.rsplit("/", 1)[1])
+    sets.write.option("compression", "zstd").option("path", path).bucketBy(partitions(spark), "key").saveAsTable(table)
+    return spark.table(table)
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -154,7 +166,7 @@ def link(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFr
     full = rows.groupBy("bucket").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("bucket")
     members = stored(rows.join(full, "bucket"), "neardup-buckets")
     involved = classes.join(members.select("key").distinct(), "key", "left_semi")
-    sets = stored(full_sets(docs, stored(involved.select("doc_id", "text_hash"), "neardup-wanted"), size), "neardup-sets")
+    sets = _placed(full_sets(docs, stored(involved.select("doc_id", "text_hash"), "neardup-wanted"), size))
     info = involved.select("key", F.struct("n", "bits").alias("info"))
     return bucketed(members, lambda pairs: confirm(pairs, sets, percent), "neardup", info, agreeing(percent))
 
