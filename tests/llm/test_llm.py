@@ -1,5 +1,6 @@
 """The operators against brute-force versions, and on odd tables."""
 
+import itertools
 import re
 import zlib
 
@@ -330,6 +331,98 @@ def test_op4_links_all_pairs(spark):
     assert sorted((r.doc_id, r.n_links, r.class_id) for r in got) == [(k, 11, 0) for k in range(12)]
 
 
+def test_op4_links_all_pairs_of_large_groups(spark):
+    """Eighty texts that hold one passage, and a text that repeats itself: no link is left out."""
+    rng = np.random.default_rng(18)
+    p, r = prose(rng, 60), prose(rng, 3)
+    rows = [(k, " ".join(prose(rng, 40) + p + prose(rng, 40))) for k in range(80)]
+    rows += [(100, " ".join(prose(rng, 40) + r * 100)), (101, " ".join(r * 20 + prose(rng, 40)))]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_links, r.class_id) for r in got if r.doc_id < 80) == [(k, 79, 0) for k in range(80)]
+    assert {r.doc_id: r.class_id for r in got if r.doc_id >= 80} == {100: 100, 101: 100}
+
+
+def test_op4_runs_hold_all_pairs(monkeypatch):
+    """Links of runs cover what links of all pairs of windows cover, whatever repeats, in blocks and turns too."""
+    rng = np.random.default_rng(19)
+    r = lambda n: rng.integers(0, 2**63, n).astype(np.uint64)
+    for size, turns in ((2048, 1), (3, 2)):
+        monkeypatch.setattr(passages, "BLOCK", size)
+        odd, common = r(1), r(70)
+        loops = [np.tile(r(n), 150 // n) for n in (1, 2, 3, 20)] + [np.concatenate([np.concatenate([r(n), odd]) for n in (1, 1, 1, 4, 4, 9, 2, 2, 2)] * 6)]
+        texts = [np.concatenate([r(int(rng.integers(0, 30))), loops[k % 5][:int(rng.integers(60, 150))], r(k), common[:k * 9]]) for k in range(15)]
+        texts.append(np.concatenate([loops[1], loops[0], loops[1][1:], loops[0]]))
+        starts, tokens = np.append(0, np.cumsum([len(t) for t in texts])), np.concatenate(texts)
+        rows, want, got = [], {}, {}
+        for k in (0, 1, passages.HASHES):
+            if k < passages.HASHES:
+                v = W.mix(tokens ^ passages._SEEDS[k])
+                c, left, right = passages.compact_windows(v, starts)
+                v = v[c]
+            else:
+                v, c = passages.exact_runs(tokens, starts)
+                left, right = c, c + passages.EXACT - 1
+            d = np.searchsorted(starts, c, "right") - 1
+            rows.append((v.view(np.int64), d, np.full(len(c), k), c - starts[d], c - left, right - c))
+        value, doc, k, c, left, right = (np.concatenate(x) for x in zip(*rows))
+        for i, j in itertools.product(range(len(c)), repeat=2):
+            if (k[i], value[i]) == (k[j], value[j]) and (doc[i], c[i]) > (doc[j], c[j]):
+                a, b = min(left[i], left[j]), min(right[i], right[j])
+                if a + b + 1 >= passages.EXACT:
+                    want.setdefault((k[i], doc[i], doc[j], (c[j] - c[i]) // 16), []).append((c[i] - a, c[i] + b, c[j] - a, c[j] + b, c[j] - c[i]))
+        work = passages.pieces(passages.runs(value, doc, k, c, left, right))
+        assert size > 3 or any(n for _, n, _ in work)
+        for _, n, run in work:
+            for turn in range(turns):
+                for i, j in passages._pairs(n, run, turn, turns):
+                    for met in passages._met(run, i, j):
+                        for kind, x, y, *span in zip(*met):
+                            got.setdefault((kind, x, y, span[4] // 16), []).append(tuple(span))
+
+        def joined(spans):
+            out = []
+            for a, b, oa, ob, ahead in sorted(spans):
+                if out and a <= out[-1][1]:
+                    out[-1] = (out[-1][0], max(b, out[-1][1]), min(oa, out[-1][2]), max(ob, out[-1][3]), min(ahead, out[-1][4]))
+                else:
+                    out.append((a, b, oa, ob, ahead))
+            return out
+
+        assert len(want) > 300 and {x: joined(y) for x, y in got.items()} == {x: joined(y) for x, y in want.items()}
+        assert sum(map(len, got.values())) * 5 < sum(map(len, want.values()))
+
+
+def test_op4_packed():
+    """Columns come back from the packed form, whatever their width, and empty ones."""
+    rng = np.random.default_rng(20)
+    columns = [rng.integers(-2**63, 2**63, 500), np.arange(500, dtype=np.int32) * -7, rng.integers(0, 9, 500).astype(np.int8)]
+    for some in (columns, [c[:0] for c in columns], [c[:1] for c in columns]):
+        back = passages._decoded(passages._unpack(passages._pack(*passages._coded(some))))
+        assert all((x == y).all() and x.dtype == y.dtype for x, y in zip(some, back, strict=True))
+
+
+def test_op4_whole_is_verified():
+    """The test of many pairs at once says what the test of one pair says."""
+    rng = np.random.default_rng(21)
+    pairs = []
+    for k in range(60):
+        common = rng.integers(0, 40 if k % 3 else 2**63, int(rng.integers(20, 90))).astype(np.uint64)
+        other = common.copy()
+        other[rng.integers(0, len(other), k % 12)] = 7
+        pairs.append(tuple(np.concatenate([rng.integers(100, 2**63, int(rng.integers(0, 20))).astype(np.uint64), c]) for c in (common, other)))
+    pairs.append((np.arange(50, dtype=np.uint64), np.arange(50, 100, dtype=np.uint64)))
+    x, y = zip(*pairs)
+    got = passages._whole(np.concatenate(x).view(np.int64), np.array([len(s) for s in x]), np.concatenate(y).view(np.int64), np.array([len(s) for s in y]))
+    held = 0
+    for (u, v), fit, some, *rest in zip(pairs, *got):
+        assert some == bool(np.isin(u, v).any())
+        monkey = passages.verified(u, v, 0)
+        if fit:
+            held += 1
+            assert [tuple(rest)] == [tuple(m) for m in monkey]
+    assert 10 < held < len(pairs)
+
+
 def test_exact_runs():
     """Any LEAST equal tokens have a run in common, wherever they stand."""
     rng = np.random.default_rng(15)
