@@ -79,40 +79,58 @@ class BucketStore:
             good = F.broadcast(good)
         return rows.join(good, (rows["store_writer"] == good["writer"]) & (rows["store_batch"] == good["batch"]), "left_semi")
 
-    def new_rows(self, batch: DataFrame) -> DataFrame:
-        """Rows of ``batch`` that no committed batch holds, each once."""
-        fresh = dedupe_by_hash(batch.withColumn("event_month", F.col("event_month").cast("string")))
-        if not self._open():
-            return fresh
+    def _held(self, batch: DataFrame) -> DataFrame:
+        """Keys (_m, _h) of the committed rows in the months of ``batch``."""
         months = batch_months(batch)  # the batch's few months: only their folders are read
         known = F.col("event_month").isin([m for m in months if m is not None])
         held = self.spark.table(self.table).where(F.coalesce(known, F.lit(False)) | F.col("event_month").isNull() if None in months else known)
-        held = self._visible(held).select(F.col("event_month").alias("_m"), F.col("event_hash").alias("_h"))
+        return self._visible(held).select(F.col("event_month").alias("_m"), F.col("event_hash").alias("_h"))
+
+    @staticmethod
+    def _without(rows: DataFrame, held: DataFrame) -> DataFrame:
         # the hash alone is the join's key, as the buckets are: the months are compared beside it
-        a, b = (F.coalesce(c, F.lit("")) for c in (fresh["event_month"], held["_m"]))
-        return fresh.join(held, (fresh["event_hash"] == held["_h"]) & (F.greatest(a, b) == F.least(a, b)), "left_anti")
+        a, b = (F.coalesce(c, F.lit("")) for c in (rows["event_month"], held["_m"]))
+        return rows.join(held, (rows["event_hash"] == held["_h"]) & (F.greatest(a, b) == F.least(a, b)), "left_anti")
+
+    def new_rows(self, batch: DataFrame) -> DataFrame:
+        """Rows of ``batch`` that no committed batch holds, each once, dealt by hash as the buckets are.
+
+        The keys are looked up first, so that a batch that brings nothing new
+        costs their shuffle alone.  Whole rows are shuffled once: the join with
+        the stored keys, the de-duplication and the write take them as they lie.
+        """
+        rows = batch.withColumn("event_month", F.col("event_month").cast("string"))
+        if not self._open():
+            return dedupe_by_hash(rows.repartition(self.buckets, "event_hash"))
+        held = self._held(batch)
+        if self._without(rows.select(*STORE_KEYS).distinct(), held).isEmpty():
+            return rows.limit(0)
+        return dedupe_by_hash(self._without(rows.repartition(self.buckets, "event_hash"), held))
 
-    def append(self, batch: DataFrame, writer: str, batch_id: int) -> bool:
+    def append(self, batch: DataFrame, writer: str, batch_id: int, stored: bool = False) -> bool:
         """Add the rows of a batch; False if its record is there already (a replay adds nothing).
 
         The batch is evaluated once: it is persisted for the months, the
-        anti-join and the write.  A writer's batches follow one another.
+        anti-join and the write, unless it is ``stored`` (a stored table, or
+        persisted).  A writer's batches follow one another.
         """
         if not re.fullmatch(r"[\w-]+", writer):
             raise ValueError(f"not a writer's name: {writer!r}")
         if not self.committed().where((F.col("writer") == writer) & (F.col("batch") == int(batch_id))).isEmpty():
             return False
-        batch = batch.persist()
+        if not stored:
+            batch = batch.persist()
         try:
             rows = self.new_rows(batch).withColumn("store_batch", F.lit(int(batch_id)).cast("long"))
             own = f"{self.table}_{hashlib.md5(writer.encode()).hexdigest()[:8]}"
             self._create(own, rows.schema, ("event_month",), f"{self.rows}/store_writer={writer}")
             columns = self.spark.table(own).columns
-            rows.repartition(self.buckets, "event_hash").select(*columns).write.mode("append").insertInto(own)
+            rows.select(*columns).write.mode("append").insertInto(own)
             record = self.spark.createDataFrame([(writer, int(batch_id))], RECORDS)
             record.coalesce(1).write.mode("overwrite").parquet(f"{self.records}/{writer}-{int(batch_id)}")
         finally:
-            batch.unpersist()
+            if not stored:
+                batch.unpersist()
         return True
 
     def read(self) -> DataFrame:

@@ -595,10 +595,10 @@ def q_two_writers(spark, sf):
     batch = sinks.materialize(transform(req.select(line.alias("value"))), "two-writers")
     path = scratch_path(spark, "two-writers-store")
     with ThreadPoolExecutor(2) as pool:
-        list(pool.map(lambda w: BucketStore(spark, path).append(batch, w, 0), ("one", "two")))
+        list(pool.map(lambda w: BucketStore(spark, path).append(batch, w, 0, stored=True), ("one", "two")))
     store = BucketStore(spark, path)
-    store.append(batch, "one", 0)      # a replay of a batch that counts
-    store.append(batch, "three", 0)    # a late writer finds every line there
+    store.append(batch, "one", 0, stored=True)      # a replay of a batch that counts
+    store.append(batch, "three", 0, stored=True)    # a late writer finds every line there
     return store.read().groupBy("event_month").agg(F.count(F.lit(1)).alias("events"), F.sum("response_bytes").alias("bytes"))
 
 

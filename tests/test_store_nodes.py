@@ -77,6 +77,29 @@ def test_the_stored_side_is_not_shuffled(spark):
     assert "LeftAnti" in text and not re.findall(r"Exchange hashpartitioning\(_h", text)
 
 
+def test_whole_rows_are_shuffled_once(spark):
+    """Join, de-duplication and write take the rows as the one shuffle by hash left them; a batch of known rows is not shuffled whole."""
+    store = BucketStore(spark, scratch_path(spark, "bucket-once"), 8)
+    exchanges = lambda df: set(re.findall(r"Exchange (hashpartitioning\(.*?\))", df._jdf.queryExecution().executedPlan().toString()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = events(spark, [("2024-01", f"h{i}") for i in range(50)] * 2 + [(None, "h1")])
+        assert len(exchanges(store.new_rows(a))) == 1
+        store.append(a, "one", 0, stored=True)
+        assert len(held(store)) == 51
+        files = {f.rsplit("/", 1)[1] for f in spark.table(store.table).inputFiles()}
+        assert len(files) <= 16  # a file a bucket and month
+        plan = store.new_rows(events(spark, [("2024-01", "h1"), ("2024-01", "n"), ("2024-01", "n"), ("2024-02", "h1")]))
+        assert sorted((r.event_month, r.event_hash) for r in plan.collect()) == [("2024-01", "n"), ("2024-02", "h1")]
+        assert len(exchanges(plan)) == 1
+        known = store.new_rows(events(spark, [("2024-01", "h1"), (None, "h1")]))
+        assert known.count() == 0 and not exchanges(known)
+        assert store.append(a, "two", 0, stored=True) and not store.append(a, "two", 0, stored=True)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spark.table(store.table).count() == 51
+
+
 def test_empty_batch_and_empty_store(spark):
     store = BucketStore(spark, scratch_path(spark, "bucket-empty"), 4)
     with pytest.raises(FileNotFoundError):
